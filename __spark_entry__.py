@@ -165,7 +165,8 @@ def clv_segments(spark, d):
 
 
 def clv_segment_summary(spark, d):
-    return summary.summarise(segment(pin(_valued(spark, d)), "clv"), "segment", ["clv"])
+    whole = segment(pin(_valued(spark, d)), "clv").withColumn("clv", F.round("clv"))
+    return summary.summarise(whole, "segment", ["clv"])
 
 
 def clv_whole(spark, d):
@@ -461,7 +462,8 @@ _VALUED = f"""{_BASE}, {_POP}, rates AS (
   SELECT *, average_order_value * purchase_frequency AS customer_value FROM rates), valued AS (
   SELECT *, customer_value / nullif((SELECT churn_rate FROM pop), 0) * profit_margin AS clv
   FROM worth)"""
-_LABEL = "['D', 'C', 'B', 'A'][ntile(4) OVER (ORDER BY {0}, customer_id)] AS segment"
+_LABEL = """CASE WHEN {0} IS NOT NULL THEN ['D', 'C', 'B', 'A'][ntile(4) OVER (
+    PARTITION BY {0} IS NULL ORDER BY {0}, customer_id)] END AS segment"""
 _CLV_SEGMENTS = f"labelled AS (SELECT *, {_LABEL.format('clv')} FROM valued)"
 
 
@@ -662,7 +664,8 @@ def oracle_sql() -> dict[str, str]:
         "clv": f"{valued} SELECT * FROM valued",
         "clv_cutoff": f"WITH {_CUT}, {_VALUED} SELECT * FROM valued",
         "clv_segments": f"{valued}, {_CLV_SEGMENTS} SELECT customer_id, clv, segment FROM labelled",
-        "clv_segment_summary": f"{valued}, {_CLV_SEGMENTS} {_summary_sql('labelled', ['clv'])}",
+        "clv_segment_summary": f"""{valued}, {_CLV_SEGMENTS}, whole AS (
+          SELECT segment, round(clv) AS clv FROM labelled) {_summary_sql('whole', ['clv'])}""",
         "clv_whole": f"WITH {_CUT}, {_VALUED}, {_CLV_SEGMENTS} SELECT * FROM labelled",
         "rfm_metrics": f"WITH {_ALL}, {_LAST_METRICS} SELECT * FROM metrics",
         "rfm_metrics_events": f"WITH {_PURCHASES}, {_LAST_METRICS} SELECT * FROM metrics",

@@ -148,71 +148,94 @@ def bg_loglik(stats: DataFrame, params: BgParams, unit: int = WEEK) -> DataFrame
     )
 
 
-def _derivative_sums(stats: DataFrame, repeats: DataFrame, params: BgParams) -> Evaluation:
-    """Log-likelihood, gradient and Hessian at ``params`` by two small aggregates."""
-    r, alpha, a, b = params
-    x, tx, age = F.col("x"), F.col("tx"), F.col("age")
-    repeated = x > 0
-    u = F.when(repeated, drop_out_logit(x, tx, age, params))
-    terms = stats.select(
-        "customers",
-        x,
-        u.alias("u"),
-        F.coalesce(sigmoid(u), F.lit(0.0)).alias("s"),
-        F.ln(alpha + age).alias("log_end"),
-        (F.ln(alpha + age) - F.ln(alpha + tx)).alias("u_r"),
-        (1 / (alpha + age)).alias("end"),
-        (1 / (alpha + tx)).alias("last"),
-        F.when(repeated, -1 / (b + x - 1)).otherwise(F.lit(0.0)).alias("u_b"),
-    )
-    s, log_end, end, last = F.col("s"), F.col("log_end"), F.col("end"), F.col("last")
-    n = r + x
-    first = {"r": F.col("u_r"), "alpha": n * (end - last), "a": F.lit(1 / a), "b": F.col("u_b")}
-    second = {
-        ("r", "alpha"): end - last,
-        ("alpha", "alpha"): n * (last**2 - end**2),
-        ("a", "a"): F.lit(-1 / a**2),
-        ("b", "b"): F.col("u_b") ** 2,
-    }
-    plain = {
-        "r": F.ln(F.lit(alpha)) - log_end,
-        "alpha": r / alpha - n * end,
-        ("r", "alpha"): 1 / alpha - end,
-        ("alpha", "alpha"): n * end**2 - r / alpha**2,
-    }
-    names = BgParams._fields
-    pairs = [(p, q) for k, p in enumerate(names) for q in names[k:]]
-    dropped = F.coalesce(softplus(F.col("u")), F.lit(0.0))
-    sums = {"value": r * F.ln(F.lit(alpha)) - n * log_end + dropped}
-    for p in names:
-        sums[p] = s * first[p] + plain.get(p, 0.0)
-    for p, q in pairs:
-        curve = s * (1 - s) * first[p] * first[q]
-        if (p, q) in second:
-            curve = curve + s * second[p, q]
-        sums[f"{p}_{q}"] = curve + plain.get((p, q), 0.0)
-    row = terms.agg(*_weighted(sums)).first()
-
-    i = F.col("i")
-    repeat_sums = {
-        "value": _repeat_term(i, params),
-        "r": 1 / (r + i),
-        "b": 1 / (b + i),
-        "ab": 1 / (a + b + i),
-        "r_r": -1 / (r + i) ** 2,
-        "b_b": -1 / (b + i) ** 2,
-        "ab_ab": 1 / (a + b + i) ** 2,
-    }
-    extra = repeats.agg(*_weighted(repeat_sums)).first()
-    gradient = np.array([row[p] for p in names])
-    gradient += [extra["r"], 0.0, -extra["ab"], extra["b"] - extra["ab"]]
-    hessian = np.zeros((4, 4))
-    for p, q in pairs:
-        hessian[names.index(p), names.index(q)] = hessian[names.index(q), names.index(p)] = row[f"{p}_{q}"]
-    hessian[0, 0] += extra["r_r"]
-    hessian[2:, 2:] += extra["ab_ab"]
-    hessian[3, 3] += extra["b_b"]
-    return Evaluation(row["value"] + extra["value"], gradient, hessian)
+class _Likelihood:
+    """Log-likelihood, gradient and Hessian as aggregates over all histories.
+
+    The expressions name the parameters as columns and are built once; an
+    evaluation only sets those columns to constants, which Spark folds in.
+    """
+
+    def __init__(self, stats: DataFrame, repeats: DataFrame):
+        self.stats, self.repeats = stats, repeats
+        params = BgParams(*[F.col(f"_{name}") for name in BgParams._fields])
+        r, alpha, a, b = params
+        x, tx, age = F.col("x"), F.col("tx"), F.col("age")
+        repeated = x > 0
+        u = F.when(repeated, drop_out_logit(x, tx, age, params))
+        end, last = 1 / (alpha + age), 1 / (alpha + tx)
+        self.terms = {
+            "u": u,
+            "n": r + x,
+            "log_end": F.ln(alpha + age),
+            "end": end,
+            "last": last,
+            "u_r": F.ln(alpha + age) - F.ln(alpha + tx),
+            "u_a": 1 / a,
+            "u_b": F.when(repeated, -1 / (b + x - 1)).otherwise(F.lit(0.0)),
+        }
+        self.odds = {
+            "s": F.coalesce(sigmoid(F.col("u")), F.lit(0.0)),
+            "u_alpha": F.col("n") * (F.col("end") - F.col("last")),
+        }
+        s, n, end, last = F.col("s"), F.col("n"), F.col("end"), F.col("last")
+        second = {
+            "r_alpha": end - last,
+            "alpha_alpha": n * (last**2 - end**2),
+            "a_a": -F.col("u_a") ** 2,
+            "b_b": F.col("u_b") ** 2,
+        }
+        plain = {
+            "r": F.ln(alpha) - F.col("log_end"),
+            "alpha": r / alpha - n * end,
+            "r_alpha": 1 / alpha - end,
+            "alpha_alpha": n * end**2 - r / alpha**2,
+        }
+        dropped = F.coalesce(softplus(F.col("u")), F.lit(0.0))
+        sums = {"value": r * F.ln(alpha) - n * F.col("log_end") + dropped}
+        names = BgParams._fields
+        for i, p in enumerate(names):
+            sums[p] = s * F.col(f"u_{p}") + plain.get(p, F.lit(0.0))
+            for q in names[i:]:
+                curve = s * (1 - s) * F.col(f"u_{p}") * F.col(f"u_{q}")
+                if f"{p}_{q}" in second:
+                    curve = curve + s * second[f"{p}_{q}"]
+                sums[f"{p}_{q}"] = curve + plain.get(f"{p}_{q}", F.lit(0.0))
+        self.sums = _weighted(sums)
+        i = F.col("i")
+        self.repeat_sums = _weighted(
+            {
+                "value": _repeat_term(i, params),
+                "r": 1 / (r + i),
+                "b": 1 / (b + i),
+                "ab": 1 / (a + b + i),
+                "r_r": -1 / (r + i) ** 2,
+                "b_b": -1 / (b + i) ** 2,
+                "ab_ab": 1 / (a + b + i) ** 2,
+            }
+        )
+
+    def __call__(self, theta: Sequence[float]) -> Evaluation:
+        names = BgParams._fields
+        constants = {f"_{name}": F.lit(value) for name, value in zip(names, theta)}
+        repeats = self.repeats.withColumns(constants).agg(*self.repeat_sums)
+        histories = self.stats.withColumns(constants).withColumns(self.terms)
+        row = (
+            histories.withColumns(self.odds)
+            .agg(*self.sums)
+            .withColumn("repeats", repeats.select(F.struct("*")).scalar())
+            .first()
+        )
+        extra = row["repeats"]
+        gradient = np.array([row[p] for p in names])
+        gradient += [extra["r"], 0.0, -extra["ab"], extra["b"] - extra["ab"]]
+        hessian = np.zeros((4, 4))
+        for i, p in enumerate(names):
+            for j, q in enumerate(names[i:], i):
+                hessian[i, j] = hessian[j, i] = row[f"{p}_{q}"]
+        hessian[0, 0] += extra["r_r"]
+        hessian[2:, 2:] += extra["ab_ab"]
+        hessian[3, 3] += extra["b_b"]
+        return Evaluation(row["value"] + extra["value"], gradient, hessian)
 
 
 def bg_fit(
@@ -228,11 +251,7 @@ def bg_fit(
             ).first()[0]
             if scale is None:
                 raise ValueError("no customers to fit")
-            return maximise(
-                lambda theta: _derivative_sums(histories, repeats, BgParams(*theta)),
-                [1.0, scale / 4, 0.8, 2.0],
-                bounds,
-            )
+            return maximise(_Likelihood(histories, repeats), [1.0, scale / 4, 0.8, 2.0], bounds)
         finally:
             repeats.unpersist()
     finally:

@@ -35,55 +35,81 @@ def gg_loglik(summary: DataFrame, params: GgParams, count: str = "x") -> DataFra
     )
 
 
-def _derivative_sums(values: DataFrame, counts: DataFrame, fixed, params: GgParams) -> Evaluation:
-    """Log-likelihood, gradient and Hessian at ``params`` by two aggregates.
+class _Likelihood:
+    """Log-likelihood, gradient and Hessian as aggregates over all customers.
 
     The gamma functions depend on ``x`` alone and run on the few distinct counts;
     the pass over all customers takes only logarithms and powers of ``x m + v``.
+    The expressions name the parameters as columns and are built once; an
+    evaluation only sets those columns to constants, which Spark folds in.
     """
-    p, q, v = params
-    n, log_m, x_log_m, x_log_x = fixed
-    x, reach = F.col("x"), F.col("x") * F.col("m") + v
-    terms = values.select(x, F.ln(reach).alias("log_reach"), (1 / reach).alias("inverse"))
-    log_reach, inverse = F.col("log_reach"), F.col("inverse")
-    s = terms.agg(
-        F.sum(log_reach).alias("log_reach"),
-        F.sum(x * log_reach).alias("x_log_reach"),
-        F.sum(inverse).alias("inverse"),
-        F.sum(x * inverse).alias("x_inverse"),
-        F.sum(inverse**2).alias("inverse2"),
-        F.sum(x * inverse**2).alias("x_inverse2"),
-    ).first()
-
-    shape, weight = p * x, F.col("customers")
-    upper, lower, base = trigamma(shape + q), trigamma(shape), trigamma(F.lit(q))
-    g = counts.agg(
-        F.sum(weight * (log_gamma(shape + q) - log_gamma(shape) - log_gamma(F.lit(q)))).alias("value"),
-        F.sum(weight * x * (digamma(shape + q) - digamma(shape))).alias("p"),
-        F.sum(weight * (digamma(shape + q) - digamma(F.lit(q)))).alias("q"),
-        F.sum(weight * x * x * (upper - lower)).alias("p_p"),
-        F.sum(weight * x * upper).alias("p_q"),
-        F.sum(weight * (upper - base)).alias("q_q"),
-    ).first()
-
-    log_v = float(np.log(v))
-    value = (
-        g["value"] + q * n * log_v + p * x_log_m - log_m + p * x_log_x
-        - p * s["x_log_reach"] - q * s["log_reach"]
-    )
-    gradient = np.array(
-        [
-            g["p"] + x_log_m + x_log_x - s["x_log_reach"],
+
+    def __init__(self, values: DataFrame, counts: DataFrame):
+        self.values, self.counts = values, counts
+        p, q = F.col("_p"), F.col("_q")
+        x, m = F.col("x"), F.col("m")
+        self.fixed = values.agg(
+            F.count("*").alias("n"),
+            F.sum(F.ln(m)).alias("log_m"),
+            F.sum(x * F.ln(m)).alias("x_log_m"),
+            F.sum(x * F.ln(x)).alias("x_log_x"),
+        ).first()
+        reach = x * m + F.col("_v")
+        self.terms = {"log_reach": F.ln(reach), "inverse": 1 / reach}
+        log_reach, inverse = F.col("log_reach"), F.col("inverse")
+        self.sums = [
+            F.sum(log_reach).alias("log_reach"),
+            F.sum(x * log_reach).alias("x_log_reach"),
+            F.sum(inverse).alias("inverse"),
+            F.sum(x * inverse).alias("x_inverse"),
+            F.sum(inverse * inverse).alias("inverse2"),
+            F.sum(x * inverse * inverse).alias("x_inverse2"),
+        ]
+        self.shapes = {"upper": p * x + q, "lower": p * x, "base": q}
+        self.gammas = {
+            f"{kind}_{name}": function(F.col(name))
+            for kind, function in (("g", log_gamma), ("d", digamma), ("t", trigamma))
+            for name in self.shapes
+        }
+        weight = F.col("customers")
+
+        def gap(high: str, low: str):
+            return weight * (F.col(high) - F.col(low))
+
+        self.count_sums = [
+            F.sum(gap("g_upper", "g_lower") - weight * F.col("g_base")).alias("value"),
+            F.sum(x * gap("d_upper", "d_lower")).alias("p"),
+            F.sum(gap("d_upper", "d_base")).alias("q"),
+            F.sum(x * x * gap("t_upper", "t_lower")).alias("p_p"),
+            F.sum(x * weight * F.col("t_upper")).alias("p_q"),
+            F.sum(gap("t_upper", "t_base")).alias("q_q"),
+        ]
+
+    def __call__(self, theta: Sequence[float]) -> Evaluation:
+        p, q, v = theta
+        constants = {"_p": F.lit(p), "_q": F.lit(q), "_v": F.lit(v)}
+        counts = self.counts.withColumns(constants).withColumns(self.shapes)
+        counts = counts.withColumns(self.gammas).agg(*self.count_sums)
+        s = (
+            self.values.withColumns(constants)
+            .withColumns(self.terms)
+            .agg(*self.sums)
+            .withColumn("gammas", counts.select(F.struct("*")).scalar())
+            .first()
+        )
+        g, fixed = s["gammas"], self.fixed
+        n, log_v = fixed["n"], float(np.log(v))
+        repeats = p * (fixed["x_log_m"] + fixed["x_log_x"] - s["x_log_reach"]) - fixed["log_m"]
+        value = g["value"] + q * (n * log_v - s["log_reach"]) + repeats
+        gradient = [
+            g["p"] + fixed["x_log_m"] + fixed["x_log_x"] - s["x_log_reach"],
             g["q"] + n * log_v - s["log_reach"],
             q * n / v - p * s["x_inverse"] - q * s["inverse"],
         ]
-    )
-    p_v, q_v = -s["x_inverse"], n / v - s["inverse"]
-    v_v = p * s["x_inverse2"] + q * s["inverse2"] - q * n / v**2
-    hessian = np.array(
-        [[g["p_p"], g["p_q"], p_v], [g["p_q"], g["q_q"], q_v], [p_v, q_v, v_v]]
-    )
-    return Evaluation(value, gradient, hessian)
+        p_v, q_v = -s["x_inverse"], n / v - s["inverse"]
+        v_v = p * s["x_inverse2"] + q * s["inverse2"] - q * n / v**2
+        hessian = [[g["p_p"], g["p_q"], p_v], [g["p_q"], g["q_q"], q_v], [p_v, q_v, v_v]]
+        return Evaluation(value, np.array(gradient), np.array(hessian))
 
 
 def gg_fit(
@@ -102,27 +128,18 @@ def gg_fit(
         raise ValueError("no customers with repeat purchases to fit")
     values = repeat.select("x", (F.col("m") / scale).alias("m")).persist()
     try:
-        x, log_m = F.col("x"), F.ln("m")
-        fixed = tuple(
-            values.agg(
-                F.count("*"), F.sum(log_m), F.sum(x * log_m), F.sum(x * F.ln(x))
-            ).first()
-        )
         counts = values.groupBy("x").agg(F.count("*").alias("customers")).persist()
         try:
+            likelihood = _Likelihood(values, counts)
             top = bounds[0][1] * bounds[1][1]
-            found = maximise(
-                lambda theta: _derivative_sums(values, counts, fixed, GgParams(*theta)),
-                [1.0, 2.0, 1.0],
-                [*bounds, (1 / top, top)],
-            )
+            found = maximise(likelihood, [1.0, 2.0, 1.0], [*bounds, (1 / top, top)])
         finally:
             counts.unpersist()
     finally:
         values.unpersist()
     p, q, v = found.theta
     # The density of a mean changes by the factor 1/scale with the unit of money.
-    value = found.value - fixed[0] * float(np.log(scale))
+    value = found.value - likelihood.fixed["n"] * float(np.log(scale))
     return found._replace(theta=[p, q, v * scale], value=value)
 
 

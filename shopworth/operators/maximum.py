@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 
 MAX_STEP = 2.0
-STEP_TOLERANCE = 1e-7
+GAIN_TOLERANCE = 1e-11
 BOUND_SLACK = 1e-6
 
 
@@ -32,6 +32,35 @@ class Maximum(NamedTuple):
     at_bound: bool
 
 
+def _move(
+    current: Evaluation, damping: float, at_low: np.ndarray, at_high: np.ndarray
+) -> np.ndarray:
+    """A damped Newton step that leaves parameters alone which it would push out of bounds."""
+    move = np.zeros_like(current.gradient)
+    free = np.ones(len(move), dtype=bool)
+    while free.any():
+        # Absolute eigenvalues make every step point uphill.
+        values, vectors = np.linalg.eigh(-current.hessian[np.ix_(free, free)])
+        values = np.abs(values)
+        values = np.maximum(values, 1e-12 * max(values.max(), 1e-300)) + damping * values.max()
+        move[:] = 0.0
+        move[free] = vectors @ ((vectors.T @ current.gradient[free]) / values)
+        outward = free & ((at_low & (move < 0)) | (at_high & (move > 0)))
+        if not outward.any():
+            break
+        free &= ~outward
+        move[outward] = 0.0
+    return move
+
+
+def _reach(point: np.ndarray, move: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
+    """The share of ``move`` that stays within the bounds and the longest step."""
+    longest = max(np.max(np.abs(move)) / MAX_STEP, 1.0)
+    room = np.where(move > 0, high - point, point - low)
+    shares = room[move != 0] / np.abs(move[move != 0])
+    return float(min(1 / longest, shares.min(initial=1.0)))
+
+
 def maximise(
     evaluate: Callable[[Sequence[float]], Evaluation],
     start: Sequence[float],
@@ -56,24 +85,13 @@ def maximise(
     current = at(point)
     damping, converged, n_iter = 1e-3, False, 1
     while n_iter < max_iter:
-        pressed = ((point <= low) & (current.gradient < 0)) | (
-            (point >= high) & (current.gradient > 0)
-        )
-        free = np.flatnonzero(~pressed)
-        if free.size == 0:
+        move = _move(current, damping, point <= low, point >= high)
+        gain = float(current.gradient @ move)
+        # Below this, what a step could gain is lost in the rounding of the sums.
+        if damping < 1 and gain <= GAIN_TOLERANCE * abs(current.value):
             converged = True
             break
-        # Absolute eigenvalues make every step point uphill, damping keeps it short.
-        values, vectors = np.linalg.eigh(-current.hessian[np.ix_(free, free)])
-        values = np.abs(values)
-        values = np.maximum(values, 1e-12 * max(values.max(), 1e-300)) + damping * values.max()
-        move = vectors @ ((vectors.T @ current.gradient[free]) / values)
-        trial = point.copy()
-        trial[free] += np.clip(move, -MAX_STEP, MAX_STEP)
-        trial = np.clip(trial, low, high)
-        if np.max(np.abs(trial - point)) < STEP_TOLERANCE:
-            converged = damping < 1
-            break
+        trial = np.clip(point + _reach(point, move, low, high) * move, low, high)
         candidate = at(trial)
         n_iter += 1
         if np.isfinite(candidate.value) and candidate.value > current.value:

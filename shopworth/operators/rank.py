@@ -230,7 +230,10 @@ def segment(
     id: str = "customer_id",
     limit: int = BRACKET_ROWS,
 ) -> DataFrame:
-    """Label equal-sized groups of customers, lowest value first, as ``segment``."""
+    """Label equal-sized groups of customers, lowest value first, as ``segment``.
+
+    Customers without a value stay without a label.
+    """
     tiled = ntiles(df, id, {"segment": Tile(value, len(labels))}, limit)
     names = F.array(*[F.lit(label) for label in labels])
-    return tiled.withColumn("segment", F.element_at(names, F.col("segment")))
+    return tiled.withColumn("segment", F.get(names, F.col("segment") - 1))
