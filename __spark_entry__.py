@@ -23,6 +23,7 @@ from shopworth.sources import (
     load_orders,
     load_purchase_events,
     pin,
+    read_table,
 )
 
 # Published example parameters, and a date that leaves a period
@@ -79,7 +80,8 @@ def txn_capped(spark, d):
 
 
 def data_profile(spark, d):
-    return summary.profile(load_orders(spark, d)).withColumn("mean", F.round("mean", 3))
+    orders = read_table(spark, f"{d}/orders.parquet")
+    return summary.profile(orders).withColumn("mean", F.round("mean", 3))
 
 
 def top_customers(spark, d):
@@ -115,11 +117,7 @@ def clv_customer_base(spark, d):
 
 
 def clv_customer_base_lines(spark, d):
-    orders = load_orders(spark, d).select("customer_id", "order_id")
-    lines = load_lines(spark, d)
-    amount = (F.col("price") * (1 - F.col("discount"))).alias("amount")
-    rows = orders.join(lines, "order_id").select("customer_id", "order_id", amount)
-    return descriptive.customer_base(rows)
+    return descriptive.customer_base(_line_transactions(spark, d))
 
 
 def clv_population(spark, d):
@@ -488,17 +486,18 @@ _LINE_TXN = """SELECT customer_id, txn.order_id, order_date, per_order.amount
 
 
 def _profile_sql() -> str:
+    texts = ("o_orderdate", "o_orderstatus", "o_orderpriority")
     parts = []
-    for name in ("customer_id", "order_id", "order_date", "amount"):
-        text = f"CAST({name} AS DECIMAL(28, 4))" if name == "amount" else name
-        mean = "CAST(NULL AS DOUBLE)" if name == "order_date" else f"round(avg({name}), 3)"
+    for name in ("o_orderkey", "o_custkey", "o_totalprice", *texts):
+        text = f"CAST({name} AS DECIMAL(28, 4))" if name == "o_totalprice" else name
+        mean = "CAST(NULL AS DOUBLE)" if name in texts else f"round(avg({name}), 3)"
         parts.append(
             f"""SELECT '{name}' AS "column", count(*) AS rows,
               count(*) FILTER ({name} IS NULL) AS nulls, count(DISTINCT {name}) AS distinct_values,
               CAST(min({text}) AS VARCHAR) AS least, CAST(max({text}) AS VARCHAR) AS greatest,
-              {mean} AS mean FROM txn"""
+              {mean} AS mean FROM orders"""
         )
-    return f"WITH {_ALL} " + " UNION ALL ".join(parts)
+    return " UNION ALL ".join(parts)
 
 
 _METRICS = """metrics AS (

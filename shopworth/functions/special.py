@@ -57,14 +57,14 @@ def sigmoid(u: Column) -> Column:
 def hyp2f1(a: Column, b: Column, c: Column, z: Column) -> Column:
     """Gauss hypergeometric series for ``0 <= z < 1``, nested from the last term inwards.
 
-    The length grows until terms that shrink like ``z^k * k^(a+b-c-1)`` fall below
-    1e-15. ``z`` is read once per term, so pass a column or lambda variable
-    rather than a long expression.
+    The length is where the sum of the terms left out, which shrink like
+    ``z^k * k^(a+b-c-1)``, falls below 1e-15. ``z`` is read once per term, so pass
+    a column or lambda variable rather than a long expression.
     """
     decay = -F.ln(F.greatest(z, F.lit(1e-300)))
     growth = F.greatest(a + b - c - 1, F.lit(0.0))
     base = 34.54 / decay
-    length = (34.54 + growth * F.ln(base + 10 * growth / decay + 1)) / decay + 50
+    length = (34.54 - F.log1p(-z) + growth * F.ln(base + 10 * growth / decay + 1)) / decay + 10
     steps = F.sequence(F.ceil(length).cast("int"), F.lit(0), F.lit(-1))
     return F.aggregate(
         steps,

@@ -6,7 +6,7 @@ by ``unit`` (days per model time unit) where the model needs it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -25,6 +25,8 @@ from shopworth.operators.prepare import MONEY_DECIMALS, money_sum
 from shopworth.sources.pinned import pin
 
 WEEK = 7
+# Distinct histories up to this many are small enough to broadcast.
+HISTORY_ROWS = 500_000
 BG_BOUNDS = ((1e-4, 1e4), (1e-4, 1e6), (1e-4, 1e4), (1e-4, 1e4))
 
 
@@ -45,7 +47,7 @@ def bg_summary(
     """Per customer: repeat occasions ``x``, ``tx``, ``age`` and mean value ``m``.
 
     ``cutoff`` is exclusive and defaults to the day after the last occasion of
-    all; the customer table is then pinned, so that occasions are read once.
+    all. The customer table is pinned: every model reads it several times.
     ``m`` averages the repeat occasions. ``include_first`` averages all of them
     and adds ``m_count``, the count to pass to Gamma-Gamma with that mean.
     """
@@ -58,11 +60,10 @@ def bg_summary(
         F.sum("amount").alias("total"),
         F.min_by("amount", "order_date").alias("first_amount"),
     )
+    history = pin(history)
     if cutoff is None:
-        history = pin(history)
-        day = history.agg(F.date_add(F.max("last_day"), 1).alias("day")).scalar()
-    else:
-        day = F.lit(cutoff).cast("date")
+        cutoff = history.agg(F.date_add(F.max("last_day"), 1)).first()[0]
+    day = F.lit(cutoff).cast("date")
     x = F.col("purchases") - 1
     tx_days = F.date_diff("last_day", "first_day")
     age_days = F.date_diff(day, "first_day")
@@ -265,20 +266,38 @@ def bg_alive(summary: DataFrame, params: BgParams) -> DataFrame:
     )
 
 
-def bg_expected(
-    summary: DataFrame, params: BgParams, horizons: Sequence[float]
+def per_history(
+    summary: DataFrame, add: Callable[[DataFrame], DataFrame], limit: int = HISTORY_ROWS
 ) -> DataFrame:
-    """Expected purchases over each horizon, one row per customer and horizon.
+    """Add columns that depend on ``x`` and ``age`` alone, once per distinct pair.
 
-    The series runs on every row where it lies. Sharing it between customers of
-    equal ``(x, age)`` would need a join on a key that one-time customers crowd.
+    Pairs are counted first. Up to ``limit`` of them are broadcast to the customers,
+    who stay where they lie; beyond it every customer's row is worked out itself.
     """
-    rows = summary.withColumn(
-        "horizon", F.explode(F.array(*[F.lit(float(h)) for h in horizons]))
-    ).withColumn("_z", horizon_share(F.col("age"), F.col("horizon"), params))
+    histories = summary.select("x", "age_days", "age").distinct()
+    if histories.count() > limit:
+        return add(summary)
+    shared = add(histories).drop("age")
+    added = [name for name in shared.columns if name not in ("x", "age_days")]
+    joined = summary.join(F.broadcast(shared), ["x", "age_days"])
+    return joined.select(*summary.columns, *added)
+
+
+def bg_expected(
+    summary: DataFrame, params: BgParams, horizons: Sequence[float], limit: int = HISTORY_ROWS
+) -> DataFrame:
+    """Expected purchases over each horizon, one row per customer and horizon."""
     x = F.col("x")
-    expected = expected_if_alive(x, F.col("_z"), params) * alive(x, F.col("tx"), F.col("age"), params)
-    return rows.withColumn("expected_purchases", expected).drop("_z")
+
+    def add(rows: DataFrame) -> DataFrame:
+        lengths = F.array(*[F.lit(float(h)) for h in horizons])
+        rows = rows.withColumn("horizon", F.explode(lengths))
+        rows = rows.withColumn("_z", horizon_share(F.col("age"), F.col("horizon"), params))
+        return rows.withColumn("_if_alive", expected_if_alive(x, F.col("_z"), params)).drop("_z")
+
+    p_alive = alive(x, F.col("tx"), F.col("age"), params)
+    rows = per_history(summary, add, limit)
+    return rows.withColumn("expected_purchases", F.col("_if_alive") * p_alive).drop("_if_alive")
 
 
 def bg_total(expected: DataFrame) -> DataFrame:
@@ -311,13 +330,15 @@ def bg_holdout(
         )
         .filter(F.col("purchases") > 0)
     )
+    age_days = F.date_diff(day, "first_day")
     split = history.select(
         (F.col("purchases") - 1).alias("x"),
         (F.date_diff("last_day", "first_day") / unit).alias("tx"),
-        (F.date_diff(day, "first_day") / unit).alias("age"),
+        age_days.alias("age_days"),
+        (age_days / unit).alias("age"),
         "actual",
     )
-    return bg_expected(split, params, [horizon]).groupBy("x").agg(
+    return bg_expected(pin(split), params, [horizon]).groupBy("x").agg(
         F.count("*").alias("customers"),
         F.sum("expected_purchases").alias("predicted"),
         F.sum("actual").alias("actual"),

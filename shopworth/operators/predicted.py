@@ -13,6 +13,7 @@ from shopworth.functions.models import (
     horizon_share,
     mean_value,
 )
+from shopworth.operators.bgnbd import HISTORY_ROWS, per_history
 
 
 def cltv(
@@ -23,30 +24,38 @@ def cltv(
     discount: float = 0.0,
     margin: float = 1.0,
     count: str = "x",
+    limit: int = HISTORY_ROWS,
 ) -> DataFrame:
     """Add ``expected_purchases``, ``expected_average_profit`` and ``cltv``.
 
     ``periods`` and ``discount`` are per model time unit. Without discount only
     the whole horizon counts. With it, the gain of each period is discounted;
     summed by parts that is a weighted sum of the expectations at every period
-    end, which each row works out by itself without a shuffle.
+    end, which a row works out by itself without a shuffle.
     """
-    x, tx, age = F.col("x"), F.col("tx"), F.col("age")
-    p_alive = alive(x, tx, age, bg)
-    rows = summary.withColumn("_z", horizon_share(age, F.lit(float(periods)), bg)).withColumn(
-        "expected_purchases", expected_if_alive(x, F.col("_z"), bg) * p_alive
-    )
-    rows = rows.withColumn("expected_average_profit", mean_value(F.col(count), F.col("m"), gg))
-    if discount == 0:
-        counted = F.col("expected_purchases")
-    else:
+    x, age = F.col("x"), F.col("age")
+
+    def add(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_z", horizon_share(age, F.lit(float(periods)), bg))
+        rows = rows.withColumn("_if_alive", expected_if_alive(x, F.col("_z"), bg)).drop("_z")
+        if discount == 0:
+            return rows.withColumn("_counted", F.col("_if_alive"))
         factors = [(1 + discount) ** -k for k in range(1, periods + 1)]
-        weights = [f - g for f, g in zip(factors, [*factors[1:], 0.0])]
+        weights = F.array(*[F.lit(f - g) for f, g in zip(factors, [*factors[1:], 0.0])])
         ends = F.transform(
             F.sequence(F.lit(1), F.lit(periods)), lambda k: horizon_share(age, k.cast("double"), bg)
         )
         values = F.transform(ends, lambda z: expected_if_alive(x, z, bg))
-        weighted = F.zip_with(values, F.array(*[F.lit(w) for w in weights]), lambda e, w: e * w)
-        counted = F.aggregate(weighted, F.lit(0.0), lambda total, part: total + part) * p_alive
-    value = margin * F.col("expected_average_profit") * counted
-    return rows.withColumn("cltv", value).drop("_z")
+        weighted = F.zip_with(values, weights, lambda value, weight: value * weight)
+        total = F.aggregate(weighted, F.lit(0.0), lambda total, part: total + part)
+        return rows.withColumn("_counted", total)
+
+    p_alive = alive(x, F.col("tx"), age, bg)
+    profit = F.col("expected_average_profit")
+    return (
+        per_history(summary, add, limit)
+        .withColumn("expected_purchases", F.col("_if_alive") * p_alive)
+        .withColumn("expected_average_profit", mean_value(F.col(count), F.col("m"), gg))
+        .withColumn("cltv", margin * profit * F.col("_counted") * p_alive)
+        .drop("_if_alive", "_counted")
+    )

@@ -33,14 +33,21 @@ def prepare(df: DataFrame, mapping: Mapping[str, str], cutoff=None) -> DataFrame
 
     ``cutoff`` is exclusive. The filters fold into the scan.
     """
-    missing = [source for source in mapping.values() if source not in df.columns]
-    missing += [name for name in TRANSACTION_TYPES if name not in mapping]
+    missing = [name for name in TRANSACTION_TYPES if name not in mapping]
+    missing += [source for source in mapping.values() if source not in df.columns]
     if missing:
         raise ValueError(f"no column for: {', '.join(missing)}")
+    # Filters on the columns as stored reach the scan; casts may add further nulls.
+    for source in mapping.values():
+        df = df.filter(F.col(source).isNotNull())
     txn = df.select(
         *[F.col(mapping[name]).cast(kind).alias(name) for name, kind in TRANSACTION_TYPES.items()]
     )
-    txn = txn.dropna().filter(F.col("amount") > 0)
+    stored = dict(df.dtypes)
+    for name, kind in TRANSACTION_TYPES.items():
+        if stored[mapping[name]] != kind:
+            txn = txn.filter(F.col(name).isNotNull())
+    txn = txn.filter(F.col("amount") > 0)
     if cutoff is not None:
         txn = txn.filter(F.col("order_date") < F.lit(cutoff).cast("date"))
     return txn

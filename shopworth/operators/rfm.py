@@ -27,20 +27,20 @@ DEFAULT_RULES = tuple(
 def rfm_metrics(txn: DataFrame, analysis_date=None, unique_orders: bool = False) -> DataFrame:
     """Days since the last order, distinct orders and total amount per customer.
 
-    The analysis date defaults to the day after the last order of all; the
-    customer table is then pinned, so that the purchases are read only once.
+    The analysis date defaults to the day after the last order of all. The customer
+    table is pinned: scoring reads it several times.
     """
     orders = F.count("*") if unique_orders else F.count_distinct("order_id")
-    totals = txn.groupBy("customer_id").agg(
-        F.max("order_date").alias("last_order"),
-        orders.alias("frequency"),
-        money_sum(F.col("amount")).alias("monetary"),
+    totals = pin(
+        txn.groupBy("customer_id").agg(
+            F.max("order_date").alias("last_order"),
+            orders.alias("frequency"),
+            money_sum(F.col("amount")).alias("monetary"),
+        )
     )
     if analysis_date is None:
-        totals = pin(totals)
-        day = totals.agg(F.date_add(F.max("last_order"), 1).alias("day")).scalar()
-    else:
-        day = F.lit(analysis_date).cast("date")
+        analysis_date = totals.agg(F.date_add(F.max("last_order"), 1)).first()[0]
+    day = F.lit(analysis_date).cast("date")
     return totals.filter(F.col("monetary") > 0).select(
         "customer_id", F.date_diff(day, "last_order").alias("recency_days"), "frequency", "monetary"
     )

@@ -21,27 +21,43 @@ def _as_text(column: Column, kind: str) -> Column:
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Rows, nulls, distinct values, least, greatest and mean value of every column.
 
-    Each column is aggregated on its own scan of that column alone. One aggregate
-    with several distinct counts would copy every row once per column instead.
-    ``exact=False`` replaces the distinct count, which shuffles every distinct
-    value, by a sketch.
+    Each column is counted by value on its own scan of that column alone, and the
+    counts give all the figures. One aggregate with several distinct counts would
+    copy every row once per column instead. ``exact=False`` replaces the distinct
+    count, whose shuffle carries every distinct value, by a sketch.
     """
     parts = []
     for field in df.schema.fields:
         column, kind = F.col(field.name), field.dataType.simpleString()
-        distinct = F.count_distinct(column) if exact else F.approx_count_distinct(column)
-        mean = F.avg(column) if isinstance(field.dataType, NumericType) else F.lit(None)
+        number = (column if isinstance(field.dataType, NumericType) else F.lit(None)).cast("double")
+        if exact:
+            values = df.groupBy(column).agg(F.count("*").alias("_rows"))
+            rows = F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint"))
+            nulls = F.coalesce(F.sum(F.when(column.isNull(), F.col("_rows"))), F.lit(0).cast("bigint"))
+            distinct = F.count(column)
+            total = F.sum(number * F.col("_rows"))
+        else:
+            values = df.select(column)
+            rows, nulls = F.count("*"), F.count_if(column.isNull())
+            distinct = F.approx_count_distinct(column)
+            total = F.sum(number)
         parts.append(
-            df.select(column)
-            .agg(
-                F.count("*").alias("rows"),
-                F.count_if(column.isNull()).alias("nulls"),
+            values.agg(
+                rows.alias("rows"),
+                nulls.alias("nulls"),
                 distinct.alias("distinct_values"),
                 _as_text(F.min(column), kind).alias("least"),
                 _as_text(F.max(column), kind).alias("greatest"),
-                mean.cast("double").alias("mean"),
+                total.alias("_total"),
+            ).select(
+                F.lit(field.name).alias("column"),
+                "rows",
+                "nulls",
+                "distinct_values",
+                "least",
+                "greatest",
+                F.try_divide("_total", F.col("rows") - F.col("nulls")).alias("mean"),
             )
-            .select(F.lit(field.name).alias("column"), "*")
         )
     return reduce(DataFrame.union, parts)
 

@@ -65,8 +65,6 @@ def rfm(
 ) -> DataFrame:
     """RFM metrics, scores and segment of every customer at ``analysis_date``."""
     metrics = rfm_metrics(_before(txn, analysis_date), analysis_date, unique_orders)
-    if analysis_date is not None:
-        metrics = pin(metrics)
     return rfm_segments(rfm_scores(metrics, k), rules)
 
 
@@ -86,7 +84,7 @@ def predict_cltv(
 
     Models whose parameters are not given are fitted to the same purchases.
     """
-    summary = pin(bg_summary(occasions(txn), cutoff, unit, include_first))
+    summary = bg_summary(occasions(txn), cutoff, unit, include_first)
     count = "m_count" if include_first else "x"
     if bg is None:
         bg = BgParams(*bg_fit(bg_stats(summary), unit=unit).theta)

@@ -14,9 +14,10 @@ GG = GgParams(p=6.25, q=3.74, v=15.44)
 
 
 def summary_of(spark, rows):
-    return spark.createDataFrame(
+    df = spark.createDataFrame(
         rows, "customer_id bigint, x bigint, tx double, age double, m double"
     )
+    return df.withColumn("age_days", F.round(F.col("age") * 7).cast("int"))
 
 
 def direct_expected(x, tx, age, horizon, params, terms=20_000):
@@ -81,6 +82,18 @@ def test_expected_equals_published_series(spark, x, tx, age, horizon, params):
     assert row["expected_purchases"] == pytest.approx(expected, rel=1e-8)
 
 
+def test_shared_and_own_series_agree(spark):
+    rows = [(i, i % 4, 1.0 * (i % 4), 8.0 + i % 3, 20.0 + i) for i in range(60)]
+    customers = summary_of(spark, rows)
+    for compute in (
+        lambda limit: bg_expected(customers, BG, [4, 26], limit),
+        lambda limit: cltv(customers, BG, GG, 5, discount=0.01, limit=limit),
+        lambda limit: cltv(customers, BG, GG, 5, limit=limit),
+    ):
+        shared, own = compute(12), compute(11)
+        assert sorted(map(tuple, shared.select(*own.columns).collect())) == sorted(map(tuple, own.collect()))
+
+
 def test_singular_parameters_are_stepped_over(spark):
     customers = summary_of(spark, [(1, 0, 0.0, 10.0, None), (2, 3, 5.0, 10.0, None)])
     for params in (BG._replace(a=1.0), BG._replace(a=0.4, b=0.6)):
