@@ -218,15 +218,9 @@ class _Likelihood:
     def __call__(self, theta: Sequence[float]) -> Evaluation:
         names = BgParams._fields
         constants = {f"_{name}": F.lit(value) for name, value in zip(names, theta)}
-        repeats = self.repeats.withColumns(constants).agg(*self.repeat_sums)
         histories = self.stats.withColumns(constants).withColumns(self.terms)
-        row = (
-            histories.withColumns(self.odds)
-            .agg(*self.sums)
-            .withColumn("repeats", repeats.select(F.struct("*")).scalar())
-            .first()
-        )
-        extra = row["repeats"]
+        row = histories.withColumns(self.odds).agg(*self.sums).first()
+        extra = self.repeats.withColumns(constants).agg(*self.repeat_sums).first()
         gradient = np.array([row[p] for p in names])
         gradient += [extra["r"], 0.0, -extra["ab"], extra["b"] - extra["ab"]]
         hessian = np.zeros((4, 4))

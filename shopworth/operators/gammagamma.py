@@ -88,16 +88,10 @@ class _Likelihood:
     def __call__(self, theta: Sequence[float]) -> Evaluation:
         p, q, v = theta
         constants = {"_p": F.lit(p), "_q": F.lit(q), "_v": F.lit(v)}
+        s = self.values.withColumns(constants).withColumns(self.terms).agg(*self.sums).first()
         counts = self.counts.withColumns(constants).withColumns(self.shapes)
-        counts = counts.withColumns(self.gammas).agg(*self.count_sums)
-        s = (
-            self.values.withColumns(constants)
-            .withColumns(self.terms)
-            .agg(*self.sums)
-            .withColumn("gammas", counts.select(F.struct("*")).scalar())
-            .first()
-        )
-        g, fixed = s["gammas"], self.fixed
+        g = counts.withColumns(self.gammas).agg(*self.count_sums).first()
+        fixed = self.fixed
         n, log_v = fixed["n"], float(np.log(v))
         repeats = p * (fixed["x_log_m"] + fixed["x_log_x"] - s["x_log_reach"]) - fixed["log_m"]
         value = g["value"] + q * (n * log_v - s["log_reach"]) + repeats
