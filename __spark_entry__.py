@@ -102,7 +102,7 @@ def _base(spark, d, cutoff=None):
 
 def _valued(spark, d, cutoff=None):
     base = pin(_base(spark, d, cutoff))
-    pop = descriptive.population(base)
+    pop = pin(descriptive.population(base))
     return (
         base.transform(descriptive.with_aov)
         .transform(descriptive.with_frequency, pop)
@@ -159,11 +159,11 @@ def clv_cutoff(spark, d):
 
 
 def clv_segments(spark, d):
-    return segment(pin(_valued(spark, d)), "clv").select("customer_id", "clv", "segment")
+    return segment(_valued(spark, d), "clv").select("customer_id", "clv", "segment")
 
 
 def clv_segment_summary(spark, d):
-    whole = segment(pin(_valued(spark, d)), "clv").withColumn("clv", F.round("clv"))
+    whole = segment(_valued(spark, d), "clv").withColumn("clv", F.round("clv"))
     return summary.summarise(whole, "segment", ["clv"])
 
 

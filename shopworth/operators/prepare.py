@@ -73,9 +73,13 @@ def order_amounts(orders: DataFrame, lines: DataFrame) -> DataFrame:
 def drop_returns(
     df: DataFrame, returns: DataFrame | None = None, key: str = "order_id", flag: str = "R"
 ) -> DataFrame:
-    """Leave out returned purchases: flagged rows, or rows whose key is in ``returns``."""
+    """Leave out returned purchases: flagged rows, or rows whose key is in ``returns``.
+
+    Keys of ``returns`` are made distinct first, so a key returned very often
+    meets the join once.
+    """
     if returns is not None:
-        return df.join(returns.select(key), key, "left_anti")
+        return df.join(returns.select(key).distinct(), key, "left_anti")
     return df.filter(~F.col("return_flag").eqNullSafe(flag))
 
 

@@ -1,11 +1,12 @@
 """Exact ranks, n-tiles and quantiles without sorting a whole table in one task.
 
 An n-tile over all customers only depends on the few rows that end each tile.
-Those rows are found by counting: quantile sketches bracket each wanted rank,
-one pass counts the rows below and inside each bracket, and only the rows inside
-are grouped and ordered. Every other row is compared with the boundaries where
-it already lies, so assigning tiles shuffles nothing. The counts decide, so the
-result is exact whatever the sketches say.
+Those rows are found by counting: a sketch of a sample suggests a bracket around
+each wanted rank, one pass over all rows counts those below and inside each
+bracket, and only the rows inside are grouped and ordered. Every other row is
+compared with the boundaries where it already lies, so assigning tiles shuffles
+nothing. The counts decide: a bracket that misses its rank is dropped, so the
+result is exact whatever the sketch says.
 
 ``df`` is read several times; :func:`shopworth.sources.pin` a costly one first.
 """
@@ -14,7 +15,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 
 # Brackets holding more rows than this are narrowed before their rows are ordered.
 BRACKET_ROWS = 500_000
+# Sampled rows per sketch; enough for the accuracy below, however many rows there are.
+SKETCH_ROWS = 2_000_000
 SKETCH_ACCURACY = 1_000
 MAX_NARROWINGS = 3
 
@@ -46,6 +51,7 @@ class Found(NamedTuple):
 class _Bracket:
     """Rows of one key column within ``[low, high]`` and the ranks wanted there."""
 
+    owner: int
     key: Column
     ranks: list[int]
     rows: int
@@ -62,29 +68,30 @@ class _Bracket:
 
 def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
     """One bracket per rank, cut down to the neighbourhood of that rank."""
-    single = [
-        _Bracket(b.key, [rank], b.rows, b.below, b.low, b.high) for b in brackets for rank in b.ranks
-    ]
     margin = 2 / SKETCH_ACCURACY
     sketches = []
-    for i, b in enumerate(single):
-        share = (b.ranks[0] - b.below) / b.rows
-        ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
-        sketches.append(
-            F.percentile_approx(F.when(b.inside(), b.key), ends, SKETCH_ACCURACY).alias(f"s{i}")
-        )
-    ends = df.agg(*sketches).first()
+    for i, b in enumerate(brackets):
+        shares = [(rank - b.below) / b.rows for rank in b.ranks]
+        ends = [end for s in shares for end in (max(s - margin, 0.0), min(s + margin, 1.0))]
+        inside = F.when(b.inside(), b.key)
+        sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"s{i}"))
+    fraction = SKETCH_ROWS / min(b.rows for b in brackets)
+    sampled = df.sample(fraction) if fraction < 1 else df
+    suggested = sampled.agg(*sketches).first()
+    single, low_high = [], []
+    for b, ends in zip(brackets, suggested):
+        for j, rank in enumerate(b.ranks):
+            single.append(replace(b, ranks=[rank]))
+            low_high.append(ends[2 * j : 2 * j + 2] if ends else (None, None))
     counts = []
-    for i, b in enumerate(single):
-        low, high = F.lit(ends[i][0]), F.lit(ends[i][1])
-        counts.append(F.count_if(b.key < low).alias(f"below{i}"))
-        counts.append(F.count_if(b.key.between(low, high)).alias(f"rows{i}"))
+    for i, (b, (low, high)) in enumerate(zip(single, low_high)):
+        counts.append(F.count_if(b.key < F.lit(low)).alias(f"below{i}"))
+        counts.append(F.count_if(b.key.between(F.lit(low), F.lit(high))).alias(f"rows{i}"))
     counted = df.agg(*counts).first()
-    for i, b in enumerate(single):
+    for i, (b, (low, high)) in enumerate(zip(single, low_high)):
         below, rows = counted[2 * i], counted[2 * i + 1]
         if below < b.ranks[0] <= below + rows:
-            b.low, b.high = ends[i]
-            b.below, b.rows = below, rows
+            b.low, b.high, b.below, b.rows = low, high, below, rows
     return single
 
 
@@ -101,43 +108,44 @@ def order_statistics(
     Equal keys collapse to a count before the shuffle, so a key shared by a third
     of all rows costs no more than any other.
     """
-    brackets = [(i, _Bracket(key, sorted(set(ranks)), rows)) for i, (key, rows, ranks) in enumerate(wanted)]
-    brackets = [(i, b) for i, b in brackets if b.ranks]
+    brackets = [
+        _Bracket(i, key, sorted(set(ranks)), rows) for i, (key, rows, ranks) in enumerate(wanted) if ranks
+    ]
     for _ in range(MAX_NARROWINGS):
-        wide = [(i, b) for i, b in brackets if _wide(b, limit)]
+        wide = [b for b in brackets if _wide(b, limit)]
         if not wide:
             break
-        brackets = [(i, b) for i, b in brackets if not _wide(b, limit)]
-        owners = [i for i, b in wide for _ in b.ranks]
-        brackets += list(zip(owners, _narrowed(df, [b for _, b in wide])))
+        brackets = [b for b in brackets if not _wide(b, limit)] + _narrowed(df, wide)
     found: list[dict[int, Found]] = [{} for _ in wanted]
     if not brackets:
         return found
 
     members = [
         F.when(b.inside(), F.struct(F.lit(slot).alias("slot"), b.key.alias("key")))
-        for slot, (_, b) in enumerate(brackets)
+        for slot, b in enumerate(brackets)
     ]
+    taking_part = reduce(or_, [b.inside() for b in brackets])
     counts = (
-        df.select(F.explode(F.array_compact(F.array(*members))).alias("member"))
+        df.filter(taking_part)
+        .select(F.explode(F.array_compact(F.array(*members))).alias("member"))
         .groupBy("member.slot", "member.key")
         .agg(F.count("*").alias("ties"))
     )
     ordered = Window.partitionBy("slot").orderBy("key")
     upto = F.sum("ties").over(ordered)
     hit = F.lit(False)
-    for slot, (_, b) in enumerate(brackets):
+    for slot, b in enumerate(brackets):
         for rank in b.ranks:
             local = rank - b.below
             hit = hit | (
                 (F.col("slot") == slot) & (F.col("upto") >= local) & (F.col("upto") - F.col("ties") < local)
             )
     for row in counts.withColumn("upto", upto).filter(hit).collect():
-        i, b = brackets[row["slot"]]
+        b = brackets[row["slot"]]
         before = b.below + row["upto"] - row["ties"]
         for rank in b.ranks:
             if before < rank <= before + row["ties"]:
-                found[i][rank] = Found(row["key"], rank - before, row["ties"])
+                found[b.owner][rank] = Found(row["key"], rank - before, row["ties"])
     return found
 
 

@@ -45,7 +45,7 @@ def clv(
 ) -> DataFrame:
     """Descriptive lifetime value and segment of every customer."""
     base = pin(customer_base(_before(txn, cutoff), unique_orders))
-    pop = population(base)
+    pop = pin(population(base))
     valued = (
         base.transform(with_aov)
         .transform(with_frequency, pop)
@@ -53,7 +53,7 @@ def clv(
         .transform(with_value)
         .transform(with_clv, pop)
     )
-    return segment(pin(valued), "clv", labels)
+    return segment(valued, "clv", labels)
 
 
 def rfm(

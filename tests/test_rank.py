@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shopworth.operators import rank
 from shopworth.operators.rank import Tile, ntiles, order_statistics, quantiles, segment
 
 SCHEMA = "id bigint, value double"
@@ -51,6 +52,13 @@ def test_ntile_with_one_value_only(spark, limit):
     assert spark_ntile(spark, rows, 5, limit=limit) == brute_ntile(rows, 5)
 
 
+@pytest.mark.parametrize("sampled", [1, 30, 400])
+def test_ntile_is_exact_whatever_the_sample_suggests(spark, monkeypatch, sampled):
+    monkeypatch.setattr(rank, "SKETCH_ROWS", sampled)
+    rows = skewed(2500, seed=9)
+    assert spark_ntile(spark, rows, 5, limit=30) == brute_ntile(rows, 5)
+
+
 def test_ntile_leaves_nulls_without_a_tile(spark):
     rows = [(1, None), (2, 3.0), (3, 1.0), (4, None), (5, 2.0)]
     assert spark_ntile(spark, rows, 2) == {1: None, 2: 2, 3: 1, 4: None, 5: 1}
