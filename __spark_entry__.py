@@ -429,7 +429,7 @@ _TXN = """txn AS (
          CAST(o_orderdate AS DATE) AS order_date, o_totalprice AS amount
   FROM orders
   WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL
-    AND o_orderdate IS NOT NULL AND o_totalprice > 0 {where})"""
+    AND o_orderdate IS NOT NULL AND o_totalprice > 0 AND NOT isnan(o_totalprice) {where})"""
 _ALL = _TXN.format(where="")
 _CUT = _TXN.format(where=f"AND CAST(o_orderdate AS DATE) < DATE '{CUTOFF}'")
 _HELD = _TXN.format(where=f"AND CAST(o_orderdate AS DATE) < DATE '{HOLDOUT_FROM}'")
@@ -438,7 +438,7 @@ _PURCHASES = """txn AS (
          CAST(ts AS DATE) AS order_date, value AS amount
   FROM events
   WHERE event_type = 'purchase' AND user_id IS NOT NULL AND event_id IS NOT NULL
-    AND ts IS NOT NULL AND value > 0)"""
+    AND ts IS NOT NULL AND value > 0 AND NOT isnan(value))"""
 
 _BASE = """base AS (
   SELECT customer_id, count(DISTINCT order_id) AS total_transaction,

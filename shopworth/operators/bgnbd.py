@@ -25,7 +25,7 @@ from shopworth.operators.prepare import MONEY_DECIMALS, money_sum
 from shopworth.sources.pinned import pin
 
 WEEK = 7
-# Distinct histories up to this many are small enough to broadcast.
+# Rows worked out per distinct history are broadcast up to this many.
 HISTORY_ROWS = 500_000
 BG_BOUNDS = ((1e-4, 1e4), (1e-4, 1e6), (1e-4, 1e4), (1e-4, 1e4))
 
@@ -261,17 +261,23 @@ def bg_alive(summary: DataFrame, params: BgParams) -> DataFrame:
 
 
 def per_history(
-    summary: DataFrame, add: Callable[[DataFrame], DataFrame], limit: int = HISTORY_ROWS
+    summary: DataFrame,
+    add: Callable[[DataFrame], DataFrame],
+    limit: int = HISTORY_ROWS,
+    copies: int = 1,
 ) -> DataFrame:
     """Add columns that depend on ``x`` and ``age`` alone, once per distinct pair.
 
-    Pairs are counted first. Up to ``limit`` of them are broadcast to the customers,
-    who stay where they lie; beyond it every customer's row is worked out itself.
+    Pairs are counted first. ``add`` makes ``copies`` rows of each; up to ``limit``
+    rows are broadcast to the customers, who stay where they lie, and beyond it
+    every customer's row is worked out itself.
     """
     histories = summary.select("x", "age_days", "age").distinct()
-    if histories.count() > limit:
+    if histories.count() * copies > limit:
         return add(summary)
-    shared = add(histories).drop("age")
+    # Few rows, but each costs a long series: spread them over all cores.
+    cores = summary.sparkSession.sparkContext.defaultParallelism
+    shared = add(histories.repartition(cores)).drop("age")
     added = [name for name in shared.columns if name not in ("x", "age_days")]
     joined = summary.join(F.broadcast(shared), ["x", "age_days"])
     return joined.select(*summary.columns, *added)
@@ -290,7 +296,7 @@ def bg_expected(
         return rows.withColumn("_if_alive", expected_if_alive(x, F.col("_z"), params)).drop("_z")
 
     p_alive = alive(x, F.col("tx"), F.col("age"), params)
-    rows = per_history(summary, add, limit)
+    rows = per_history(summary, add, limit, copies=len(horizons))
     return rows.withColumn("expected_purchases", F.col("_if_alive") * p_alive).drop("_if_alive")
 
 

@@ -47,7 +47,7 @@ def prepare(df: DataFrame, mapping: Mapping[str, str], cutoff=None) -> DataFrame
     for name, kind in TRANSACTION_TYPES.items():
         if stored[mapping[name]] != kind:
             txn = txn.filter(F.col(name).isNotNull())
-    txn = txn.filter(F.col("amount") > 0)
+    txn = txn.filter((F.col("amount") > 0) & ~F.isnan("amount"))
     if cutoff is not None:
         txn = txn.filter(F.col("order_date") < F.lit(cutoff).cast("date"))
     return txn

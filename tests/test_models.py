@@ -86,7 +86,7 @@ def test_shared_and_own_series_agree(spark):
     rows = [(i, i % 4, 1.0 * (i % 4), 8.0 + i % 3, 20.0 + i) for i in range(60)]
     customers = summary_of(spark, rows)
     for compute in (
-        lambda limit: bg_expected(customers, BG, [4, 26], limit),
+        lambda limit: bg_expected(customers, BG, [4, 26], 2 * limit),
         lambda limit: cltv(customers, BG, GG, 5, discount=0.01, limit=limit),
         lambda limit: cltv(customers, BG, GG, 5, limit=limit),
     ):

@@ -20,6 +20,7 @@ def raw(spark):
         (2, 13, "2020-01-02 09:00:00", None),
         (2, 14, "2020-01-02 23:59:59", "0"),
         (2, 15, "2020-01-02 23:59:59", "-3"),
+        (2, 17, "2020-01-02 23:59:59", "NaN"),
         (3, 16, "2020-01-03 00:00:00", "7"),
     ]
     df = spark.createDataFrame(rows, "who int, no int, at string, paid string")
