@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopworth.functions.models import GgParams, mean_value, value_loglik
@@ -65,32 +65,36 @@ class _Likelihood:
             F.sum(inverse * inverse).alias("inverse2"),
             F.sum(x * inverse * inverse).alias("x_inverse2"),
         ]
-        self.shapes = {"upper": p * x + q, "lower": p * x, "base": q}
-        self.gammas = {
-            f"{kind}_{name}": function(F.col(name))
-            for kind, function in (("g", log_gamma), ("d", digamma), ("t", trigamma))
-            for name in self.shapes
-        }
+        # A gamma function of every shape, with its sign and slopes by p and q.
         weight = F.col("customers")
 
-        def gap(high: str, low: str):
-            return weight * (F.col(high) - F.col(low))
-
+        def shape(z: Column, sign: Column, by_p: Column, by_q: int) -> Column:
+            named = {"z": z, "w": sign, "by_p": by_p.cast("double"), "by_q": F.lit(float(by_q))}
+            return F.struct(*[column.alias(name) for name, column in named.items()])
+
+        self.shapes = F.array(
+            shape(p * x + q, weight, x, 1),
+            shape(p * x, -weight, x, 0),
+            shape(q, -weight, F.lit(0), 1),
+        )
+        z, w, by_p, by_q = (F.col(name) for name in ("z", "w", "by_p", "by_q"))
+        self.gammas = {"g": w * log_gamma(z), "d": w * digamma(z), "t": w * trigamma(z)}
+        slope, curve = F.col("d"), F.col("t")
         self.count_sums = [
-            F.sum(gap("g_upper", "g_lower") - weight * F.col("g_base")).alias("value"),
-            F.sum(x * gap("d_upper", "d_lower")).alias("p"),
-            F.sum(gap("d_upper", "d_base")).alias("q"),
-            F.sum(x * x * gap("t_upper", "t_lower")).alias("p_p"),
-            F.sum(x * weight * F.col("t_upper")).alias("p_q"),
-            F.sum(gap("t_upper", "t_base")).alias("q_q"),
+            F.sum("g").alias("value"),
+            F.sum(by_p * slope).alias("p"),
+            F.sum(by_q * slope).alias("q"),
+            F.sum(by_p * by_p * curve).alias("p_p"),
+            F.sum(by_p * by_q * curve).alias("p_q"),
+            F.sum(by_q * by_q * curve).alias("q_q"),
         ]
 
     def __call__(self, theta: Sequence[float]) -> Evaluation:
         p, q, v = theta
         constants = {"_p": F.lit(p), "_q": F.lit(q), "_v": F.lit(v)}
         s = self.values.withColumns(constants).withColumns(self.terms).agg(*self.sums).first()
-        counts = self.counts.withColumns(constants).withColumns(self.shapes)
-        g = counts.withColumns(self.gammas).agg(*self.count_sums).first()
+        shapes = self.counts.withColumns(constants).select(F.inline(self.shapes))
+        g = shapes.withColumns(self.gammas).agg(*self.count_sums).first()
         fixed = self.fixed
         n, log_v = fixed["n"], float(np.log(v))
         repeats = p * (fixed["x_log_m"] + fixed["x_log_x"] - s["x_log_reach"]) - fixed["log_m"]
