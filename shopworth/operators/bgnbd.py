@@ -95,8 +95,9 @@ def _repeat_counts(stats: DataFrame) -> DataFrame:
     Sums over the purchases of every customer become sums over these rows.
     """
     by_count = stats.filter(F.col("x") > 0).groupBy("x").agg(F.sum("customers").alias("customers"))
+    earlier = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("x") - 1)).alias("i")
     return (
-        by_count.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("x") - 1)).alias("i"), "customers")
+        by_count.select(earlier, "customers")
         .groupBy("i")
         .agg(F.sum("customers").alias("customers"))
     )

@@ -98,3 +98,20 @@ def test_sums_do_not_depend_on_row_order(spark):
         df = spark.createDataFrame(rows, "segment string, v double").repartition(parts, F.rand(parts))
         sums.add(summarise(df, "segment", ["v"]).first()["v_sum"])
     assert len(sums) == 1
+
+
+def test_one_customer_with_a_third_of_all_orders(spark):
+    orders = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(2 + F.col("id") % 500).alias("customer_id"),
+        F.col("id").alias("order_id"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("order_date"),
+        (F.col("id") % 97 + 1.0).alias("amount"),
+    )
+    totals = {}
+    for i in range(9000):
+        customer = 1 if i % 3 == 0 else 2 + i % 500
+        number, money = totals.get(customer, (0, 0.0))
+        totals[customer] = (number + 1, money + i % 97 + 1.0)
+    for unique in (True, False):
+        rows = by_customer(customer_base(orders, unique_orders=unique))
+        assert {c: (r["total_transaction"], r["total_price"]) for c, r in rows.items()} == totals
