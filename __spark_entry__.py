@@ -26,6 +26,11 @@ from shopworth.sources import (
     read_table,
 )
 
+try:
+    from shopworth.llm import queries as llm
+except ImportError:  # the folder can be left out
+    llm = None
+
 # Published example parameters, and a date that leaves a period
 # before it to fit and one after it to check.
 BG = BgParams(r=0.243, alpha=4.414, a=0.793, b=2.426)
@@ -362,7 +367,7 @@ def cltv_fitted(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {
+    registered = {
         "txn_prepare": txn_prepare,
         "txn_prepare_cutoff": txn_prepare_cutoff,
         "txn_purchase_events": txn_purchase_events,
@@ -420,6 +425,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cltv_whole": cltv_whole,
         "cltv_fitted": cltv_fitted,
     }
+    return registered | (llm.queries() if llm else {})
 
 
 # --- The same questions in SQL ---------------------------------------------
@@ -628,7 +634,7 @@ def oracle_sql() -> dict[str, str]:
     model = f"WITH {_ALL}, {_LAST_SUMMARY}"
     labelled = f"""rounded AS (SELECT {_CLTV_COLUMNS}, segment
       FROM (SELECT *, {_LABEL.format('cltv')} FROM predicted))"""
-    return {
+    registered = {
         "txn_prepare": f"WITH {_ALL} SELECT * FROM txn",
         "txn_prepare_cutoff": f"WITH {_CUT} SELECT * FROM txn",
         "txn_purchase_events": f"WITH {_PURCHASES} SELECT * FROM txn",
@@ -740,3 +746,4 @@ def oracle_sql() -> dict[str, str]:
         "cltv_whole": f"""WITH {_HELD}, {_OCC}, {_SUMMARY.format(day=f"DATE '{HOLDOUT_FROM}'")},
           {_CLTV_DISCOUNTED}, {labelled} SELECT * FROM rounded""",
     }
+    return registered | (llm.oracle_sql() if llm else {})

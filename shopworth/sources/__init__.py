@@ -1,6 +1,6 @@
 """Where purchase tables come from and where results go."""
 
-from shopworth.sources.pinned import pin
+from shopworth.sources.pinned import pin, pinned, release
 from shopworth.sources.tables import (
     load_customers,
     load_lines,
@@ -16,6 +16,8 @@ __all__ = [
     "load_orders",
     "load_purchase_events",
     "pin",
+    "pinned",
     "read_table",
+    "release",
     "save",
 ]

@@ -1,10 +1,12 @@
 """Where intermediate tables go, by what the session names."""
 
+import os
 from unittest.mock import MagicMock
 
-from pyspark import StorageLevel
+import pytest
 
-from shopworth.sources import pinned
+from shopworth.sources import pin, pinned, release
+from shopworth.sources.pinned import scratch_folder
 
 
 def session(named=None, set_by_user=None, master="local[2]"):
@@ -16,31 +18,28 @@ def session(named=None, set_by_user=None, master="local[2]"):
 
 
 def test_the_named_folder_is_used():
-    assert pinned._scratch_folder(session(named="hdfs://shared/scratch")) == "hdfs://shared/scratch"
-    assert pinned._scratch_folder(session(set_by_user="hdfs://mine", master="yarn")) == "hdfs://mine"
+    assert scratch_folder(session(named="hdfs://shared/scratch")) == "hdfs://shared/scratch"
+    assert scratch_folder(session(set_by_user="hdfs://mine", master="yarn")) == "hdfs://mine"
 
 
-def test_local_mode_makes_its_own_folder():
+def test_local_mode_makes_its_own_folder_and_sets_nothing():
     spark = session()
-    pinned._scratch_folder(spark)
-    (folder,) = spark.sparkContext.setCheckpointDir.call_args.args
-    assert "shopworth-" in folder
+    assert "shopworth-" in scratch_folder(spark)
+    spark.sparkContext.setCheckpointDir.assert_not_called()
+    spark.conf.set.assert_not_called()
 
 
-def test_a_cluster_without_a_folder_persists():
-    spark = session(master="yarn")
-    df = MagicMock(sparkSession=spark)
-    assert pinned.pin(df) is df.persist.return_value
-    df.persist.assert_called_once_with(StorageLevel.MEMORY_AND_DISK)
-    spark.sparkContext.setCheckpointDir.assert_not_called()
-    df.write.parquet.assert_not_called()
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_a_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session(master=master))
 
 
-def test_each_table_gets_its_own_path():
-    spark = session(named="/shared/")
-    df = MagicMock(sparkSession=spark)
-    pinned.pin(df)
-    pinned.pin(df)
-    paths = [call.args[0] for call in df.write.parquet.call_args_list]
-    assert len(set(paths)) == 2
-    assert all(path.startswith("/shared/shopworth-") for path in paths)
+def test_tables_get_their_own_paths_and_can_be_released(spark):
+    before = pinned(spark)
+    first, second = pin(spark.range(3)), pin(spark.range(4))
+    assert (first.count(), second.count()) == (3, 4)
+    folders = [os.path.dirname(df.inputFiles()[0].removeprefix("file://")) for df in (first, second)]
+    assert len(set(folders)) == 2 and pinned(spark) == before + 2
+    release(spark, since=before)
+    assert pinned(spark) == before and not any(map(os.path.exists, folders))
