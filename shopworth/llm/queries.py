@@ -6,7 +6,7 @@ import os
 from functools import cache
 from importlib.util import find_spec
 
-from shopworth.llm import byte_bpe, packing
+from shopworth.llm import byte_bpe, near_dup, packing
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -34,10 +34,16 @@ def op7_byte_bpe(spark, d):
     return byte_bpe.digest(byte_bpe.decode(encoded, ranks))
 
 
+def op9_minhash(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return near_dup.near_duplicates(docs, words=3, percent=85).drop("first_copy")
+
+
 def queries():
     return {
         "op1_packing": op1_packing,
         "op7_byte_bpe": op7_byte_bpe,
+        "op9_minhash": op9_minhash,
     }
 
 
