@@ -6,7 +6,7 @@ import os
 from functools import cache
 from importlib.util import find_spec
 
-from shopworth.llm import byte_bpe, near_dup, packing
+from shopworth.llm import byte_bpe, langid, near_dup, packing, quality
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -27,6 +27,12 @@ def op1_packing(spark, d):
     return packing.with_crc32(pieces).drop("ids")
 
 
+def op4_language(spark, d):
+    docs = load(spark, d, "documents").withColumn("held_out", langid.held_out())
+    model = langid.fit(docs.where("not held_out"))
+    return langid.predict(docs, model, keep=["doc_id", "held_out"])
+
+
 def op7_byte_bpe(spark, d):
     docs = load(spark, d, "documents")
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
@@ -39,11 +45,18 @@ def op9_minhash(spark, d):
     return near_dup.near_duplicates(docs, words=3, percent=85).drop("first_copy")
 
 
+def op10_quality(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs), keep=["doc_id"])
+
+
 def queries():
     return {
         "op1_packing": op1_packing,
+        "op4_language": op4_language,
         "op7_byte_bpe": op7_byte_bpe,
         "op9_minhash": op9_minhash,
+        "op10_quality": op10_quality,
     }
 
 
