@@ -6,7 +6,9 @@ import os
 from functools import cache
 from importlib.util import find_spec
 
-from shopworth.llm import byte_bpe, langid, near_dup, packing, quality
+from pyspark.sql import functions as F
+
+from shopworth.llm import byte_bpe, langid, lz, near_dup, packing, quality, secrets
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -27,6 +29,10 @@ def op1_packing(spark, d):
     return packing.with_crc32(pieces).drop("ids")
 
 
+def op2_lempel_ziv(spark, d):
+    return lz.edited_fingerprints(load(spark, d, "documents").select("doc_id", "text"))
+
+
 def op4_language(spark, d):
     docs = load(spark, d, "documents").withColumn("held_out", langid.held_out())
     model = langid.fit(docs.where("not held_out"))
@@ -40,6 +46,16 @@ def op7_byte_bpe(spark, d):
     return byte_bpe.digest(byte_bpe.decode(encoded, ranks))
 
 
+def op8_secrets(spark, d):
+    found = secrets.scan(load(spark, d, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(secrets.count("base_spans", k).alias(f"n_{k}") for k in secrets.BASE),
+        F.sha2(secrets.as_text("base_spans"), 256).alias("base_sha256"),
+        secrets.as_text("spans").alias("spans"),
+    )
+
+
 def op9_minhash(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "text")
     return near_dup.near_duplicates(docs, words=3, percent=85).drop("first_copy")
@@ -53,8 +69,10 @@ def op10_quality(spark, d):
 def queries():
     return {
         "op1_packing": op1_packing,
+        "op2_lempel_ziv": op2_lempel_ziv,
         "op4_language": op4_language,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_secrets": op8_secrets,
         "op9_minhash": op9_minhash,
         "op10_quality": op10_quality,
     }
