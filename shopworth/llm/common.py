@@ -32,6 +32,13 @@ def col(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def map_batches(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str
+) -> DataFrame:
+    """``mapInArrow`` that reads columns by position, so that their names may hold dots."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(function, schema)
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str
 ) -> DataFrame:
@@ -42,7 +49,7 @@ def map_arrow(
             if batch.num_rows:
                 yield function(batch)
 
-    return df.mapInArrow(over, schema)
+    return map_batches(df, over, schema)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

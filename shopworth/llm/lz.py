@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from shopworth.llm.common import GOLDEN, col, map_arrow, mix
+from shopworth.llm.common import GOLDEN, col, map_arrow, map_batches, mix
 from shopworth.llm.near_dup import _powers
 
 #: Least phrase hashes in a fingerprint.
@@ -212,4 +212,4 @@ def edited_fingerprints(df: DataFrame, id: str = "doc_id", text: str = "text") -
     texts = [pa.field(c, pa.string()) for c in schema.names[2:5]]
     doubles = [pa.field(c, pa.float64()) for c in schema.names[5:]]
     arrow = pa.schema([pa.field(id, pa.int64()), pa.field("n_chars", pa.int64()), *texts, *doubles])
-    return in_order(df, id, text).mapInArrow(run, schema)
+    return map_batches(in_order(df, id, text), run, schema)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from shopworth.llm.common import GOLDEN, col, lists, mix
+from shopworth.llm.common import GOLDEN, col, lists, map_batches, mix
 from shopworth.llm.components import components
 from shopworth.sources import pin
 
@@ -152,7 +152,7 @@ def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int
             )
 
     numbered = df.select(*map(col, keep), F.monotonically_increasing_id().alias("_uid"), col(text).alias("_text"))
-    return numbered.mapInArrow(run, schema)
+    return map_batches(numbered, run, schema)
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -222,7 +222,7 @@ def _verified(blocks: DataFrame, words: int, percent: int) -> DataFrame:
             yield _edges(found)
         yield _edges(list(edges(rows)))
 
-    return blocks.mapInArrow(run, "a long, b long")
+    return map_batches(blocks, run, "a long, b long")
 
 
 def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -8,7 +8,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import functions as F
 
-from shopworth.llm import byte_bpe, langid, lz, near_dup, packing, quality, secrets
+from shopworth.llm import byte_bpe, cross_polytope, langid, lz, near_dup, packing, quality, secrets
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -39,6 +39,10 @@ def op4_language(spark, d):
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op5_cross_polytope(spark, d):
+    return cross_polytope.near_vectors(load(spark, d, "embeddings"), keep=["vec_id"])
+
+
 def op7_byte_bpe(spark, d):
     docs = load(spark, d, "documents")
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
@@ -71,6 +75,7 @@ def queries():
         "op1_packing": op1_packing,
         "op2_lempel_ziv": op2_lempel_ziv,
         "op4_language": op4_language,
+        "op5_cross_polytope": op5_cross_polytope,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_secrets": op8_secrets,
         "op9_minhash": op9_minhash,

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopworth.llm.common import col
+from shopworth.llm.common import col, map_batches
 from shopworth.sources import pin
 
 # The base patterns, the kinds in the order of their listing, and the least lengths.
@@ -107,7 +107,7 @@ def _parts(df: DataFrame, keep: list[str], text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = df.select(*map(col, keep), F.monotonically_increasing_id().alias("_row"), col(text).alias("_text"))
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def _linked(parts: DataFrame) -> DataFrame:
