@@ -8,7 +8,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import functions as F
 
-from shopworth.llm import byte_bpe, cross_polytope, langid, lz, near_dup, packing, quality, secrets
+from shopworth.llm import byte_bpe, cross_polytope, langid, lz, near_dup, packing, quality, secrets, toxicity
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -33,6 +33,11 @@ def op2_lempel_ziv(spark, d):
     return lz.edited_fingerprints(load(spark, d, "documents").select("doc_id", "text"))
 
 
+def op3_toxicity(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return toxicity.predict(docs, toxicity.fit(docs, load(spark, d, "labels")), keep=["doc_id"])
+
+
 def op4_language(spark, d):
     docs = load(spark, d, "documents").withColumn("held_out", langid.held_out())
     model = langid.fit(docs.where("not held_out"))
@@ -74,6 +79,7 @@ def queries():
     return {
         "op1_packing": op1_packing,
         "op2_lempel_ziv": op2_lempel_ziv,
+        "op3_toxicity": op3_toxicity,
         "op4_language": op4_language,
         "op5_cross_polytope": op5_cross_polytope,
         "op7_byte_bpe": op7_byte_bpe,
