@@ -8,7 +8,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import functions as F
 
-from shopworth.llm import byte_bpe, cross_polytope, langid, lz, near_dup, packing, quality, secrets, toxicity
+from shopworth.llm import byte_bpe, cross_polytope, langid, licences, lz, near_dup, packing, quality, secrets, toxicity
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -48,6 +48,12 @@ def op5_cross_polytope(spark, d):
     return cross_polytope.near_vectors(load(spark, d, "embeddings"), keep=["vec_id"])
 
 
+def op6_licences(spark, d):
+    docs = load(spark, d, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licences.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op7_byte_bpe(spark, d):
     docs = load(spark, d, "documents")
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
@@ -82,6 +88,7 @@ def queries():
         "op3_toxicity": op3_toxicity,
         "op4_language": op4_language,
         "op5_cross_polytope": op5_cross_polytope,
+        "op6_licences": op6_licences,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_secrets": op8_secrets,
         "op9_minhash": op9_minhash,
