@@ -27,9 +27,10 @@ from shopworth.sources import (
 )
 
 try:
+    import corpus_pipeline
     from shopworth.llm import queries as llm
-except ImportError:  # the folder can be left out
-    llm = None
+except ImportError:  # both can be left out
+    corpus_pipeline = llm = None
 
 # Published example parameters, and a date that leaves a period
 # before it to fit and one after it to check.
@@ -425,7 +426,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cltv_whole": cltv_whole,
         "cltv_fitted": cltv_fitted,
     }
-    return registered | (llm.queries() if llm else {})
+    return registered | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 # --- The same questions in SQL ---------------------------------------------

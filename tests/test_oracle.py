@@ -11,7 +11,7 @@ import __spark_entry__ as registered
 DATA = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = registered.queries(), registered.oracle_sql()
 if registered.llm:  # these have tests of their own
-    QUERIES = {k: v for k, v in QUERIES.items() if k not in registered.llm.queries()}
+    QUERIES = {k: v for k, v in QUERIES.items() if k not in {"pipeline", *registered.llm.queries()}}
     SQL = {k: v for k, v in SQL.items() if k in QUERIES}
 
 
