@@ -9,41 +9,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopworth.llm import langid, near_dup, packing, quality, secrets
-from shopworth.llm.common import load
+from shopworth.llm.common import col, load
 from shopworth.llm.queries import END_ID, SEQUENCE, tokenizer_file
 from shopworth.sources import pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Columns that stages read; the others travel in one, so that no name can clash with a result.
+_READ = ("doc_id", "text", "lang")
+
+
+def _bundled(docs: DataFrame) -> DataFrame:
+    rest = [F.lit(0).alias("_none"), *(col(c) for c in docs.columns if c not in _READ)]
+    return docs.select(F.struct(*rest).alias("_rest"), *_READ)
+
+
+def _restored(df: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+
+    def restored(name: str) -> Column:
+        return changed.get(name, F.col(name) if name in _READ else F.col("_rest").getField(name))
+
+    return df.select(*(restored(c).alias(c) for c in docs.columns))
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label quality classifier does not reject."""
-    scored = quality.score(docs, quality.fit(docs))
-    return scored.where("kept").select(*docs.columns)
+    scored = quality.score(_bundled(docs), quality.fit(docs))
+    return _restored(scored.where("kept"), docs)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with confidence."""
     model = langid.fit(docs.where(~langid.held_out()))
-    return langid.predict(docs, model).where("NOT rejected").select(*docs.columns)
+    return _restored(langid.predict(_bundled(docs), model).where("NOT rejected"), docs)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near duplicates."""
-    found = near_dup.near_duplicates(docs, words=5, percent=80, keep=docs.columns)
-    return found.where("first_copy").select(*docs.columns)
+    found = near_dup.near_duplicates(_bundled(docs), words=5, percent=80, keep=["_rest", *_READ])
+    return _restored(found.where("first_copy"), docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in the place of every secret and ``n_chars`` counted anew."""
-    found = secrets.scan(docs, keep=docs.columns)
-    clean = found.withColumn("text", secrets.redacted("text", "spans"))
-    changed = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", changed).select(*docs.columns)
+    found = secrets.scan(_bundled(docs), keep=["_rest", *_READ])
+    clean = found.withColumn("_clean", secrets.redacted("text", "spans"))
+    changed = {"text": F.col("_clean")}
+    if "n_chars" in docs.columns:
+        number = F.length("_clean").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.size("spans") > 0, number).otherwise(F.col("_rest").getField("n_chars"))
+    return _restored(clean, docs, **changed)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

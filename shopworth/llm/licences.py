@@ -40,6 +40,8 @@ TEMPLATES = {
 }
 #: Stretches that hold none of these are no header and are not weighed.
 HINT = r"(?i)licen[cs]|copyright|spdx|permission is hereby|free software|redistribution and use|creative commons"
+#: Stands for a null path.
+_NOWHERE = "\0"
 _TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
@@ -148,19 +150,20 @@ def scan(
     """
     results = ["licence", "cosine", "inherited_from"]
     keep = [c for c in df.columns if c != text and c.lower() not in [*results, "_key", "_text", "_dir"]]
-    named = df.select(col(path).alias("_key"), col(text).alias("_text"))
+    key = F.coalesce(col(path), F.lit(_NOWHERE))
+    named = df.select(key.alias("_key"), col(text).alias("_text"))
     total, frequency = document_frequency(named, "_text")
     own = headers(named, "_text", total, frequency, least)
-    name = F.regexp_extract(F.coalesce("_key", F.lit("")), r"([^/]*)$", 1)
+    name = F.regexp_extract("_key", r"([^/]*)$", 1)
     is_file = (F.col("_share") >= file_share) | name.rlike(r"(?i)^(licen[sc]e|copying)(\.[a-z]+)?$")
-    files = own.where(is_file & F.col("_key").isNotNull())
+    files = own.where(is_file & (F.col("_key") != _NOWHERE))
     first = F.min(F.struct((-F.col("cosine")).alias("c"), "licence"))
     licensed = files.groupBy(_parent(F.col("_key")).alias("_at")).agg(first["licence"].alias("_licence"))
-    rows = df.select(*map(col, keep), col(path).alias("_key")).withColumn("_dir", _parent(F.col("_key")))
+    rows = df.select(*map(col, keep), key.alias("_key"), _parent(col(path)).alias("_dir"))
     directories = rows.where(F.col("_dir").isNotNull()).select("_dir").distinct()
     above = inherited(directories, licensed)
     own = own.select(F.col("_key").alias("_of"), "licence", "cosine").hint("merge")
-    out = rows.join(own, F.col("_key").eqNullSafe(F.col("_of")), "left").join(above.hint("merge"), "_dir", "left")
+    out = rows.join(own, F.col("_key") == F.col("_of"), "left").join(above.hint("merge"), "_dir", "left")
     return out.select(
         *map(col, keep),
         F.coalesce("licence", "_licence").alias("licence"),

@@ -9,6 +9,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from shopworth.llm.common import col, map_batches
 from shopworth.sources import pin
@@ -87,9 +88,11 @@ def weak_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
 
 def _parts(df: DataFrame, keep: list[str], text: str) -> DataFrame:
     """The columns ``keep`` with a row number, base spans and weak spans."""
-    kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    schema = f"{kept}{', ' if kept else ''}_row bigint, _base {SPANS}, _weak {SPANS}"
-    names = [*keep, "_row", "_base", "_weak"]
+    span = StructType().add("kind", "string").add("start", "long").add("end", "long")
+    schema = StructType([df.schema[c] for c in keep]).add("_row", "long")
+    for side in ("_base", "_weak"):
+        schema = schema.add(side, ArrayType(span))
+    names = schema.names
 
     def run(batches):
         for batch in batches:
