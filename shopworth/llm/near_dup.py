@@ -11,9 +11,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from shopworth.llm.common import GOLDEN, col, lists, map_batches, mix
+from shopworth.llm.common import GOLDEN, col, lists, map_arrow, map_batches, mix
 from shopworth.llm.components import components
 from shopworth.sources import pin
 
@@ -73,6 +73,11 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
+def _words_of(data: bytes) -> bytes:
+    """Lower-cased words between single blanks."""
+    return b" ".join(data.lower().split())
+
+
 def shingle_set(data: bytes, words: int) -> np.ndarray:
     """Sorted hashes of the distinct shingles of lower-cased ``data``."""
     w = word_hashes(data)
@@ -123,7 +128,7 @@ def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int
         [df.schema[c] for c in keep]
         + [
             StructField("_uid", LongType(), False),
-            StructField("_words", BinaryType(), True),
+            StructField("_packed", BinaryType(), True),
             StructField("_sequence", BinaryType(), True),
             StructField("_n", LongType(), False),
             StructField("_keys", ArrayType(LongType(), False), False),
@@ -134,11 +139,12 @@ def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int
         sketcher, packer = Sketcher(words, chunks), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             packed, sequences, sizes, keys = [], [], [], []
-            for value in batch.column(len(keep) + 1).to_pylist():
-                data = b" ".join((value or "").encode().lower().split())
+            for value in batch.column(len(keep) + 1):
+                value = value.as_py()
+                packed.append(None if value is None else packer.compress(value.encode()))
+                data = _words_of((value or "").encode())
                 shingles = shingle_set(data, words)
                 sizes.append(len(shingles))
-                packed.append(packer.compress(data) if data else None)
                 sequences.append(blake2b(data, digest_size=16).digest() if data else None)
                 if data:
                     keys.append(sketcher.keys(sketcher.signature(shingles)))
@@ -200,13 +206,13 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 def _verified(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     """Edges from each text to the first one of its block that confirmed links lead to.
 
-    ``blocks`` has ``_group, _i, _j, _uid, _words`` and is dealt and sorted by the
+    ``blocks`` has ``_group, _i, _j, _uid, _packed`` and is dealt and sorted by the
     first three, so that a block's rows follow one another.
     """
 
     def edges(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int]]:
         unpack = zstandard.ZstdDecompressor()
-        label = linked([shingle_set(unpack.decompress(data), words) for _, data in rows], percent)
+        label = linked([shingle_set(_words_of(unpack.decompress(data)), words) for _, data in rows], percent)
         for i in np.flatnonzero(label != np.arange(len(rows))):
             yield rows[i][0], rows[label[i]][0]
 
@@ -256,55 +262,75 @@ def near_duplicates(
     Returns the columns ``keep`` (all but the text by default) with ``n_shingles``,
     ``component_id`` (the least id reachable; null if none has one), ``kept`` (the
     id is that) and ``first_copy``, true for just one row per component also where
-    ids repeat. Null ids come last. Columns called like a result are dropped.
+    ids repeat. The text may be kept; it moves compressed. Null ids come last. Columns called like a result are dropped.
     """
     results = ["n_shingles", "component_id", "kept", "first_copy"]
-    names = ["_uid", "_words", "_sequence", "_n", "_keys", "_id"]
+    names = ["_uid", "_packed", "_sequence", "_n", "_keys", "_id"]
     keep = [c for c in df.columns if c != text] if keep is None else keep
-    keep = [c for c in keep if c.lower() not in results + names]
+    order = [c for c in keep if c.lower() not in results + names]
+    keep = [c for c in order if c != text]
     chunks = chunks_for(percent / 100)
-    rows = df.select(*map(col, dict.fromkeys([*keep, text])), col(id).alias("_id"))
+    rows = df.select(*map(col, [*keep, text]), col(id).alias("_id"))
     table = pin(_sketched(rows, [*keep, "_id"], text, words, chunks))
 
+    # Tables of documents, classes, keys and links have no bound: the hints keep them
+    # from being broadcast while they happen to be small.
     # classes of equal texts; rows without words stay alone
     firsts = table.where("_n > 0").groupBy("_sequence").agg(F.min("_uid").alias("_class"))
-    of_class = table.where("_n > 0").select("_uid", "_id", "_sequence").join(firsts, "_sequence")
+    of_class = table.where("_n > 0").select("_uid", "_id", "_sequence").join(firsts.hint("merge"), "_sequence")
     alone = table.where("_n = 0").select("_uid", "_id", F.col("_uid").alias("_class"))
     members = pin(of_class.select("_uid", "_id", "_class").union(alone))
     heads = members.where("_uid = _class").select("_uid")
-    keyed = table.where("_n > 0").select("_uid", "_keys").join(heads, "_uid", "left_semi")
+    keyed = table.where("_n > 0").select("_uid", "_keys").join(heads.hint("merge"), "_uid", "left_semi")
     keyed = keyed.select("_uid", F.explode("_keys").alias("_key"))
 
     # classes that may be similar
     shared = keyed.groupBy("_key").agg(F.min("_uid").alias("_least"), F.max("_uid").alias("_most"))
     shared = shared.where("_least < _most").select("_key", "_least")
-    maybe = keyed.join(shared, "_key").where("_uid <> _least")
+    maybe = keyed.join(shared.hint("merge"), "_key").where("_uid <> _least")
     groups = components(maybe.select(F.col("_uid").alias("a"), F.col("_least").alias("b")))
 
     # confirmed links
-    of_group = groups.toDF("_uid", "_group").join(table.select("_uid", "_words", "_n"), "_uid")
-    sizes = pin(of_group.select("_group", "_uid", "_words", "_n"))
+    of_group = groups.toDF("_uid", "_group").hint("merge").join(table.select("_uid", "_packed", "_n"), "_uid")
+    sizes = pin(of_group.select("_group", "_uid", "_packed", "_n"))
     blocks = sizes.groupBy("_group").agg(F.ceil(F.sum("_n") / BLOCK).cast("int").alias("_blocks"))
     own = F.pmod(F.xxhash64("_uid"), F.col("_blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    placed = sizes.join(blocks, "_group").select("_group", own.alias("_own"), other.alias("_other"), "_uid", "_words")
+    placed = sizes.join(blocks, "_group").select("_group", own.alias("_own"), other.alias("_other"), "_uid", "_packed")
     placed = placed.select(
-        "_group", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_uid", "_words"
+        "_group", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_uid", "_packed"
     )
     dealt = placed.repartition("_group", "_i", "_j").sortWithinPartitions("_group", "_i", "_j", "_uid")
     roots = components(_verified(dealt, words, percent)).toDF("_class", "_root")
 
     # back to all rows
-    rooted = members.join(roots, "_class", "left").select(
+    rooted = members.join(roots.hint("merge"), "_class", "left").select(
         "_uid", "_id", F.coalesce("_root", "_class").alias("_root")
     )
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_uid").alias("uid"))
-    leads = rooted.groupBy("_root").agg(F.min(order).alias("_lead"))
-    found = rooted.join(leads, "_root").select("_uid", "_lead")
-    return table.select(*map(col, keep), "_uid", "_id", "_n").join(found, "_uid").select(
-        *map(col, keep),
+    first = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_uid").alias("uid"))
+    leads = rooted.groupBy("_root").agg(F.min(first).alias("_lead"))
+    found = rooted.join(leads.hint("merge"), "_root").select("_uid", "_lead")
+    packed = ["_packed"] if text in order else []
+    out = table.select(*map(col, keep), *packed, "_uid", "_id", "_n").join(found.hint("merge"), "_uid").select(
+        *map(col, keep + packed),
         F.col("_n").alias("n_shingles"),
         F.col("_lead.id").alias("component_id"),
         F.coalesce(F.col("_id") == F.col("_lead.id"), F.lit(False)).alias("kept"),
         (F.col("_uid") == F.col("_lead.uid")).alias("first_copy"),
     )
+    return _unpacked(out, text).select(*map(col, order), *results) if packed else out
+
+
+def _unpacked(df: DataFrame, text: str) -> DataFrame:
+    """The text in the place of its compressed form."""
+    at = df.columns.index("_packed")
+    fields = [StructField(text, StringType(), True) if f.name == "_packed" else f for f in df.schema.fields]
+    schema = StructType(fields)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        unpack = zstandard.ZstdDecompressor()
+        texts = [None if x is None else unpack.decompress(x).decode() for x in batch.column(at).to_pylist()]
+        columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return map_arrow(df, run, schema)
