@@ -52,13 +52,13 @@ def encode(
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = byte_encoder(definition)
-        texts = batch.column(batch.num_columns - 1).to_pylist()
-        ids = [encoder.encode(t) if t else b"" for t in texts]
+        texts = batch.column(batch.num_columns - 1)
+        ids = [encoder.encode(t) if t else b"" for t in (x.as_py() for x in texts)]
         columns = [batch.column(i) for i in range(len(keep))] + [binary_column(ids)]
         if offsets:
             starts, ends, lengths = [], [], []
             for t, x in zip(texts, ids, strict=True):
-                data = np.frombuffer((t or "").encode(), np.uint8)
+                data = np.frombuffer((t.as_py() or "").encode(), np.uint8)
                 after = np.cumsum(sizes[np.frombuffer(x, "<u4")])
                 # character of each byte: how many characters have begun by then
                 begun = np.cumsum((data & 0xC0) != 0x80)
@@ -90,8 +90,8 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         joined = []
-        for value in batch.column(at).to_pylist():
-            numbers = np.frombuffer(value or b"", "<u4").tolist()
+        for value in batch.column(at):
+            numbers = np.frombuffer(value.as_py() or b"", "<u4").tolist()
             joined.append(b"".join([table[i] for i in numbers]))
         texts = [codecs.decode(b, "utf-8", "replace") for b in joined]
         columns = [*batch.columns, binary_column(joined), pa.array(texts, pa.string())]

@@ -14,9 +14,9 @@ import re
 from array import array
 from functools import lru_cache
 
-#: Stretches and words remembered in each of two generations; the older one is dropped when the newer is full.
-REMEMBERED = 1 << 18
-REMEMBERED_WORDS = 1 << 19
+#: Stretches remembered in each of two generations, and twice as many words; the
+#: older generation is dropped when the newer is full. About 300 bytes each.
+REMEMBERED = 1 << 16
 #: Characters of a text that are cut up at a time.
 SLICE = 1 << 20
 
@@ -85,7 +85,7 @@ def byte_bpe_json(ranks: dict[bytes, int]) -> str:
 class _Remembered(dict):
     """Ids of stretches; what is missing is encoded on first use."""
 
-    def __init__(self, encode, most: int = REMEMBERED):
+    def __init__(self, encode, most: int):
         super().__init__()
         self.encode, self.most, self.older = encode, most, {}
 
@@ -108,14 +108,14 @@ class _Encoder:
     others go through the whole tokenizer.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
-        self.known = _Remembered(self.stretch)
-        self.pieces = _Remembered(self.piece, REMEMBERED_WORDS)
+        self.known = _Remembered(self.stretch, remembered)
+        self.pieces = _Remembered(self.piece, 2 * remembered)
 
     def piece(self, text: str) -> bytes:
         """Ids of one match of the splitting pattern."""
@@ -130,7 +130,7 @@ class ByteEncoder(_Encoder):
 
     def __init__(self, definition: str):
         super().__init__(definition)
-        self.first = _Remembered(lambda data: self.ids(data.decode()))
+        self.first = _Remembered(lambda data: self.ids(data.decode()), 1 << 12)
 
     def stretch(self, data: bytes) -> bytes:
         return self.ids(" " + data.decode())
@@ -190,4 +190,4 @@ def byte_encoder(definition: str) -> ByteEncoder:
 
 @lru_cache(maxsize=2)
 def word_encoder(definition: str) -> WordEncoder:
-    return WordEncoder(definition)
+    return WordEncoder(definition, 2 * REMEMBERED)
