@@ -6,6 +6,7 @@ asked (value as of a date, or a holdout period), not a way to read less.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopworth.functions.models import BgParams, GgParams
 from shopworth.operators import bgnbd, descriptive, gammagamma, predicted, rfm, summary
-from shopworth.operators.prepare import cap, drop_returns, order_amounts
+from shopworth.operators.prepare import cap, drop_returns, order_amounts, prepare, significant
 from shopworth.operators.rank import Tile, ntiles, segment
 from shopworth.plans import clv, predict_cltv
 from shopworth.plans import rfm as rfm_analysis
@@ -24,6 +25,8 @@ from shopworth.sources import (
     load_purchase_events,
     pin,
     read_table,
+    save,
+    scratch_folder,
 )
 
 try:
@@ -87,7 +90,7 @@ def txn_capped(spark, d):
 
 def data_profile(spark, d):
     orders = read_table(spark, f"{d}/orders.parquet")
-    return summary.profile(orders).withColumn("mean", F.round("mean", 3))
+    return summary.profile(orders, exact=True).withColumn("mean", F.round("mean", 3))
 
 
 def top_customers(spark, d):
@@ -169,14 +172,35 @@ def clv_segments(spark, d):
 
 
 def clv_segment_summary(spark, d):
-    whole = segment(pin(_valued(spark, d)), "clv").withColumn("clv", F.round("clv"))
-    return summary.summarise(whole, "segment", ["clv"])
+    return summary.summarise(segment(pin(_valued(spark, d)), "clv"), "segment", ["clv"])
 
 
 def clv_whole(spark, d):
+    return clv(load_orders(spark, d), unique_orders=True)
+
+
+def clv_whole_cutoff(spark, d):
     return clv(load_orders(spark, d), cutoff=CUTOFF, unique_orders=True)
 
 
+def clv_text_ids(spark, d):
+    orders = read_table(spark, f"{d}/orders.parquet").select(
+        F.concat(F.lit("u-"), F.col("o_custkey").cast("string")).alias("who"),
+        F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("no"),
+        "o_orderdate",
+        "o_totalprice",
+    )
+    mapping = {"customer_id": "who", "order_id": "no", "order_date": "o_orderdate", "amount": "o_totalprice"}
+    return descriptive.customer_base(prepare(orders, mapping))
+
+
+def clv_customer_base_repeated(spark, d):
+    """Order lines as rows: order ids repeat and are counted once."""
+    lines = load_lines(spark, d).withColumn("amount", F.col("price") * (1 - F.col("discount")))
+    rows = load_orders(spark, d).drop("amount").join(lines, "order_id")
+    return descriptive.customer_base(rows)
+
+
 # --- RFM -------------------------------------------------------------------
 
 
@@ -226,9 +250,20 @@ def rfm_segment_customers(spark, d):
 
 
 def rfm_whole(spark, d):
+    return rfm_analysis(load_orders(spark, d), unique_orders=True)
+
+
+def rfm_whole_cutoff(spark, d):
     return rfm_analysis(load_orders(spark, d), HOLDOUT_FROM, unique_orders=True)
 
 
+def rfm_saved(spark, d):
+    """Segments as the sink wrote them, read back."""
+    path = f"{scratch_folder(spark)}/saved-{uuid.uuid4().hex}"
+    save(rfm_segments(spark, d), path)
+    return read_table(spark, path)
+
+
 def rfm_whole_events(spark, d):
     return rfm_analysis(load_purchase_events(spark, d), unique_orders=True)
 
@@ -354,14 +389,26 @@ def cltv_segments(spark, d):
 
 
 def cltv_segment_summary(spark, d):
-    return summary.summarise(_rounded_cltv(_labelled(spark, d), "segment"), "segment", ["cltv"])
+    summed = summary.summarise(_labelled(spark, d), "segment", ["cltv"])
+    ends = {name: significant(F.col(name), 9) for name in ("cltv_min", "cltv_max")}
+    return summed.withColumns(ends)
 
 
 def cltv_whole(spark, d):
+    valued = predict_cltv(load_orders(spark, d), HORIZON, None, DISCOUNT, bg=BG, gg=GG)
+    return _rounded_cltv(valued, "segment")
+
+
+def cltv_whole_cutoff(spark, d):
     valued = predict_cltv(load_orders(spark, d), HORIZON, HOLDOUT_FROM, DISCOUNT, bg=BG, gg=GG)
     return _rounded_cltv(valued, "segment")
 
 
+def cltv_horizons(spark, d):
+    valued = predict_cltv(load_orders(spark, d), HORIZONS, bg=BG, gg=GG)
+    return _rounded_cltv(valued, "horizon", "segment")
+
+
 def cltv_fitted(spark, d):
     return predict_cltv(load_orders(spark, d), HORIZON)
 
@@ -393,6 +440,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clv_segments": clv_segments,
         "clv_segment_summary": clv_segment_summary,
         "clv_whole": clv_whole,
+        "clv_whole_cutoff": clv_whole_cutoff,
+        "clv_text_ids": clv_text_ids,
+        "clv_customer_base_repeated": clv_customer_base_repeated,
         "rfm_metrics": rfm_metrics,
         "rfm_metrics_events": rfm_metrics_events,
         "ntile_frequency": ntile_frequency,
@@ -403,6 +453,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_segment_analysis": rfm_segment_analysis,
         "rfm_segment_customers": rfm_segment_customers,
         "rfm_whole": rfm_whole,
+        "rfm_whole_cutoff": rfm_whole_cutoff,
+        "rfm_saved": rfm_saved,
         "rfm_whole_events": rfm_whole_events,
         "bg_occasions": bg_occasions,
         "bg_summary": bg_summary,
@@ -424,6 +476,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cltv_segments": cltv_segments,
         "cltv_segment_summary": cltv_segment_summary,
         "cltv_whole": cltv_whole,
+        "cltv_whole_cutoff": cltv_whole_cutoff,
+        "cltv_horizons": cltv_horizons,
         "cltv_fitted": cltv_fitted,
     }
     return registered | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
@@ -472,13 +526,22 @@ _LABEL = """CASE WHEN {0} IS NOT NULL THEN ['D', 'C', 'B', 'A'][ntile(4) OVER (
 _CLV_SEGMENTS = f"labelled AS (SELECT *, {_LABEL.format('clv')} FROM valued)"
 
 
-def _summary_sql(table: str, columns: list[str]) -> str:
+def _significant_sql(value: str, digits: int) -> str:
+    power = f"pow(10::DOUBLE, {digits - 1} - floor(log10(abs({value}))))"
+    return f"(CASE WHEN {value} = 0 THEN {value} ELSE round_even(({value}) * {power}, 0) / {power} END)"
+
+
+def _summary_sql(table: str, columns: list[str], ends: int = 0) -> str:
     parts = []
     for name in columns:
-        total = f"sum(CAST({name} AS DECIMAL(28, 2)))::DOUBLE"
+        total = f"sum({name}::DOUBLE)"
+        least, most = f"min({name})", f"max({name})"
+        if ends:
+            least, most = _significant_sql(least, ends), _significant_sql(most, ends)
         parts.append(
-            f"{total} AS {name}_sum, {total} / count({name}) AS {name}_mean, "
-            f"min({name}) AS {name}_min, max({name}) AS {name}_max"
+            f"{_significant_sql(total, 10)} AS {name}_sum, "
+            f"{_significant_sql(f'{total} / count({name})', 10)} AS {name}_mean, "
+            f"{least} AS {name}_min, {most} AS {name}_max"
         )
     return f"""SELECT segment, count(*) AS customers,
       count(*) / (SELECT count(*) FROM {table})::DOUBLE AS share, {', '.join(parts)}
@@ -670,9 +733,16 @@ def oracle_sql() -> dict[str, str]:
         "clv": f"{valued} SELECT * FROM valued",
         "clv_cutoff": f"WITH {_CUT}, {_VALUED} SELECT * FROM valued",
         "clv_segments": f"{valued}, {_CLV_SEGMENTS} SELECT customer_id, clv, segment FROM labelled",
-        "clv_segment_summary": f"""{valued}, {_CLV_SEGMENTS}, whole AS (
-          SELECT segment, round(clv) AS clv FROM labelled) {_summary_sql('whole', ['clv'])}""",
-        "clv_whole": f"WITH {_CUT}, {_VALUED}, {_CLV_SEGMENTS} SELECT * FROM labelled",
+        "clv_segment_summary": f"{valued}, {_CLV_SEGMENTS} {_summary_sql('labelled', ['clv'])}",
+        "clv_whole": f"{valued}, {_CLV_SEGMENTS} SELECT * FROM labelled",
+        "clv_whole_cutoff": f"WITH {_CUT}, {_VALUED}, {_CLV_SEGMENTS} SELECT * FROM labelled",
+        "clv_text_ids": f"""WITH {_ALL} SELECT 'u-' || customer_id AS customer_id,
+          count(DISTINCT 'C' || order_id) AS total_transaction, round(sum(amount), 4) AS total_price
+          FROM txn GROUP BY customer_id""",
+        "clv_customer_base_repeated": f"""WITH {_ALL} SELECT customer_id,
+          count(DISTINCT order_id) AS total_transaction,
+          round(sum(l_extendedprice * (1 - l_discount)), 4) AS total_price
+          FROM txn JOIN lineitem ON order_id = l_orderkey GROUP BY customer_id""",
         "rfm_metrics": f"WITH {_ALL}, {_LAST_METRICS} SELECT * FROM metrics",
         "rfm_metrics_events": f"WITH {_PURCHASES}, {_LAST_METRICS} SELECT * FROM metrics",
         "ntile_frequency": f"""WITH {_ALL}, {_BASE} SELECT customer_id, total_transaction,
@@ -690,7 +760,9 @@ def oracle_sql() -> dict[str, str]:
         "rfm_segment_customers": f"""{segments} SELECT segments.*, c_name AS name,
           c_nationkey AS nation_id, c_mktsegment AS market_segment
           FROM segments JOIN customer ON c_custkey = customer_id WHERE segment = 'champions'""",
-        "rfm_whole": f"""WITH {_HELD}, {_METRICS.format(day=f"DATE '{HOLDOUT_FROM}'")},
+        "rfm_whole": f"{segments} SELECT * FROM segments",
+        "rfm_saved": f"{segments} SELECT * FROM segments",
+        "rfm_whole_cutoff": f"""WITH {_HELD}, {_METRICS.format(day=f"DATE '{HOLDOUT_FROM}'")},
           {_SCORES}, {_SEGMENTS} SELECT * FROM segments""",
         "rfm_whole_events": f"""WITH {_PURCHASES}, {_LAST_METRICS}, {_SCORES}, {_SEGMENTS}
           SELECT * FROM segments""",
@@ -742,9 +814,16 @@ def oracle_sql() -> dict[str, str]:
         "cltv": f"{model}, {_CLTV} SELECT {_CLTV_COLUMNS} FROM predicted",
         "cltv_discounted": f"{model}, {_CLTV_DISCOUNTED} SELECT {_CLTV_COLUMNS} FROM predicted",
         "cltv_segments": f"{model}, {_CLTV}, {labelled} SELECT * FROM rounded",
-        "cltv_segment_summary": f"""{model}, {_CLTV}, {labelled}
-          {_summary_sql('rounded', ['cltv'])}""",
-        "cltv_whole": f"""WITH {_HELD}, {_OCC}, {_SUMMARY.format(day=f"DATE '{HOLDOUT_FROM}'")},
+        "cltv_segment_summary": f"""{model}, {_CLTV}, labelled AS (
+            SELECT *, {_LABEL.format('cltv')} FROM predicted)
+          {_summary_sql('labelled', ['cltv'], 9)}""",
+        "cltv_whole": f"{model}, {_CLTV_DISCOUNTED}, {labelled} SELECT * FROM rounded",
+        "cltv_horizons": f"""{model}, {_EXPECTED}, valued AS (
+            SELECT *, expected_purchases * expected_average_profit AS cltv
+            FROM (SELECT *, {_mean_value_sql('x')} AS expected_average_profit FROM expected))
+          SELECT {_CLTV_COLUMNS}, CAST(horizon AS INTEGER) AS horizon, ['D', 'C', 'B', 'A'][ntile(4) OVER (
+            PARTITION BY horizon ORDER BY cltv, customer_id)] AS segment FROM valued""",
+        "cltv_whole_cutoff": f"""WITH {_HELD}, {_OCC}, {_SUMMARY.format(day=f"DATE '{HOLDOUT_FROM}'")},
           {_CLTV_DISCOUNTED}, {labelled} SELECT * FROM rounded""",
     }
     return registered | (llm.oracle_sql() if llm else {})

@@ -1,6 +1,6 @@
 """Customer-value analytics on Spark DataFrames."""
 
 from shopworth.functions.models import BgParams, GgParams
-from shopworth.plans import clv, predict_cltv, rfm
+from shopworth.plans import clv, fitted_cltv, predict_cltv, rfm
 
-__all__ = ["BgParams", "GgParams", "clv", "predict_cltv", "rfm"]
+__all__ = ["BgParams", "GgParams", "clv", "fitted_cltv", "predict_cltv", "rfm"]

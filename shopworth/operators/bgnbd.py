@@ -21,12 +21,10 @@ from shopworth.functions.models import (
 )
 from shopworth.functions.special import sigmoid, softplus
 from shopworth.operators.maximum import Evaluation, Maximum, maximise
-from shopworth.operators.prepare import MONEY_DECIMALS, money_sum
+from shopworth.operators.prepare import money_sum, significant
 from shopworth.sources.pinned import pin
 
 WEEK = 7
-# Rows worked out per distinct history are broadcast up to this many.
-HISTORY_ROWS = 500_000
 BG_BOUNDS = ((1e-4, 1e4), (1e-4, 1e6), (1e-4, 1e4), (1e-4, 1e4))
 
 
@@ -67,10 +65,10 @@ def bg_summary(
     x = F.col("purchases") - 1
     tx_days = F.date_diff("last_day", "first_day")
     age_days = F.date_diff(day, "first_day")
-    repeat_amount = F.round(F.col("total") - F.col("first_amount"), MONEY_DECIMALS)
+    repeat_amount = significant(F.col("total") - F.col("first_amount"), of=F.col("total"))
     values = [F.try_divide(repeat_amount, x).alias("m")]
     if include_first:
-        mean = F.round("total", MONEY_DECIMALS) / F.col("purchases")
+        mean = significant(F.col("total")) / F.col("purchases")
         values = [mean.alias("m"), F.col("purchases").alias("m_count")]
     return history.select(
         "customer_id",
@@ -220,8 +218,14 @@ class _Likelihood:
         names = BgParams._fields
         constants = {f"_{name}": F.lit(value) for name, value in zip(names, theta)}
         histories = self.stats.withColumns(constants).withColumns(self.terms)
-        row = histories.withColumns(self.odds).agg(*self.sums).first()
-        extra = self.repeats.withColumns(constants).agg(*self.repeat_sums).first()
+        # Both one-row sums in one job.
+        sums = histories.withColumns(self.odds).agg(*self.sums)
+        more = self.repeats.withColumns(constants).agg(*self.repeat_sums)
+        packed = [df.select(F.array(*df.columns)) for df in (sums, more)]
+        row, extra = (
+            dict(zip(df.columns, values[0]))
+            for df, values in zip((sums, more), packed[0].union(packed[1]).collect())
+        )
         gradient = np.array([row[p] for p in names])
         gradient += [extra["r"], 0.0, -extra["ab"], extra["b"] - extra["ab"]]
         hessian = np.zeros((4, 4))
@@ -238,7 +242,7 @@ def bg_fit(
     stats: DataFrame, bounds: Sequence[tuple[float, float]] = BG_BOUNDS, unit: int = WEEK
 ) -> Maximum:
     """Fit ``r, alpha, a, b``; every step aggregates all histories once."""
-    histories = _in_units(pin(stats), unit).persist()
+    histories = _in_units(stats, unit).persist()
     try:
         repeats = _repeat_counts(histories).persist()
         try:
@@ -261,32 +265,22 @@ def bg_alive(summary: DataFrame, params: BgParams) -> DataFrame:
     )
 
 
-def per_history(
-    summary: DataFrame,
-    add: Callable[[DataFrame], DataFrame],
-    limit: int = HISTORY_ROWS,
-    copies: int = 1,
-) -> DataFrame:
+def per_history(summary: DataFrame, add: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Add columns that depend on ``x`` and ``age`` alone, once per distinct pair.
 
-    Pairs are counted first. ``add`` makes ``copies`` rows of each; up to ``limit``
-    rows are broadcast to the customers, who stay where they lie, and beyond it
-    every customer's row is worked out itself.
+    A billion customers share a few million pairs, and a pair costs a long series,
+    so the pairs are spread over the cores. Adaptive execution sees how many there
+    are and broadcasts or shuffles them; a pair that very many customers share can
+    be split, as the pairs' side has one row of it per horizon.
     """
-    histories = summary.select("x", "age_days", "age").distinct()
-    if histories.count() * copies > limit:
-        return add(summary)
-    # Few rows, but each costs a long series: spread them over all cores.
+    pairs = summary.select("x", "age_days", "age").distinct()
     cores = summary.sparkSession.sparkContext.defaultParallelism
-    shared = add(histories.repartition(cores)).drop("age")
+    shared = add(pairs.repartition(cores)).drop("age")
     added = [name for name in shared.columns if name not in ("x", "age_days")]
-    joined = summary.join(F.broadcast(shared), ["x", "age_days"])
-    return joined.select(*summary.columns, *added)
+    return summary.join(shared, ["x", "age_days"]).select(*summary.columns, *added)
 
 
-def bg_expected(
-    summary: DataFrame, params: BgParams, horizons: Sequence[float], limit: int = HISTORY_ROWS
-) -> DataFrame:
+def bg_expected(summary: DataFrame, params: BgParams, horizons: Sequence[float]) -> DataFrame:
     """Expected purchases over each horizon, one row per customer and horizon."""
     x = F.col("x")
 
@@ -297,7 +291,7 @@ def bg_expected(
         return rows.withColumn("_if_alive", expected_if_alive(x, F.col("_z"), params)).drop("_z")
 
     p_alive = alive(x, F.col("tx"), F.col("age"), params)
-    rows = per_history(summary, add, limit, copies=len(horizons))
+    rows = per_history(summary, add)
     return rows.withColumn("expected_purchases", F.col("_if_alive") * p_alive).drop("_if_alive")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shopworth.operators.prepare import money_sum
@@ -32,15 +32,22 @@ def population(base: DataFrame) -> DataFrame:
     )
 
 
+def _figure(pop: DataFrame | Row, name: str) -> Column:
+    """A figure of the population, as a subquery or, where it is known, a constant."""
+    if isinstance(pop, DataFrame):
+        return pop.select(name).scalar()
+    return F.lit(pop[name]).cast("double" if name.endswith("rate") else "bigint")
+
+
 def with_aov(base: DataFrame) -> DataFrame:
     return base.withColumn(
         "average_order_value", F.col("total_price") / F.col("total_transaction")
     )
 
 
-def with_frequency(base: DataFrame, pop: DataFrame) -> DataFrame:
+def with_frequency(base: DataFrame, pop: DataFrame | Row) -> DataFrame:
     """Purchase frequency: the customer's orders over the number of all customers."""
-    customers = pop.select("total_number_of_customers").scalar()
+    customers = _figure(pop, "total_number_of_customers")
     return base.withColumn("purchase_frequency", F.col("total_transaction") / customers)
 
 
@@ -55,9 +62,9 @@ def with_value(base: DataFrame) -> DataFrame:
     )
 
 
-def with_clv(base: DataFrame, pop: DataFrame) -> DataFrame:
+def with_clv(base: DataFrame, pop: DataFrame | Row) -> DataFrame:
     """Lifetime value; NULL for everyone when no customer has churned."""
-    churn = F.nullif(pop.select("churn_rate").scalar(), F.lit(0.0))
+    churn = F.nullif(_figure(pop, "churn_rate"), F.lit(0.0))
     return base.withColumn(
         "clv", F.col("customer_value") / churn * F.col("profit_margin")
     )

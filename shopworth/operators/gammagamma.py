@@ -15,20 +15,24 @@ from pyspark.sql import functions as F
 from shopworth.functions.models import GgParams, mean_value, value_loglik
 from shopworth.functions.special import digamma, log_gamma, trigamma
 from shopworth.operators.maximum import Evaluation, Maximum, maximise
-from shopworth.sources.pinned import pin
 
 GG_BOUNDS = ((1e-3, 1e4), (1e-3, 1e4))
 
 
+def _repeat(summary: DataFrame, count: str) -> DataFrame:
+    """Customers with repeat purchases and a mean value, the same for check, likelihood and fit."""
+    return summary.filter((F.col(count) > 0) & (F.col("m") > 0))
+
+
 def gg_check(summary: DataFrame, count: str = "x") -> DataFrame:
     """Correlation of purchase count and mean value; the model assumes none."""
-    repeat = summary.filter(F.col(count) > 0)
+    repeat = _repeat(summary, count)
     return repeat.agg(F.count("*").alias("customers"), F.corr(count, "m").alias("correlation"))
 
 
 def gg_loglik(summary: DataFrame, params: GgParams, count: str = "x") -> DataFrame:
     """One row: customers with repeat purchases and their total log-likelihood."""
-    repeat = summary.filter(F.col(count) > 0)
+    repeat = _repeat(summary, count)
     return repeat.agg(
         F.count("*").alias("customers"),
         F.sum(value_loglik(F.col(count), F.col("m"), params)).alias("loglik"),
@@ -92,9 +96,15 @@ class _Likelihood:
     def __call__(self, theta: Sequence[float]) -> Evaluation:
         p, q, v = theta
         constants = {"_p": F.lit(p), "_q": F.lit(q), "_v": F.lit(v)}
-        s = self.values.withColumns(constants).withColumns(self.terms).agg(*self.sums).first()
+        # Both one-row sums in one job.
+        sums = self.values.withColumns(constants).withColumns(self.terms).agg(*self.sums)
         shapes = self.counts.withColumns(constants).select(F.inline(self.shapes))
-        g = shapes.withColumns(self.gammas).agg(*self.count_sums).first()
+        more = shapes.withColumns(self.gammas).agg(*self.count_sums)
+        packed = [df.select(F.array(*df.columns)) for df in (sums, more)]
+        s, g = (
+            dict(zip(df.columns, values[0]))
+            for df, values in zip((sums, more), packed[0].union(packed[1]).collect())
+        )
         fixed = self.fixed
         n, log_v = fixed["n"], float(np.log(v))
         repeats = p * (fixed["x_log_m"] + fixed["x_log_x"] - s["x_log_reach"]) - fixed["log_m"]
@@ -118,9 +128,7 @@ def gg_fit(
     ``bounds`` are those of ``p`` and ``q``. Values are divided by their mean, so
     that ``v`` fits in range whatever the currency, and ``v`` is scaled back.
     """
-    repeat = pin(
-        summary.filter((F.col(count) > 0) & (F.col("m") > 0)).select(F.col(count).alias("x"), "m")
-    )
+    repeat = _repeat(summary, count).select(F.col(count).alias("x"), "m")
     scale = repeat.agg(F.avg("m")).first()[0]
     if scale is None:
         raise ValueError("no customers with repeat purchases to fit")

@@ -13,7 +13,7 @@ from shopworth.functions.models import (
     horizon_share,
     mean_value,
 )
-from shopworth.operators.bgnbd import HISTORY_ROWS, per_history
+from shopworth.operators.bgnbd import per_history
 
 
 def cltv(
@@ -24,7 +24,6 @@ def cltv(
     discount: float = 0.0,
     margin: float = 1.0,
     count: str = "x",
-    limit: int = HISTORY_ROWS,
 ) -> DataFrame:
     """Add ``expected_purchases``, ``expected_average_profit`` and ``cltv``.
 
@@ -53,7 +52,7 @@ def cltv(
     p_alive = alive(x, F.col("tx"), age, bg)
     profit = F.col("expected_average_profit")
     return (
-        per_history(summary, add, limit)
+        per_history(summary, add)
         .withColumn("expected_purchases", F.col("_if_alive") * p_alive)
         .withColumn("expected_average_profit", mean_value(F.col(count), F.col("m"), gg))
         .withColumn("cltv", margin * profit * F.col("_counted") * p_alive)

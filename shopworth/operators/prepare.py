@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from shopworth.operators.rank import quantiles
 
-# Sums of money are rounded to this many decimals, so that the order in which
-# executors deliver partial sums cannot change a customer's value or rank.
-MONEY_DECIMALS = 4
+# Sums are rounded to this many significant digits, so that the order in which
+# executors deliver partial sums cannot change a customer's value or rank. The
+# digits count from the sum's own magnitude: no amount is too small for them.
+MONEY_DIGITS = 12
 
+# Ids stored as text stay text.
 TRANSACTION_TYPES = {
     "customer_id": "bigint",
     "order_id": "bigint",
@@ -24,14 +26,27 @@ TRANSACTION_TYPES = {
 }
 
 
+def significant(value: Column, digits: int = MONEY_DIGITS, of: Column | None = None) -> Column:
+    """``value`` rounded to the place of the last of ``digits`` digits of ``of``, itself by default.
+
+    Zero, NaN, infinities and NULL stay as they are.
+    """
+    size = F.abs(value if of is None else of)
+    places = F.least(F.lit(digits - 1.0) - F.floor(F.log10(size)), F.lit(300.0))
+    power = F.pow(F.lit(10.0), places)
+    plain = (size == 0) | F.isnan(size) | (size == float("inf"))
+    return F.when(plain, value).otherwise(F.rint(value * power) / power)
+
+
 def money_sum(amount: Column) -> Column:
-    return F.round(F.sum(amount), MONEY_DECIMALS)
+    return significant(F.sum(amount))
 
 
 def prepare(df: DataFrame, mapping: Mapping[str, str], cutoff=None) -> DataFrame:
     """Rename and cast to transactions; keep complete rows with a positive amount.
 
-    ``cutoff`` is exclusive. The filters fold into the scan.
+    Ids that are text stay text, all others become whole numbers. ``cutoff`` is
+    exclusive. The filters fold into the scan.
     """
     missing = [name for name in TRANSACTION_TYPES if name not in mapping]
     missing += [source for source in mapping.values() if source not in df.columns]
@@ -40,11 +55,13 @@ def prepare(df: DataFrame, mapping: Mapping[str, str], cutoff=None) -> DataFrame
     # Filters on the columns as stored reach the scan; casts may add further nulls.
     for source in mapping.values():
         df = df.filter(F.col(source).isNotNull())
-    txn = df.select(
-        *[F.col(mapping[name]).cast(kind).alias(name) for name, kind in TRANSACTION_TYPES.items()]
-    )
     stored = dict(df.dtypes)
-    for name, kind in TRANSACTION_TYPES.items():
+    kinds = {
+        name: "string" if kind == "bigint" and stored[mapping[name]] == "string" else kind
+        for name, kind in TRANSACTION_TYPES.items()
+    }
+    txn = df.select(*[F.col(mapping[name]).cast(kind).alias(name) for name, kind in kinds.items()])
+    for name, kind in kinds.items():
         if stored[mapping[name]] != kind:
             txn = txn.filter(F.col(name).isNotNull())
     txn = txn.filter((F.col("amount") > 0) & ~F.isnan("amount"))
@@ -84,8 +101,9 @@ def drop_returns(
 
 
 def cap(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
-    """Pull values beyond the ``lo`` and ``hi`` quantiles in to those quantiles."""
+    """Pull values beyond the ``lo`` and ``hi`` quantiles in to those quantiles; NULL stays."""
     low, high = quantiles(df, {col: [lo, hi]})[col]
     if low is None:
         return df
-    return df.withColumn(col, F.least(F.greatest(F.col(col), F.lit(low)), F.lit(high)))
+    capped = F.least(F.greatest(F.col(col), F.lit(low)), F.lit(high))
+    return df.withColumn(col, F.when(F.col(col).isNotNull(), capped))

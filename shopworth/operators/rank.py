@@ -22,13 +22,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType, StringType
 
 # Brackets holding more rows than this are narrowed before their rows are ordered.
 BRACKET_ROWS = 500_000
 # Sampled rows per sketch; enough for the accuracy below, however many rows there are.
 SKETCH_ROWS = 2_000_000
 SKETCH_ACCURACY = 1_000
-MAX_NARROWINGS = 3
+SEED = 20
 
 
 class Tile(NamedTuple):
@@ -58,6 +59,8 @@ class _Bracket:
     below: int = 0
     low: float | None = None
     high: float | None = None
+    missed: bool = False
+    settled: bool = False
 
     def inside(self) -> Column:
         found = self.key.isNotNull()
@@ -67,7 +70,12 @@ class _Bracket:
 
 
 def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
-    """One bracket per rank, cut down to the neighbourhood of that rank."""
+    """One bracket per rank, cut down to the neighbourhood of that rank.
+
+    The first suggestions come from a sample. After a miss they come from all rows:
+    such a sketch cannot miss, so every bracket shrinks until it is small or a few
+    keys fill it, whose rows the counts by key then merge.
+    """
     margin = 2 / SKETCH_ACCURACY
     sketches = []
     for i, b in enumerate(brackets):
@@ -76,7 +84,8 @@ def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
         inside = F.when(b.inside(), b.key)
         sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"s{i}"))
     fraction = SKETCH_ROWS / min(b.rows for b in brackets)
-    sampled = df.sample(fraction) if fraction < 1 else df
+    whole = fraction >= 1 or any(b.missed for b in brackets)
+    sampled = df if whole else df.sample(fraction, seed=SEED)
     suggested = sampled.agg(*sketches).first()
     single, low_high = [], []
     for b, ends in zip(brackets, suggested):
@@ -91,12 +100,18 @@ def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
     for i, (b, (low, high)) in enumerate(zip(single, low_high)):
         below, rows = counted[2 * i], counted[2 * i + 1]
         if below < b.ranks[0] <= below + rows:
+            b.settled = whole and rows > 0.9 * b.rows
+            b.missed = not whole and rows > 0.5 * b.rows
             b.low, b.high, b.below, b.rows = low, high, below, rows
+        else:
+            b.settled, b.missed = whole, True
     return single
 
 
 def _wide(bracket: _Bracket, limit: int) -> bool:
-    return bracket.rows > limit and (bracket.low is None or bracket.low < bracket.high)
+    if bracket.settled or bracket.rows <= limit:
+        return False
+    return bracket.low is None or bracket.low < bracket.high
 
 
 def order_statistics(
@@ -111,10 +126,7 @@ def order_statistics(
     brackets = [
         _Bracket(i, key, sorted(set(ranks)), rows) for i, (key, rows, ranks) in enumerate(wanted) if ranks
     ]
-    for _ in range(MAX_NARROWINGS):
-        wide = [b for b in brackets if _wide(b, limit)]
-        if not wide:
-            break
+    while wide := [b for b in brackets if _wide(b, limit)]:
         brackets = [b for b in brackets if not _wide(b, limit)] + _narrowed(df, wide)
     found: list[dict[int, Found]] = [{} for _ in wanted]
     if not brackets:
@@ -165,14 +177,20 @@ def ntiles(
 ) -> DataFrame:
     """Add one column per entry of ``tiles``: ``ntile(k)`` over ``(value, id)``.
 
-    ``id`` is a unique bigint and breaks ties in ascending order, also under
-    ``desc``. All columns are found in the same passes.
+    ``id`` is unique and breaks ties in ascending order, also under ``desc``; text
+    ids do so by their hash. Whole numbers and decimals keep their type. All
+    columns are found in the same passes.
     """
     names = list(tiles)
     keys = []
     for name in names:
-        value = F.col(tiles[name].value).cast("double")
+        kind = df.schema[tiles[name].value].dataType
+        exact = isinstance(kind, (IntegralType, DecimalType))
+        value = F.col(tiles[name].value)
+        value = value if exact else value.cast("double")
         keys.append(-value if tiles[name].desc else value)
+    text_id = isinstance(df.schema[id].dataType, StringType)
+    breaker = F.xxhash64(id) if text_id else F.col(id)
     sizes = _counts(df, keys)
     ends = [_tile_ends(n, tiles[name].k) for name, n in zip(names, sizes)]
     found = order_statistics(df, list(zip(keys, sizes, ends)), limit)
@@ -185,7 +203,7 @@ def ntiles(
         if place.position < place.ties
     ]
     tied = [
-        (F.when(keys[i] == place.key, F.col(id)), place.ties, [place.position]) for i, _, place in split
+        (F.when(keys[i] == place.key, breaker), place.ties, [place.position]) for i, _, place in split
     ]
     last_ids = {
         (i, end): ids[place.position].key
@@ -199,7 +217,7 @@ def ntiles(
             place = found[i][end]
             beyond = keys[i] > place.key
             if (i, end) in last_ids:
-                beyond = beyond | ((keys[i] == place.key) & (F.col(id) > last_ids[i, end]))
+                beyond = beyond | ((keys[i] == place.key) & (breaker > last_ids[i, end]))
             tile = tile + beyond.cast("int")
         columns[name] = F.when(keys[i].isNotNull(), tile)
     return df.withColumns(columns)

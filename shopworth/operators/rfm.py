@@ -27,9 +27,12 @@ DEFAULT_RULES = tuple(
 def rfm_metrics(txn: DataFrame, analysis_date=None, unique_orders: bool = False) -> DataFrame:
     """Days since the last order, distinct orders and total amount per customer.
 
-    The analysis date defaults to the day after the last order of all. The customer
-    table is pinned: scoring reads it several times.
+    The analysis date defaults to the day after the last order of all; orders of a
+    given date or later do not count. The customer table is pinned: scoring reads
+    it several times.
     """
+    if analysis_date is not None:
+        txn = txn.filter(F.col("order_date") < F.lit(analysis_date).cast("date"))
     orders = F.count("*") if unique_orders else F.count_distinct("order_id")
     totals = pin(
         txn.groupBy("customer_id").agg(
@@ -101,5 +104,5 @@ def rfm_segments(
 
 
 def customers_in(df: DataFrame, label: str, customers: DataFrame) -> DataFrame:
-    """Customers of one segment with their attributes."""
+    """Customers of one segment with their attributes; those without any drop out."""
     return df.filter(F.col("segment") == label).join(customers, "customer_id")

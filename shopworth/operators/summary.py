@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from shopworth.operators.prepare import money_sum
+from shopworth.operators.prepare import money_sum, significant
+
+# Digits of sums and means of segments; their order of addition changes later ones only.
+SUMMARY_DIGITS = 10
 
 
 def _as_text(column: Column, kind: str) -> Column:
@@ -18,48 +21,36 @@ def _as_text(column: Column, kind: str) -> Column:
     return column.cast("string")
 
 
-def profile(df: DataFrame, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Rows, nulls, distinct values, least, greatest and mean value of every column.
 
-    Each column is counted by value on its own scan of that column alone, and the
-    counts give all the figures. One aggregate with several distinct counts would
-    copy every row once per column instead. ``exact=False`` replaces the distinct
-    count, whose shuffle carries every distinct value, by a sketch.
+    One pass gives all figures, with distinct values from a sketch. ``exact=True``
+    counts each column by value instead, on its own scan of that column alone and
+    with a shuffle that carries every distinct value.
     """
-    parts = []
+    shown = ("column", "rows", "nulls", "distinct_values", "least", "greatest", "mean")
+
+    def row(name: str, rows: Column, nulls: Column, distinct: Column, ends: list[Column], total: Column) -> Column:
+        values = [F.lit(name), rows, nulls, distinct, *ends, F.try_divide(total, rows - nulls)]
+        return F.struct(*[value.alias(title) for value, title in zip(values, shown)])
+
+    parts, columns = [], []
     for field in df.schema.fields:
         column, kind = F.col(field.name), field.dataType.simpleString()
         number = (column if isinstance(field.dataType, NumericType) else F.lit(None)).cast("double")
+        ends = [_as_text(F.min(column), kind), _as_text(F.max(column), kind)]
         if exact:
             values = df.groupBy(column).agg(F.count("*").alias("_rows"))
-            rows = F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint"))
-            nulls = F.coalesce(F.sum(F.when(column.isNull(), F.col("_rows"))), F.lit(0).cast("bigint"))
-            distinct = F.count(column)
-            total = F.sum(number * F.col("_rows"))
+            none = F.lit(0).cast("bigint")
+            rows = F.coalesce(F.sum("_rows"), none)
+            nulls = F.coalesce(F.sum(F.when(column.isNull(), F.col("_rows"))), none)
+            one = row(field.name, rows, nulls, F.count(column), ends, F.sum(number * F.col("_rows")))
+            parts.append(values.agg(one.alias("one")).select("one.*"))
         else:
-            values = df.select(column)
-            rows, nulls = F.count("*"), F.count_if(column.isNull())
+            nulls = F.count_if(column.isNull())
             distinct = F.approx_count_distinct(column)
-            total = F.sum(number)
-        parts.append(
-            values.agg(
-                rows.alias("rows"),
-                nulls.alias("nulls"),
-                distinct.alias("distinct_values"),
-                _as_text(F.min(column), kind).alias("least"),
-                _as_text(F.max(column), kind).alias("greatest"),
-                total.alias("_total"),
-            ).select(
-                F.lit(field.name).alias("column"),
-                "rows",
-                "nulls",
-                "distinct_values",
-                "least",
-                "greatest",
-                F.try_divide("_total", F.col("rows") - F.col("nulls")).alias("mean"),
-            )
-        )
-    return reduce(DataFrame.union, parts)
+            columns.append(row(field.name, F.count("*"), nulls, distinct, ends, F.sum(number)))
+    return reduce(DataFrame.union, parts) if exact else df.agg(F.array(*columns).alias("all")).select(F.inline("all"))
 
 
 def top_k(df: DataFrame, key: str, k: int, amount: Column | str = "amount") -> DataFrame:
@@ -72,21 +63,23 @@ def top_k(df: DataFrame, key: str, k: int, amount: Column | str = "amount") -> D
 def summarise(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     """Per group: customers, share of all, and sum, mean, least and greatest of ``columns``.
 
-    Sums are added as decimals of cents, so they do not depend on the order of
-    partial sums. The share divides by the sum of the few group counts.
+    Values are added as they are; sums and means are then rounded to significant
+    digits, so they do not depend on the order of partial sums. NaN makes a sum
+    NaN. The share divides by the sum of the few group counts.
     """
     measures = [F.count("*").alias("customers")]
     for name in columns:
-        measures.append(F.sum(F.col(name).cast("decimal(28,2)")).cast("double").alias(f"{name}_sum"))
+        measures.append(F.sum(F.col(name).cast("double")).alias(f"_{name}_sum"))
         measures.append(F.count(name).alias(f"_{name}_n"))
         measures.append(F.min(name).alias(f"{name}_min"))
         measures.append(F.max(name).alias(f"{name}_max"))
     groups = df.groupBy(by).agg(*measures)
-    total = df.agg(F.count("*").alias("n")).scalar()
+    total = F.sum("customers").over(Window.partitionBy())
     shown = [F.col(by), F.col("customers"), (F.col("customers") / total).alias("share")]
     for name in columns:
-        shown.append(F.col(f"{name}_sum"))
-        mean = F.try_divide(F.col(f"{name}_sum"), F.col(f"_{name}_n"))
-        shown.append(mean.alias(f"{name}_mean"))
+        added = F.col(f"_{name}_sum")
+        shown.append(significant(added, SUMMARY_DIGITS).alias(f"{name}_sum"))
+        mean = F.try_divide(added, F.col(f"_{name}_n"))
+        shown.append(significant(mean, SUMMARY_DIGITS).alias(f"{name}_mean"))
         shown += [F.col(f"{name}_min"), F.col(f"{name}_max")]
     return groups.select(*shown)

@@ -5,7 +5,10 @@ Each reads the purchases once, pins the customer table and labels it from there.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ from shopworth.operators.descriptive import (
     with_value,
 )
 from shopworth.operators.gammagamma import gg_fit
+from shopworth.operators.maximum import Maximum
 from shopworth.operators.rank import segment
 from shopworth.operators.rfm import DEFAULT_RULES, rfm_metrics, rfm_scores, rfm_segments
 from shopworth.sources.pinned import pin
@@ -45,7 +49,7 @@ def clv(
 ) -> DataFrame:
     """Descriptive lifetime value and segment of every customer."""
     base = pin(customer_base(_before(txn, cutoff), unique_orders))
-    pop = population(base)
+    pop = population(base).first()
     valued = (
         base.transform(with_aov)
         .transform(with_frequency, pop)
@@ -53,7 +57,7 @@ def clv(
         .transform(with_value)
         .transform(with_clv, pop)
     )
-    return segment(pin(valued), "clv", labels)
+    return segment(valued, "clv", labels)
 
 
 def rfm(
@@ -63,14 +67,59 @@ def rfm(
     k: int = 5,
     unique_orders: bool = False,
 ) -> DataFrame:
-    """RFM metrics, scores and segment of every customer at ``analysis_date``."""
+    """RFM metrics, scores and segment of every customer at ``analysis_date``.
+
+    ``rules`` must name a segment for every pair of scores from 1 to ``k``.
+    """
+    if {(r, f) for r, f, _ in rules} != {(r, f) for r in range(1, k + 1) for f in range(1, k + 1)}:
+        raise ValueError(f"rules must cover exactly the pairs of scores from 1 to {k}")
     metrics = rfm_metrics(_before(txn, analysis_date), analysis_date, unique_orders)
     return rfm_segments(rfm_scores(metrics, k), rules)
 
 
-def predict_cltv(
+class Fits(NamedTuple):
+    """Both models' fits, None where parameters were given or nothing can be fitted.
+
+    ``reason`` says why there is no prediction, and is None where there is one.
+    """
+
+    bg: Maximum | None
+    gg: Maximum | None
+    reason: str | None
+
+
+def fit_cltv(
+    summary: DataFrame,
+    bg: BgParams | None = None,
+    gg: GgParams | None = None,
+    unit: int = WEEK,
+    count: str = "x",
+) -> Fits:
+    """Fit the models whose parameters are not given; warn of fits not to be relied on."""
+    repeats = summary.agg(
+        F.count("*").alias("all"), F.count_if(F.col("x") > 0).alias("x"), F.count_if(F.col("m") > 0).alias("m")
+    ).first()
+    if not repeats["all"]:
+        return Fits(None, None, "no customers")
+    if (bg is None and not repeats["x"]) or (gg is None and not repeats["m"]):
+        return Fits(None, None, "no repeat purchases to fit")
+    fits = Fits(
+        None if bg is not None else bg_fit(bg_stats(summary), unit=unit),
+        None if gg is not None else gg_fit(summary, count=count),
+        None,
+    )
+    for name, fit in (("purchase", fits.bg), ("value", fits.gg)):
+        if fit is not None and not fit.converged:
+            warnings.warn(f"the {name} model's fit did not converge", stacklevel=2)
+        if fit is not None and fit.at_bound:
+            warnings.warn(f"the {name} model's fit lies on a bound: the data have no inner maximum", stacklevel=2)
+    q = gg.q if gg is not None else fits.gg.theta[1]
+    return fits if q > 1 else fits._replace(reason="the mean purchase value is undefined (q <= 1)")
+
+
+def fitted_cltv(
     txn: DataFrame,
-    periods: int,
+    periods: int | Sequence[int],
     cutoff=None,
     discount: float = 0.0,
     margin: float = 1.0,
@@ -79,16 +128,34 @@ def predict_cltv(
     labels: Sequence[str] = LABELS,
     unit: int = WEEK,
     include_first: bool = False,
-) -> DataFrame:
-    """Predicted lifetime value and segment of every customer.
+) -> tuple[DataFrame, Fits]:
+    """Predicted lifetime value and segment of every customer, and the fits behind it.
 
-    Models whose parameters are not given are fitted to the same purchases.
+    Models whose parameters are not given are fitted to the same purchases, once
+    for all horizons. With several ``periods`` there is one row per customer and
+    ``horizon``, with segments of their own. Where no prediction is possible the
+    values are NULL and ``reason`` says why.
     """
     summary = bg_summary(occasions(txn), cutoff, unit, include_first)
     count = "m_count" if include_first else "x"
-    if bg is None:
-        bg = BgParams(*bg_fit(bg_stats(summary), unit=unit).theta)
-    if gg is None:
-        gg = GgParams(*gg_fit(summary, count=count).theta)
-    valued = predicted.cltv(summary, bg, gg, periods, discount, margin, count)
-    return segment(pin(valued), "cltv", labels)
+    fits = fit_cltv(summary, bg, gg, unit, count)
+    several = not isinstance(periods, int)
+    names = ("expected_purchases", "expected_average_profit", "cltv")
+    results = []
+    for horizon in periods if several else [periods]:
+        if fits.reason and not (fits.bg or bg):
+            valued = summary.withColumns({name: F.lit(None).cast("double") for name in names})
+        else:
+            purchase = bg or BgParams(*fits.bg.theta)
+            value = gg or (GgParams(*fits.gg.theta) if fits.gg else GgParams(1.0, 1.0, 1.0))
+            valued = predicted.cltv(summary, purchase, value, horizon, discount, margin, count)
+        valued = valued.withColumn("reason", F.lit(fits.reason).cast("string"))
+        if several:
+            valued = valued.withColumn("horizon", F.lit(horizon))
+        results.append(segment(pin(valued), "cltv", labels))
+    return reduce(DataFrame.union, results), fits
+
+
+def predict_cltv(txn: DataFrame, periods: int | Sequence[int], *args, **options) -> DataFrame:
+    """The predictions of :func:`fitted_cltv` alone."""
+    return fitted_cltv(txn, periods, *args, **options)[0]

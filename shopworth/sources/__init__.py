@@ -1,6 +1,6 @@
 """Where purchase tables come from and where results go."""
 
-from shopworth.sources.pinned import pin, pinned, release
+from shopworth.sources.pinned import pin, pinned, release, scratch_folder
 from shopworth.sources.tables import (
     load_customers,
     load_lines,
@@ -20,4 +20,5 @@ __all__ = [
     "read_table",
     "release",
     "save",
+    "scratch_folder",
 ]

@@ -56,8 +56,13 @@ def test_distinct_orders_need_no_expansion(spark):
     assert "Expand" not in text
 
 
-def test_profile_reads_each_column_once_without_expansion(spark):
+def test_profile_is_one_pass(spark):
     text = plan(profile(read_table(spark, f"{DATA}/orders.parquet")))
+    assert "Expand" not in text and text.count("ReadSchema") == 1 and text.count("Exchange") == 1
+
+
+def test_exact_profile_reads_each_column_once_without_expansion(spark):
+    text = plan(profile(read_table(spark, f"{DATA}/orders.parquet"), exact=True))
     assert "Expand" not in text
     assert len(re.findall(r"ReadSchema: struct<\w+:\w+>?", text)) == 6
 
@@ -70,15 +75,17 @@ def test_tiles_are_assigned_where_rows_lie(spark):
     assert "Exchange" not in text and "Window" not in text
 
 
-def test_predictions_shuffle_no_customers(spark):
+def test_predictions_join_distinct_histories(spark):
     summary = bg_summary(occasions(load_orders(spark, DATA)))
     bg, gg = BgParams(0.243, 4.414, 0.793, 2.426), GgParams(6.25, 3.74, 15.44)
-    own = plan(cltv(summary, bg, gg, 12, discount=0.01, limit=0))
-    assert "Exchange" not in own and "Join" not in own
-    shared = plan(cltv(summary, bg, gg, 12, discount=0.01))
-    assert "BroadcastHashJoin" in shared and "SortMergeJoin" not in shared
-    outer = shared.split("BroadcastExchange")[0]
-    assert "hashpartitioning" not in outer
+    small = plan(cltv(summary, bg, gg, 12, discount=0.01))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = plan(cltv(summary, bg, gg, 12, discount=0.01))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in large and re.search(r"(SortMerge|ShuffledHash)Join", large)
 
 
 def test_lines_are_summed_before_they_meet_orders(spark):
