@@ -307,6 +307,23 @@ def _fit_frame(spark, names, found):
     return spark.createDataFrame([tuple(row)], schema)
 
 
+def _slopes_frame(spark, names, found):
+    """The log-likelihood and its slopes, per relative change of each parameter."""
+    values = BG if names == BgParams._fields else GG
+    slopes = [round(float(g * v), 1) for g, v in zip(found.gradient, values)]
+    schema = ", ".join(f"{name} double" for name in ("loglik", *(f"by_{name}" for name in names)))
+    return spark.createDataFrame([(round(found.value, 3), *slopes)], schema)
+
+
+def bg_slopes(spark, d):
+    stats = pin(bgnbd.bg_stats(_summary(spark, d)))
+    return _slopes_frame(spark, BgParams._fields, bgnbd.bg_slopes(stats, BG))
+
+
+def gg_slopes(spark, d):
+    return _slopes_frame(spark, GgParams._fields, gammagamma.gg_slopes(_summary(spark, d), GG))
+
+
 def bg_fit(spark, d):
     return _fit_frame(spark, BgParams._fields, bgnbd.bg_fit(bgnbd.bg_stats(_summary(spark, d))))
 
@@ -461,6 +478,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bg_summary_first": bg_summary_first,
         "bg_stats": bg_stats,
         "bg_loglik": bg_loglik,
+        "bg_slopes": bg_slopes,
+        "gg_slopes": gg_slopes,
         "bg_fit": bg_fit,
         "bg_expected": bg_expected,
         "bg_alive": bg_alive,
@@ -527,8 +546,11 @@ _CLV_SEGMENTS = f"labelled AS (SELECT *, {_LABEL.format('clv')} FROM valued)"
 
 
 def _significant_sql(value: str, digits: int) -> str:
-    power = f"pow(10::DOUBLE, {digits - 1} - floor(log10(abs({value}))))"
-    return f"(CASE WHEN {value} = 0 THEN {value} ELSE round_even(({value}) * {power}, 0) / {power} END)"
+    places = f"({digits - 1} - floor(log10(abs({value}))))"
+    power = f"pow(10::DOUBLE, abs({places}))"
+    return f"""(CASE WHEN {value} = 0 THEN {value}
+      WHEN {places} < 0 THEN round_even(({value}) / {power}, 0) * {power}
+      ELSE round_even(({value}) * {power}, 0) / {power} END)"""
 
 
 def _summary_sql(table: str, columns: list[str], ends: int = 0) -> str:
@@ -539,8 +561,8 @@ def _summary_sql(table: str, columns: list[str], ends: int = 0) -> str:
         if ends:
             least, most = _significant_sql(least, ends), _significant_sql(most, ends)
         parts.append(
-            f"{_significant_sql(total, 10)} AS {name}_sum, "
-            f"{_significant_sql(f'{total} / count({name})', 10)} AS {name}_mean, "
+            f"{_significant_sql(total, 12)} AS {name}_sum, "
+            f"{_significant_sql(total, 12)} / count({name}) AS {name}_mean, "
             f"{least} AS {name}_min, {most} AS {name}_max"
         )
     return f"""SELECT segment, count(*) AS customers,
@@ -690,6 +712,34 @@ _CLTV_DISCOUNTED = f"""periods AS (
   FROM gains GROUP BY customer_id)"""
 
 
+def _slopes_sql(params, term: str) -> str:
+    """Slopes by central differences: the likelihood with each parameter a little up and down."""
+    step = 1e-4
+    rows = [("loglik", *params)]
+    for i, name in enumerate(params._fields):
+        for sign in (1, -1):
+            moved = [v * (1 + sign * step) if j == i else v for j, v in enumerate(params)]
+            rows.append((f"{name}{sign}", *moved))
+    values = ", ".join(f"('{r[0]}', {', '.join(f'{v!r}::DOUBLE' for v in r[1:])})" for r in rows)
+    names = ", ".join(f"p_{name}" for name in params._fields)
+    slopes = ", ".join(
+        f"round((max(ll) FILTER (name = '{n}1') - max(ll) FILTER (name = '{n}-1')) / {2 * step}, 1) AS by_{n}"
+        for n in params._fields
+    )
+    return f"""shifts AS (SELECT * FROM (VALUES {values}) AS v(name, {names})),
+      lls AS (SELECT name, sum({term}) AS ll FROM shifts, summary GROUP BY name)
+      SELECT round(max(ll) FILTER (name = 'loglik'), 3) AS loglik, {slopes} FROM lls"""
+
+
+_BG_TERM = """lgamma(p_r + x) - lgamma(p_r) + p_r * ln(p_alpha)
+  + lgamma(p_a + p_b) + lgamma(p_b + x) - lgamma(p_b) - lgamma(p_a + p_b + x)
+  - (p_r + x) * ln(p_alpha + age) + CASE WHEN x > 0 THEN ln(1 + exp(
+    ln(p_a) - ln(p_b + x - 1) + (p_r + x) * (ln(p_alpha + age) - ln(p_alpha + tx)))) ELSE 0 END"""
+_GG_TERM = """CASE WHEN x > 0 AND m > 0 THEN lgamma(p_p * x + p_q) - lgamma(p_p * x) - lgamma(p_q)
+  + p_q * ln(p_v) + (p_p * x - 1) * ln(m) + p_p * x * ln(x)
+  - (p_p * x + p_q) * ln(x * m + p_v) ELSE 0 END"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The SQL of every registered query but the fits, which SQL cannot express."""
     valued = f"WITH {_ALL}, {_VALUED}"
@@ -798,6 +848,8 @@ def oracle_sql() -> dict[str, str]:
                  CAST(sum(coalesce(purchases, 0)) AS BIGINT) AS actual
           FROM {_series_sql('calibration', f'{HORIZON}::DOUBLE')} AS c
           LEFT JOIN later USING (customer_id) GROUP BY x""",
+        "bg_slopes": f"{model}, {_slopes_sql(BG, _BG_TERM)}",
+        "gg_slopes": f"{model}, {_slopes_sql(GG, _GG_TERM)}",
         "gg_check": f"""{model} SELECT count(*) AS customers, round(corr(x, m), 8) AS correlation
           FROM summary WHERE x > 0""",
         "gg_loglik": f"""{model} SELECT count(*) AS customers, round(sum(

@@ -238,6 +238,12 @@ class _Likelihood:
         return Evaluation(row["value"] + extra["value"], gradient, hessian)
 
 
+def bg_slopes(stats: DataFrame, params: BgParams, unit: int = WEEK) -> Evaluation:
+    """Log-likelihood, gradient and curvature at given parameters."""
+    histories = _in_units(stats, unit)
+    return _Likelihood(histories, _repeat_counts(histories))(params)
+
+
 def bg_fit(
     stats: DataFrame, bounds: Sequence[tuple[float, float]] = BG_BOUNDS, unit: int = WEEK
 ) -> Maximum:

@@ -120,6 +120,13 @@ class _Likelihood:
         return Evaluation(value, np.array(gradient), np.array(hessian))
 
 
+def gg_slopes(summary: DataFrame, params: GgParams, count: str = "x") -> Evaluation:
+    """Log-likelihood, gradient and curvature at given parameters."""
+    values = _repeat(summary, count).select(F.col(count).alias("x"), "m")
+    counts = values.groupBy("x").agg(F.count("*").alias("customers"))
+    return _Likelihood(values, counts)(params)
+
+
 def gg_fit(
     summary: DataFrame, bounds: Sequence[tuple[float, float]] = GG_BOUNDS, count: str = "x"
 ) -> Maximum:

@@ -33,9 +33,11 @@ def significant(value: Column, digits: int = MONEY_DIGITS, of: Column | None = N
     """
     size = F.abs(value if of is None else of)
     places = F.least(F.lit(digits - 1.0) - F.floor(F.log10(size)), F.lit(300.0))
-    power = F.pow(F.lit(10.0), places)
+    # Powers of ten are exact only upwards, so large values are divided first.
+    power = F.pow(F.lit(10.0), F.abs(places))
+    rounded = F.when(places < 0, F.rint(value / power) * power).otherwise(F.rint(value * power) / power)
     plain = (size == 0) | F.isnan(size) | (size == float("inf"))
-    return F.when(plain, value).otherwise(F.rint(value * power) / power)
+    return F.when(plain, value).otherwise(rounded)
 
 
 def money_sum(amount: Column) -> Column:

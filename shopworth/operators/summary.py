@@ -11,8 +11,6 @@ from pyspark.sql.types import NumericType
 
 from shopworth.operators.prepare import money_sum, significant
 
-# Digits of sums and means of segments; their order of addition changes later ones only.
-SUMMARY_DIGITS = 10
 
 
 def _as_text(column: Column, kind: str) -> Column:
@@ -63,8 +61,8 @@ def top_k(df: DataFrame, key: str, k: int, amount: Column | str = "amount") -> D
 def summarise(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     """Per group: customers, share of all, and sum, mean, least and greatest of ``columns``.
 
-    Values are added as they are; sums and means are then rounded to significant
-    digits, so they do not depend on the order of partial sums. NaN makes a sum
+    Values are added as they are; sums are then rounded to significant digits, so
+    that sums and means do not depend on the order of partial sums. NaN makes a sum
     NaN. The share divides by the sum of the few group counts.
     """
     measures = [F.count("*").alias("customers")]
@@ -77,9 +75,8 @@ def summarise(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     total = F.sum("customers").over(Window.partitionBy())
     shown = [F.col(by), F.col("customers"), (F.col("customers") / total).alias("share")]
     for name in columns:
-        added = F.col(f"_{name}_sum")
-        shown.append(significant(added, SUMMARY_DIGITS).alias(f"{name}_sum"))
-        mean = F.try_divide(added, F.col(f"_{name}_n"))
-        shown.append(significant(mean, SUMMARY_DIGITS).alias(f"{name}_mean"))
+        added = significant(F.col(f"_{name}_sum"))
+        shown.append(added.alias(f"{name}_sum"))
+        shown.append(F.try_divide(added, F.col(f"_{name}_n")).alias(f"{name}_mean"))
         shown += [F.col(f"{name}_min"), F.col(f"{name}_max")]
     return groups.select(*shown)
