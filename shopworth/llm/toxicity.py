@@ -118,8 +118,9 @@ def fit(
         min(1.0, (sample - want) / max(1, counts.get(False, 0)))
     )
     chosen = named.where(F.shiftrightunsigned(F.xxhash64(F.col("_of").cast("string")), 11) / float(1 << 53) < rate)
-    rows = docs.where(col(text).isNotNull()).join(F.broadcast(chosen), col(id) == F.col("_of"))
-    rows = rows.select((F.col("_toxic") > 0).alias("t"), col(text).alias("x"))
+    texts = docs.select(col(id).alias("_doc"), col(text).alias("x")).where("x IS NOT NULL")
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_of"))
+    rows = rows.select((F.col("_toxic") > 0).alias("t"), "x")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = np.zeros((2, BUCKETS + 1), np.int64), np.arange(BUCKETS + 1)
