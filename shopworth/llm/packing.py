@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from shopworth.llm.common import col, fresh
+from shopworth.llm.common import col, fresh, map_batches
 from shopworth.llm.tokens import word_encoder
 from shopworth.sources import pin
 
@@ -39,7 +39,8 @@ def encode(df: DataFrame, definition: str, end_id: int, text: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = word_encoder(definition), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [(encoder.encode(t) if t else b"") + end for t in batch.column(len(keep)).to_pylist()]
+            texts = (t.as_py() for t in batch.column(len(keep)))
+            ids = [(encoder.encode(t) if t else b"") + end for t in texts]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
@@ -47,7 +48,7 @@ def encode(df: DataFrame, definition: str, end_id: int, text: str = "text") -> D
             columns += [pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*map(col, keep), col(text).alias("_text")).mapInArrow(run, schema)
+    return map_batches(df.select(*map(col, keep), col(text).alias("_text")), run, schema)
 
 
 def pack(
@@ -76,12 +77,12 @@ def pack(
     totals = written.groupBy("_part").agg(
         F.max(F.col("_before") + F.octet_length("_ids") / 4).cast("bigint").alias("_total")
     )
-    # One row per input partition: the totals of even 100 TB are a small table.
+    # One row per input partition, 16 bytes each: a million of them for 100 TB.
     shift = F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select(
         F.col("_part").alias("_base_part"), F.coalesce(shift, F.lit(0)).cast("bigint").alias("_base")
     )
-    placed = written.join(bases, F.col("_part") == F.col("_base_part")).select(
+    placed = written.join(F.broadcast(bases), F.col("_part") == F.col("_base_part")).select(
         *map(col, keep), (F.col("_base") + F.col("_before")).alias("_at"), "_ids"
     )
     return cut(placed, keep, length)
@@ -115,7 +116,7 @@ def cut(placed: DataFrame, keep: list[str], length: int) -> DataFrame:
                 columns += map(pa.array, (start, end - begin, size[of], sequence, begin - sequence * length))
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(pieces, pa.binary())], names=schema.names)
 
-    return placed.mapInArrow(run, schema)
+    return map_batches(placed, run, schema)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
