@@ -18,6 +18,8 @@ BUCKETS = 1 << 14
 LABELLERS = ("shouting", "symbols", "cells", "stutter", "capitals", "signs", "monotony", "prose")
 _GOOD, _BAD, _NONE = 1, -1, 0
 SLICE = 1 << 19
+#: Words among which the distinct ones are counted.
+WINDOW = 1000
 
 # Classes of bytes: 0 blank, 1 lower, 2 upper, 3 digit, 4 sentence mark, 5 bar, 6 !, 7 other symbol, 8 beyond ASCII
 _CLASS = np.full(256, 8, np.uint32)
@@ -60,11 +62,27 @@ def _features(data: bytes) -> np.ndarray:
     return np.concatenate([x / max(1.0, x.sum()) for x in (shapes, words)])
 
 
+def _monotonous(hashes: np.ndarray) -> float:
+    """The share of a text's windows in which 15 of 100 words at most are distinct.
+
+    Windows follow each other over the whole text; the last ends with it, so it may
+    overlap the one before. A text shorter than a window is one.
+    """
+    n, size = len(hashes), min(len(hashes), WINDOW)
+    windows = hashes[: n - n % size].reshape(-1, size)
+    if n % size:
+        windows = np.concatenate([windows, hashes[None, -size:]])
+    ordered = np.sort(windows, axis=1)
+    distinct = 1 + (ordered[:, 1:] != ordered[:, :-1]).sum(axis=1)
+    return float((distinct / size <= 0.15).mean())
+
+
 def votes(data: bytes) -> list[int]:
     """What each labeller says of a text: 1 good, -1 bad, 0 nothing.
 
     All but the last look for a fault and never praise; several overlap, as capitals
-    do with shouting or monotony with stutter. The last counts words of letters with
+    do with shouting or monotony with stutter. Monotony wants half of a text's windows
+    to be monotonous, wherever they lie. The last counts words of letters with
     one mark after them at most, and praises too. Texts of fewer than eight words
     give no ground to call them bad.
     """
@@ -88,7 +106,7 @@ def votes(data: bytes) -> list[int]:
         float((hashes[1:] == hashes[:-1]).mean()) >= 0.2,
         classes[2] / letters >= 0.5,
         letters / max(1, len(data) - classes[0]) <= 0.5,
-        len(np.unique(hashes[:1000])) / min(n, 1000) <= 0.15,
+        _monotonous(hashes) >= 0.5,
         share <= 0.6,
     ]
     given = [_BAD if fault else _NONE for fault in faults]

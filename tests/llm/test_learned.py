@@ -65,6 +65,18 @@ def test_expectation_maximisation_finds_accuracies():
     assert np.allclose(model.accuracy(), (0.9, 0.8, 0.7, 0.95), atol=0.02) and abs(model.prior[1] - 0.85) < 0.02
 
 
+def test_monotony_is_judged_over_whole_texts():
+    clean = " ".join(f"word{i * 7919 % 3001}" for i in range(19_000))
+    dull = "the same line once again\n" * 3800
+    opening = "a table row of cells\n" * 200
+    monotony = quality.LABELLERS.index("monotony")
+    for text, vote in (
+        (clean[: clean.index("word1 ")] + dull, -1), (" ".join(clean.split()[:1000]) + "\n" + dull, -1), (dull + "end", -1),
+        (opening + clean, 0), (clean, 0), ("word " * 30, -1), ("one two three four five six seven eight", 0),
+    ):
+        assert quality.votes(text.encode())[monotony] == vote
+
+
 def test_quality_edges(documents):
     model = quality.fit(documents([(i, f"some clean words of text number {i} and more of it.") for i in range(40)]))
     out = quality.score(documents(EDGES), model)
