@@ -5,11 +5,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from importlib.resources import files
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopworth.llm.common import col
+from shopworth.llm.common import col, map_arrow
 
 # The wording by which licences are named, or their opening words.
 TEMPLATES = {
@@ -26,7 +30,9 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
     ],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL-3.0": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+    ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0.",
@@ -38,22 +44,30 @@ TEMPLATES = {
     ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }
-#: Stretches that hold none of these are no header and are not weighed.
+#: Passages that hold none of these are no header and are not weighed.
 HINT = r"(?i)licen[cs]|copyright|spdx|permission is hereby|free software|redistribution and use|creative commons"
 #: Stands for a null path.
 _NOWHERE = "\0"
 _TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+_STRETCH = re.compile(r"\n+|(?<=[.!?])[ \t\n\x0b\f\r]+")
+_WORD, _HINT = re.compile(_TOKEN), re.compile(HINT)
 
 
 def _tokens(text: str) -> list[str]:
-    return re.findall(_TOKEN, text.lower())
+    return _WORD.findall(text.lower())
 
 
-VOCABULARY = sorted({t for texts in TEMPLATES.values() for text in texts for t in _tokens(text)})
+@cache
+def whole_texts() -> dict[str, str]:
+    """The licence texts beside this file, by name."""
+    folder = files("shopworth.llm") / "licence_texts"
+    return {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted(folder.iterdir(), key=lambda f: f.name)}
 
 
-def _token_column(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({_TOKEN})"))
+@cache
+def vocabulary() -> list[str]:
+    texts = [*(text for texts in TEMPLATES.values() for text in texts), *whole_texts().values()]
+    return sorted({t for text in texts for t in _tokens(text)})
 
 
 def document_frequency(df: DataFrame, text: str = "text") -> tuple[int, dict[str, int]]:
@@ -61,47 +75,94 @@ def document_frequency(df: DataFrame, text: str = "text") -> tuple[int, dict[str
 
     Both are counted over whole texts; the result has a row per template word.
     """
-    words = F.array_intersect(F.split(F.lower(col(text)), r"[^a-z0-9.-]+|[.-]+(?![a-z0-9])"), F.array(*map(F.lit, VOCABULARY)))
+    known = F.array(*map(F.lit, vocabulary()))
+    words = F.array_intersect(F.split(F.lower(col(text)), r"[^a-z0-9.-]+|[.-]+(?![a-z0-9])"), known)
     rows = df.select(F.explode(F.concat(words, F.array(F.lit("")))).alias("word")).groupBy("word").count().collect()
     counts = {r[0]: r[1] for r in rows}
     return counts.pop("", 0), counts
 
 
-def headers(df: DataFrame, text: str, total: int, frequency: dict[str, int], least: float) -> DataFrame:
-    """``_key, licence, cosine, _share`` of the stretch of each key that is most like a template.
+class Matcher:
+    """The templates as vectors of weighed words, and what in a text is like them.
 
-    A stretch is a line or a sentence that holds a hint. Its words weigh by their
-    number and rarity; a word in no template weighs as one that no text holds.
+    Words weigh by their number and rarity; a word in no template weighs as one that
+    no text holds. Comment marks are no words, so they part nothing.
     """
-    rare = math.log1p(total)
-    weight = {w: math.log((1 + total) / (1 + frequency.get(w, 0))) + 1 for w in VOCABULARY}
-    weights = F.create_map(*[F.lit(x) for item in weight.items() for x in item])
-    rows = []
-    for name, texts in TEMPLATES.items():
-        for number, example in enumerate(texts):
-            vector = {w: n * weight[w] for w, n in Counter(_tokens(example)).items()}
-            length = math.sqrt(sum(v * v for v in vector.values()))
-            rows += [(name, number, w, v / length) for w, v in vector.items()]
-    templates = df.sparkSession.createDataFrame(rows, "licence string, _number int, _word string, _value double")
-
-    stretch = F.explode(F.split("_text", r"\n+|(?<=[.!?])\s+")).alias("_stretch")
-    found = df.where(F.col("_text").rlike(HINT)).select("_key", F.size(_token_column(F.col("_text"))).alias("_all"), stretch)
-    found = found.where(F.col("_stretch").rlike(HINT)).distinct()
-    tokens = F.explode(_token_column(F.col("_stretch"))).alias("_word")
-    counted = found.select("_key", "_all", "_stretch", tokens).groupBy("_key", "_all", "_stretch", "_word").count()
-    value = F.col("count") * F.coalesce(weights[F.col("_word")], F.lit(rare + 1))
-    valued = counted.withColumn("_v", value)
-    lengths = valued.groupBy("_key", "_all", "_stretch").agg(
-        F.sqrt(F.sum(F.col("_v") * F.col("_v"))).alias("_length"), F.sum("count").alias("_words")
-    )
-    # the templates are a fixed table of a few hundred rows
-    dots = valued.join(F.broadcast(templates), "_word").groupBy("_key", "_all", "_stretch", "licence", "_number").agg(
-        F.sum(F.col("_v") * F.col("_value")).alias("_dot")
-    )
-    scored = dots.join(lengths, ["_key", "_all", "_stretch"]).withColumn("cosine", F.round(F.col("_dot") / F.col("_length"), 9))
-    likely = scored.where(F.col("cosine") >= least)
-    share = F.col("_words") / F.greatest(F.col("_all"), F.lit(1))
-    best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("licence"), (-share).alias("s")))
+
+    def __init__(self, total: int, frequency: dict[str, int], least: float, alike: float):
+        self.least, self.alike = least, alike
+        self.place = {w: i for i, w in enumerate(vocabulary())}
+        weights = [math.log((1 + total) / (1 + frequency.get(w, 0))) + 1 for w in self.place]
+        self.weights = np.array([*weights, math.log1p(total) + 1])  # the last is that of all other words
+        self.headers = [(name, *self._vector(x)) for name, texts in TEMPLATES.items() for x in texts]
+        self.whole = [(name, self._vector(x)[0]) for name, x in whole_texts().items()]
+
+    def _vector(self, text: str) -> tuple[np.ndarray, int]:
+        tokens = _tokens(text)
+        value = np.bincount([self.place[t] for t in tokens], minlength=len(self.weights)) * self.weights
+        return value / np.sqrt(value @ value), len(tokens)
+
+    def _length(self, tokens: list[str]) -> float:
+        return math.sqrt(sum((n * self.weights[self.place.get(t, -1)]) ** 2 for t, n in Counter(tokens).items()))
+
+    def find(self, text: str) -> tuple[str, float, float] | None:
+        """Licence, cosine and share of the text that is licence.
+
+        A text that is like a whole licence text is one, share 1. Else lines and
+        sentences that hold a hint are compared with headers; the words of all that
+        match count in the share.
+        """
+        tokens, likely, lines = [], [], []
+        for stretch in _STRETCH.split(text):
+            found = _tokens(stretch)
+            if found and _HINT.search(stretch):
+                lines.append((len(tokens), len(tokens) + len(found)))
+            tokens += found
+        if not tokens:
+            return None
+        at = np.array([self.place.get(t, -1) for t in tokens])
+        value = np.bincount(at % len(self.weights), minlength=len(self.weights)).astype(float)
+        other = Counter(t for t, i in zip(tokens, at, strict=True) if i < 0)
+        value[-1] = math.sqrt(sum(n * n for n in other.values()))
+        value *= self.weights
+        value /= np.sqrt(value @ value)
+        cosine, name = min((-round(float(value[:-1] @ v[:-1]), 9), name) for name, v in self.whole)
+        if -cosine >= self.alike:
+            return name, -cosine, 1.0
+
+        covered = np.zeros(len(tokens), bool)
+        for name, vector, _ in self.headers:
+            dots = np.concatenate([[0.0], np.cumsum(self.weights[at] * vector[at])])
+            for start, stop in lines:
+                dot = dots[stop] - dots[start]
+                if dot <= 0:
+                    continue
+                cosine = round(float(dot) / self._length(tokens[start:stop]), 9)
+                if cosine >= self.least:
+                    likely.append((-cosine, name))
+                    covered[start:stop] = True
+        if not likely:
+            return None
+        cosine, name = min(likely)
+        return name, -cosine, float(covered.mean())
+
+
+def headers(
+    df: DataFrame, text: str, total: int, frequency: dict[str, int], least: float, alike: float = 0.95
+) -> DataFrame:
+    """``_key, licence, cosine, _share`` of the text of each key that is most like a template."""
+    shared = df.sparkSession.sparkContext.broadcast(Matcher(total, frequency, least, alike))  # templates by words
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, found = batch.column(0), [shared.value.find(x.as_py()) for x in batch.column(1)]
+        held = [i for i, f in enumerate(found) if f]
+        columns = [pa.array([found[i][k] for i in held], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(held, pa.int64())), *columns], names=names)
+
+    names = ["_key", "licence", "cosine", "_share"]
+    hinted = df.where(F.col(text).rlike(HINT)).select("_key", text)
+    likely = map_arrow(hinted, run, "_key string, licence string, cosine double, _share double")
+    best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("licence"), (-F.col("_share")).alias("s")))
     return likely.groupBy("_key").agg(best.alias("b")).select(
         "_key", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"), (-F.col("b.s")).alias("_share")
     )
@@ -134,15 +195,16 @@ def inherited(directories: DataFrame, licensed: DataFrame) -> DataFrame:
 
 
 def scan(
-    df: DataFrame, path: str = "path", text: str = "text", least: float = 0.6, file_share: float = 0.8
+    df: DataFrame, path: str = "path", text: str = "text", least: float = 0.6, file_share: float = 0.8, alike: float = 0.95
 ) -> DataFrame:
     """All columns but the text with ``licence``, ``cosine`` and ``inherited_from``.
 
-    A text's own licence is that of the template most like one of its lines or
-    sentences, at a cosine of ``least`` or more, ties by name. A text of which that
-    stretch is ``file_share`` of the words or more, or whose name is LICENSE,
-    LICENCE or COPYING, is a licence file of its directory; of several the one most
-    alike counts, ties by name. Texts without a licence of their own inherit that
+    A text's own licence is that of the licence text it is like as a whole, at a cosine
+    of ``alike`` or more, or else of the header most like one of its lines or
+    sentences, at ``least`` or more, ties by name. A text that is like a whole licence
+    text, or of which all that matches is ``file_share`` of the words or more, or whose
+    name is LICENSE, LICENCE or COPYING, is a licence file of its directory; of several the
+    one most alike counts, ties by name. Texts without a licence of their own inherit that
     of the nearest directory above; ``cosine`` is then null. Without one both are
     null. Rows of one path are one file and share their results; a null path has
     no directory; null and empty texts hold no header. Columns called like a result
@@ -153,12 +215,12 @@ def scan(
     key = F.coalesce(col(path), F.lit(_NOWHERE))
     named = df.select(key.alias("_key"), col(text).alias("_text"))
     total, frequency = document_frequency(named, "_text")
-    own = headers(named, "_text", total, frequency, least)
+    own = headers(named, "_text", total, frequency, least, alike)
     name = F.regexp_extract("_key", r"([^/]*)$", 1)
     is_file = (F.col("_share") >= file_share) | name.rlike(r"(?i)^(licen[sc]e|copying)(\.[a-z]+)?$")
-    files = own.where(is_file & (F.col("_key") != _NOWHERE))
+    found = own.where(is_file & (F.col("_key") != _NOWHERE))
     first = F.min(F.struct((-F.col("cosine")).alias("c"), "licence"))
-    licensed = files.groupBy(_parent(F.col("_key")).alias("_at")).agg(first["licence"].alias("_licence"))
+    licensed = found.groupBy(_parent(F.col("_key")).alias("_at")).agg(first["licence"].alias("_licence"))
     rows = df.select(*map(col, keep), key.alias("_key"), _parent(col(path)).alias("_dir"))
     directories = rows.where(F.col("_dir").isNotNull()).select("_dir").distinct()
     above = inherited(directories, licensed)

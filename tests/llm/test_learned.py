@@ -144,6 +144,20 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
     assert licences.scan(df).count() == len(rows) and licences.scan(df.limit(0)).count() == 0
 
 
+def test_whole_licence_texts_are_licence_files(spark):
+    texts = licences.whole_texts()
+    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0"} <= set(texts)
+    rows = [(f"{k}/12", f"Copyright (c) 2024 Jane Quux\n\n{v}") for k, v in texts.items()]
+    rows += [(f"{k}/src/a.py", "code") for k in texts] + [("two/1", f"{LINES['MIT']}\nLicensed under the MIT License.")]
+    rows += [("two/a.py", "code"), ("prose/1", "words of prose about no law at all " * 300 + texts["MIT"]), ("prose/2", "code")]
+    rows += [(f"plain/{i}", f"word number {i} of a text") for i in range(300)]
+    found = {r.path: (r.licence, r.inherited_from) for r in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    for k in texts:
+        assert found[f"{k}/12"] == (k, None) and found[f"{k}/src/a.py"] == (k, k)
+    assert found["two/1"] == ("MIT", None) and found["two/a.py"] == ("MIT", "two")
+    assert found["prose/1"] == ("MIT", None) and found["prose/2"] == (None, None)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
