@@ -32,6 +32,13 @@ TEMPLATES = {
     ],
     "LGPL-3.0": [
         "Licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ],
+    "GPL-2.0": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
     ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": [
@@ -108,9 +115,10 @@ class Matcher:
     def find(self, text: str) -> tuple[str, float, float] | None:
         """Licence, cosine and share of the text that is licence.
 
-        A text that is like a whole licence text is one, share 1. Else lines and
-        sentences that hold a hint are compared with headers; the words of all that
-        match count in the share.
+        A text that is like a whole licence text is one, share 1. Else lines, sentences
+        and, as headers may be wrapped, all runs of as many words as a header has are
+        compared with headers if they hold a hint. All words of lines and sentences that
+        match count in the share, of runs those that the header has too.
         """
         tokens, likely, lines = [], [], []
         for stretch in _STRETCH.split(text):
@@ -131,16 +139,21 @@ class Matcher:
             return name, -cosine, 1.0
 
         covered = np.zeros(len(tokens), bool)
-        for name, vector, _ in self.headers:
+        squares = np.concatenate([[0.0], np.cumsum(self.weights[at] ** 2)])
+        for name, vector, size in self.headers:
+            size = min(size, len(tokens))
             dots = np.concatenate([[0.0], np.cumsum(self.weights[at] * vector[at])])
-            for start, stop in lines:
+            # a word's repeats make a run only longer, so this is the most its cosine can be
+            most = (dots[size:] - dots[:-size]) / np.sqrt(squares[size:] - squares[:-size])
+            runs = [(i, i + size, False) for i in np.flatnonzero(most >= self.least - 1e-6)]
+            for start, stop, line in [*((*x, True) for x in lines), *runs]:
                 dot = dots[stop] - dots[start]
-                if dot <= 0:
+                if dot <= 0 or not line and not _HINT.search(" ".join(tokens[start:stop])):
                     continue
                 cosine = round(float(dot) / self._length(tokens[start:stop]), 9)
                 if cosine >= self.least:
                     likely.append((-cosine, name))
-                    covered[start:stop] = True
+                    covered[start:stop] |= line | (vector[at[start:stop]] > 0)
         if not likely:
             return None
         cosine, name = min(likely)
@@ -200,8 +213,8 @@ def scan(
     """All columns but the text with ``licence``, ``cosine`` and ``inherited_from``.
 
     A text's own licence is that of the licence text it is like as a whole, at a cosine
-    of ``alike`` or more, or else of the header most like one of its lines or
-    sentences, at ``least`` or more, ties by name. A text that is like a whole licence
+    of ``alike`` or more, or else of the header most like one of its lines, sentences or
+    runs of words, at ``least`` or more, ties by name. A text that is like a whole licence
     text, or of which all that matches is ``file_share`` of the words or more, or whose
     name is LICENSE, LICENCE or COPYING, is a licence file of its directory; of several the
     one most alike counts, ties by name. Texts without a licence of their own inherit that

@@ -158,6 +158,33 @@ def test_whole_licence_texts_are_licence_files(spark):
     assert found["prose/1"] == ("MIT", None) and found["prose/2"] == (None, None)
 
 
+WRAPPED = {
+    "MPL-2.0": """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "GPL-3.0": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.""",
+    "LGPL-3.0": """# This library is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Lesser General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or""",
+    "Apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.""",
+    "MIT": """-- Permission is hereby granted, free of
+-- charge, to any person obtaining a copy of this
+-- software and associated documentation files""",
+}
+
+
+def test_wrapped_headers_are_joined():
+    matcher = licences.Matcher(1000, {"the": 500, "of": 400, "a": 400, "to": 300, "is": 300}, 0.6, 0.95)
+    for name, header in WRAPPED.items():
+        found = matcher.find(f"x = 1\n{header}\n" + "def some(code): return other\n" * 40)
+        assert found[0] == name and found[1] > 0.95 and found[2] < 0.5
+    assert matcher.find("The file is licensed.\n" + "def some(code): return other\n" * 40) is None
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
