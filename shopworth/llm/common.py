@@ -39,6 +39,12 @@ def map_batches(
     return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(function, schema)
 
 
+def row_hash(*names: str) -> Column:
+    """A hash of the columns together, as texts; a null is told from an empty text."""
+    parts = [x for n in names for x in (col(n).isNull(), F.coalesce(col(n).cast("string"), F.lit("")))]
+    return F.xxhash64(*parts)
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str
 ) -> DataFrame:

@@ -8,11 +8,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from shopworth.llm.common import col, map_arrow
+from shopworth.llm.common import col, map_arrow, row_hash
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -104,15 +104,16 @@ def fit(
 ) -> LanguageModel:
     """Learn from at most ``sample`` of the labelled rows, counted on the executors.
 
-    The rows with the least hash of their id are taken, in equal shares of the
-    languages as far as they have rows. Their subword counts, not their texts, come
+    The rows with the least hash of id and text are taken, rows alike in both and in
+    language once, in equal shares of the languages as far as they have rows; Spark
+    cuts the shares before they come to the driver. Their subword counts, not their texts, come
     to the driver. A fifth of them calibrates: it sets the temperature, and the
     score below which predictions are rejected, such that ``rejected`` of the right
     ones would be lost, and never above one half. Rows with a null label or without
     letters teach nothing; without any rows, all predictions are ``und``.
     """
     rows = labelled.where(col(lang).isNotNull() & col(text).isNotNull())
-    order = F.xxhash64(col(id).cast("string"))
+    order = row_hash(id, text)
     counts = {r[0]: r[1] for r in rows.groupBy(col(lang)).count().collect()}
     if not counts:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.5)
@@ -127,13 +128,12 @@ def fit(
 
     names = ["h", "lang", "buckets", "counts"]
     schema = "h long, lang string, buckets binary, counts binary"
-    table = map_arrow(taken.select(order, col(lang), col(text)), count, schema).toArrow()
+    taken = taken.select(order.alias("h"), col(lang).alias("lang"), col(text).alias("x")).dropDuplicates(["h", "lang"])
+    counted = map_arrow(taken, count, schema).where(F.length("buckets") > 0)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("place")
+    table = counted.select(*names, place).where(F.col("place") <= max(1, int(share))).toArrow()
     found = sorted(zip(*(table.column(c).to_pylist() for c in names), strict=True))
-    kept, seen = [], dict.fromkeys(counts, 0)
-    for _, label, buckets, times in found:
-        if buckets and seen[label] < max(1, int(share)):
-            seen[label] += 1
-            kept.append((label, np.frombuffer(buckets, np.int32), np.frombuffer(times, np.int32)))
+    kept = [(label, np.frombuffer(b, np.int32), np.frombuffer(n, np.int32)) for _, label, b, n in found]
     return _train(sorted(counts), kept, epochs, rejected)
 
 

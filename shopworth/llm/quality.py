@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from shopworth.llm.common import col, map_arrow
+from shopworth.llm.common import col, map_arrow, row_hash
 from shopworth.llm.near_dup import word_hashes
 
 BUCKETS = 1 << 14
@@ -185,7 +185,8 @@ def fit(
     The votes of every document are counted by pattern on the executors; there are
     at most three to the number of labellers patterns. The scorer, a logistic
     regression on hashed features, learns the posterior labels of at most
-    ``sample`` documents, those with the least hash of their id.
+    ``sample`` documents, those with the least hash of id and text; rows alike in both
+    count once there. Spark cuts the sample before it comes to the driver.
     """
     vote_columns = [f"v{i}" for i in range(len(LABELLERS))]
 
@@ -202,7 +203,7 @@ def fit(
     if not number:
         return QualityModel(labels, np.zeros(2 * BUCKETS), 0.0, threshold)
 
-    order = F.xxhash64(col(id).cast("string"))
+    order = row_hash(id, text)
     near = (F.shiftrightunsigned(order, 11) / float(1 << 53)) < min(1.0, 1.2 * sample / number)
 
     def featurise(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -215,9 +216,10 @@ def fit(
         ]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["h", "at", "value", "votes"])
 
-    taken = df.where(near).select(order, col(text))
-    table = map_arrow(taken, featurise, "h long, at binary, value binary, votes binary").toArrow()
-    found = sorted(zip(*(c.to_pylist() for c in table.columns), strict=True))[:sample]
+    taken = df.where(near).select(order.alias("h"), col(text).alias("x")).dropDuplicates(["h"])
+    featured = map_arrow(taken, featurise, "h long, at binary, value binary, votes binary")
+    table = featured.orderBy("h").limit(sample).toArrow()
+    found = sorted(zip(*(c.to_pylist() for c in table.columns), strict=True))
     x = [(np.frombuffer(a, np.int32), np.frombuffer(v)) for _, a, v, _ in found]
     said_of = np.array([np.frombuffer(v, np.int8) for *_, v in found], np.int64).reshape(-1, len(LABELLERS))
     weights, bias = _teach(x, labels.good(said_of), epochs)

@@ -86,6 +86,21 @@ def test_quality_edges(documents):
     assert quality.score(documents(EDGES), quality.fit(documents([]))).where("NOT kept AND doc_id < 4").count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_samples_are_bounded_with_a_hot_id(documents, monkeypatch, hot):
+    rows = [(hot if i % 3 == 0 else i, f"some clean words of text number {i} and more of it.") for i in range(900)]
+    taught = []
+    monkeypatch.setattr(quality, "_teach", lambda x, y, epochs: taught.append(len(x)) or (np.zeros(2 * quality.BUCKETS), 0.0))
+    monkeypatch.setattr(langid, "_train", lambda languages, rows, *rest: taught.append(len(rows)))
+    collected, arrow = [], type(documents([])).toArrow
+    monkeypatch.setattr(type(documents([])), "toArrow", lambda df: collected.append(arrow(df)) or collected[-1])
+    quality.fit(documents(rows), sample=60)
+    langid.fit(documents(rows), sample=60)
+    assert all(40 <= n <= 60 for n in taught) and [t.num_rows for t in collected] == taught
+    hashes = [set(t.column("h").to_pylist()) for t in collected]
+    assert all(len(h) == n for h, n in zip(hashes, taught, strict=True))
+
+
 def test_toxicity_against_labels(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     rows = op3_toxicity(spark, DATA).collect()
