@@ -8,7 +8,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import functions as F
 
-from shopworth.llm import byte_bpe, cross_polytope, langid, licences, lz, near_dup, packing, quality, secrets, toxicity
+from shopworth.llm import byte_bpe, cross_polytope, langid, lexical, licences, lz, near_dup, packing, quality, secrets, toxicity
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -17,6 +17,45 @@ END_ID = 2
 SEQUENCE = 4096
 
 
+OP11_SQL = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+),
+held AS MATERIALIZED (SELECT d, doc_id, t, len(t)::BIGINT AS n FROM terms WHERE len(t) > 0),
+size AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM held),
+tf AS MATERIALIZED (
+  SELECT d, doc_id, n, t, count(*) AS tf FROM (SELECT d, doc_id, n, unnest(t) AS t FROM held) GROUP BY ALL
+),
+weight AS (
+  SELECT t, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY t
+),
+asked AS (
+  SELECT q, item_id, t, count(*) AS times
+  FROM (
+    SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM benchmark
+  )
+  GROUP BY ALL
+),
+scored AS (
+  SELECT q, item_id, d, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN tf USING (t) JOIN weight USING (t), size
+  GROUP BY ALL
+),
+placed AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM placed WHERE rank <= 10
+"""
+
+
 @cache
 def tokenizer_file(name: str) -> str:
     folder = TOKENIZERS or os.path.dirname(find_spec("public_tokenizers").origin)
@@ -81,6 +120,11 @@ def op10_quality(spark, d):
     return quality.score(docs, quality.fit(docs), keep=["doc_id"])
 
 
+def op11_lexical(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return lexical.search(docs, load(spark, d, "benchmark"))
+
+
 def queries():
     return {
         "op1_packing": op1_packing,
@@ -93,8 +137,9 @@ def queries():
         "op8_secrets": op8_secrets,
         "op9_minhash": op9_minhash,
         "op10_quality": op10_quality,
+        "op11_lexical": op11_lexical,
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op11_lexical": OP11_SQL}
