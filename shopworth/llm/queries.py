@@ -8,7 +8,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import functions as F
 
-from shopworth.llm import byte_bpe, cross_polytope, langid, lexical, licences, lz, near_dup, packing, quality, secrets, toxicity
+from shopworth.llm import byte_bpe, cross_polytope, langid, lexical, licences, lz, near_dup, packing, phrases, quality, secrets, toxicity
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -56,6 +56,65 @@ SELECT * FROM placed WHERE rank <= 10
 """
 
 
+OP12_SQL = r"""
+WITH pieces AS MATERIALIZED (
+  SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+),
+words AS MATERIALIZED (
+  SELECT p, lang, i, word FROM (
+    SELECT p, lang, unnest(w) AS word, generate_subscripts(w, 1) AS i
+    FROM (SELECT p, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces)
+  )
+),
+windows AS MATERIALIZED (
+  SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3,
+    lead(word, 3) OVER o AS w4, lead(word, 4) OVER o AS w5
+  FROM words WINDOW o AS (PARTITION BY p ORDER BY i)
+),
+grams AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM windows
+  UNION ALL SELECT lang, 2, concat_ws(' ', w1, w2) FROM windows WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, concat_ws(' ', w1, w2, w3) FROM windows WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4) FROM windows WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, concat_ws(' ', w1, w2, w3, w4, w5) FROM windows WHERE w5 IS NOT NULL
+),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+total AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS p1, array_to_string(w[cut + 1:], ' ') AS p2
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)
+),
+scored AS (
+  SELECT c.lang, c.phrase, a, l.f AS l, r.f AS r, n, cut,
+    ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = p1 JOIN f r ON r.lang = c.lang AND r.phrase = p2
+    JOIN total t ON t.lang = c.lang
+),
+worst AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+alone AS (
+  SELECT * FROM worst w WHERE NOT EXISTS (
+    SELECT 1 FROM candidates c
+    WHERE c.lang = w.lang AND c.phrase <> w.phrase AND 100 * c.a >= 100 * w.a
+      AND contains(' ' || c.phrase || ' ', ' ' || w.phrase || ' ')
+  )
+),
+placed AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score
+  FROM alone
+)
+SELECT * FROM placed WHERE rank <= 2000
+"""
+
+
 @cache
 def tokenizer_file(name: str) -> str:
     folder = TOKENIZERS or os.path.dirname(find_spec("public_tokenizers").origin)
@@ -125,6 +184,10 @@ def op11_lexical(spark, d):
     return lexical.search(docs, load(spark, d, "benchmark"))
 
 
+def op12_phrases(spark, d):
+    return phrases.mine(load(spark, d, "documents"))
+
+
 def queries():
     return {
         "op1_packing": op1_packing,
@@ -138,8 +201,9 @@ def queries():
         "op9_minhash": op9_minhash,
         "op10_quality": op10_quality,
         "op11_lexical": op11_lexical,
+        "op12_phrases": op12_phrases,
     }
 
 
 def oracle_sql():
-    return {"op11_lexical": OP11_SQL}
+    return {"op11_lexical": OP11_SQL, "op12_phrases": OP12_SQL}
