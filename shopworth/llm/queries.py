@@ -8,7 +8,21 @@ from importlib.util import find_spec
 
 from pyspark.sql import functions as F
 
-from shopworth.llm import byte_bpe, cross_polytope, langid, lexical, licences, lz, near_dup, packing, phrases, quality, secrets, toxicity
+from shopworth.llm import (
+    byte_bpe,
+    cross_polytope,
+    langid,
+    lexical,
+    licences,
+    line_dedup,
+    lz,
+    near_dup,
+    packing,
+    phrases,
+    quality,
+    secrets,
+    toxicity,
+)
 from shopworth.llm.common import load
 
 #: Where the public tokenizers lie; the files are never copied.
@@ -115,6 +129,27 @@ SELECT * FROM placed WHERE rank <= 2000
 """
 
 
+OP13_SQL = r"""
+WITH lines AS MATERIALIZED (
+  SELECT d, doc_id, i, line, translate(trim(line, E' \t\n\x0B\f\r'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (
+    SELECT d, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+    FROM (
+      SELECT row_number() OVER () AS d, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    )
+  )
+),
+common AS (
+  SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT d) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN common c ON l.key = c.key
+GROUP BY d, doc_id
+"""
+
+
 @cache
 def tokenizer_file(name: str) -> str:
     folder = TOKENIZERS or os.path.dirname(find_spec("public_tokenizers").origin)
@@ -188,6 +223,11 @@ def op12_phrases(spark, d):
     return phrases.mine(load(spark, d, "documents"))
 
 
+def op13_line_dedup(spark, d):
+    cut = line_dedup.dedup(load(spark, d, "documents"), keep=["doc_id"])
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries():
     return {
         "op1_packing": op1_packing,
@@ -202,8 +242,9 @@ def queries():
         "op10_quality": op10_quality,
         "op11_lexical": op11_lexical,
         "op12_phrases": op12_phrases,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql():
-    return {"op11_lexical": OP11_SQL, "op12_phrases": OP12_SQL}
+    return {"op11_lexical": OP11_SQL, "op12_phrases": OP12_SQL, "op13_line_dedup": OP13_SQL}
