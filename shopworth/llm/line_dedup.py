@@ -277,11 +277,11 @@ def cut(docs: DataFrame, lines: LineIndex, text: str = "text", keep: list[str] |
         + [StructField(c, LongType(), False) for c in results[1:]]
     )
     size = lines.filters.agg(F.sum(F.length("slots") + F.length("doubtful"))).first()[0] or 0
-    texts = col(text).cast("string")
+    texts, least = col(text).cast("string"), lines.least
     if size <= BROADCAST:
         rows = [tuple(map(_plain, r)) for r in lines.filters.toLocalIterator()]
         shared = docs.sparkSession.sparkContext.broadcast(_Probe(rows, lines.shards))
-        run = _cutter(schema, lines.least, lambda keys, batch, i: shared.value.common(keys))
+        run = _cutter(schema, least, lambda keys, batch, i: shared.value.common(keys))
         return map_arrow(docs.select(*map(col, keep), texts, F.lit(0)), run, schema)
 
     row = fresh(docs, "row")
@@ -291,7 +291,7 @@ def cut(docs: DataFrame, lines: LineIndex, text: str = "text", keep: list[str] |
         found = []
         for number, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             lines_of = set((value.as_py() or "").encode().split(b"\n"))
-            found += [(number, k) for k in {line_key(line, lines.least) for line in lines_of} if k]
+            found += [(number, k) for k in {line_key(line, least) for line in lines_of} if k]
         columns = [pa.array([n for n, _ in found], pa.int64()), pa.array([k for _, k in found], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=["row", "key"])
 
@@ -306,7 +306,7 @@ def cut(docs: DataFrame, lines: LineIndex, text: str = "text", keep: list[str] |
         drop = set(batch.column(batch.num_columns - 1)[i].as_py() or ())
         return [k in drop for k in keys]
 
-    return map_arrow(joined, _cutter(schema, lines.least, listed), schema)
+    return map_arrow(joined, _cutter(schema, least, listed), schema)
 
 
 def _plain(value):
