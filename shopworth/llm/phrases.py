@@ -20,18 +20,21 @@ from pyspark.sql.types import DecimalType
 from shopworth.llm.common import GOLDEN, col, map_batches, mix
 from shopworth.sources import pin
 
-#: Bits of a filter, at least and at most: what is broadcast is 16 MB at most.
-FEWEST_BITS, MOST_BITS = 16, 27
-#: Rows of the corpus for one bit of a filter.
-LOAD = 16
-#: Bytes of text that are counted together in a worker.
+#: Bits of a filter, at least and at most: what is broadcast is 16 MB a filter at most.
+FEWEST_BITS, MOST_BITS = 13, 27
+#: Characters of the corpus for one bit of a filter, about.
+LOAD = 96
+#: Windows of one to so many words have filters.
+FILTERS = 3
+#: Characters of text that are counted together in a worker.
 TOGETHER = 1 << 24
 
 _BREAK = b"."
 _FOLD = bytes(
     ord(".") if chr(b) in ".,;:!?\n\x0b\x0c\r" else ord(chr(b).lower()) if b < 128 else b for b in range(256)
 )
-_SEED = 42
+#: A filter is put together in so many pieces (a power of two), each in one task.
+_PIECES = 10
 
 
 class _Words(dict):
@@ -76,131 +79,192 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Words, np
     yield from drain()
 
 
-def _word_counts(df: DataFrame) -> DataFrame:
-    """``lang, word, n``, counted in the workers before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, numbers in _groups(batches):
-            n = np.bincount(numbers, minlength=len(words))[1:]
-            names = [w.decode() for w in words][1:]
-            columns = [pa.array([lang] * len(n), pa.string()), pa.array(names, pa.string()), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
-
-    counted = map_batches(df, run, "lang string, word string, n long")
-    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-
-
-def filter_bits(rows: int) -> int:
-    return min(MOST_BITS, max(FEWEST_BITS, (rows // LOAD).bit_length()))
-
-
-def bit_table(buckets: DataFrame, bits: int) -> np.ndarray:
-    """A table of ``2 ** bits`` bits, set at the given numbers of one column.
-
-    It is put together on Spark in pieces of 64 Ki bits; 16 MB come to the driver at most.
-    """
-    number = col(buckets.columns[0])
-    pieces = buckets.select(F.shiftright(number, 16).alias("p"), number.bitwiseAND(0xFFFF).cast("int").alias("b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for bucket in batch.column(1):
-                piece = np.zeros(1 << 16, bool)
-                piece[np.array(bucket.as_py(), np.int64)] = True
-                found.append(np.packbits(piece, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["p", "bits"])
-
-    grouped = pieces.groupBy("p").agg(F.collect_set("b"))
-    table = np.zeros(1 << (bits - 3), np.uint8)
-    for p, piece in map_batches(grouped, run, "p long, bits binary").toLocalIterator():
-        table[p << 13 : (p + 1) << 13] = np.frombuffer(piece, np.uint8)
-    return table
-
-
-def _held(table: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    return (table[buckets >> 3] >> (buckets & 7).astype(np.uint8)) & 1 == 1
+def filter_bits(characters: int) -> int:
+    return min(MOST_BITS, max(FEWEST_BITS, (characters // LOAD).bit_length()))
 
 
 def _hashes(lang: str, words: _Words) -> np.ndarray:
-    """What Spark's ``xxhash64(lang, word)`` gives for each word, as unsigned numbers; 0 for the break."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), _SEED)
+    """A hash of each word in its language; 0 for the break."""
+    seed = xxhash.xxh64_intdigest(lang.encode())
     return np.array([0, *(xxhash.xxh64_intdigest(w, seed) for w in list(words)[1:])], np.uint64)
 
 
-def _frequent(lang: str, words: _Words, numbers: np.ndarray, table: np.ndarray, bits: int):
-    """Which positions hold a word that may be frequent, and each word's hash."""
-    hashes = _hashes(lang, words)
-    may = _held(table, (hashes & np.uint64((1 << bits) - 1)).astype(np.int64))
-    may[0] = False
-    return may[numbers], hashes
+def _set(table: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return (table[buckets >> 3] >> (buckets & 7).astype(np.uint8)) & 1 == 1
 
 
-def _pair_buckets(hashes: np.ndarray, left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(hashes[left] * GOLDEN + hashes[right]) & np.uint64((1 << bits) - 1)).astype(np.int64)
+class _Windows:
+    """Which windows of consecutive numbers may be frequent, by their length.
 
+    A window of some words may be frequent if both windows of one word fewer in it may
+    be, and if it has a set bit in the filter of its length, as far as there are filters.
+    """
 
-def _frequent_pairs(df: DataFrame, words: np.ndarray, bits: int, least: int) -> np.ndarray:
-    """A filter of the pairs of neighbouring words: set where a bucket counts ``least`` or more."""
-    shared = df.sparkSession.sparkContext.broadcast(words)
+    def __init__(self, lang: str, words: _Words, numbers: np.ndarray, filters: list[np.ndarray], bits: int):
+        self.numbers, self.bits, self.mask = numbers, bits, np.uint64((1 << bits) - 1)
+        word = _hashes(lang, words)
+        self.word_of, self.length = word[numbers], 1
+        self.hash = mix(self.word_of)
+        self.may = numbers > 0
+        for i, table in enumerate(filters):
+            if i:
+                self.longer()
+            self.sift(table)
+
+    def longer(self) -> None:
+        """Windows of one word more."""
+        self.length += 1
+        self.may[:-1] &= self.may[1:]
+        self.may[-1:] = False
+        at = np.flatnonzero(self.may)
+        self.hash[at] = mix(self.hash[at] * GOLDEN + self.word_of[at + self.length - 1])
+
+    def sift(self, table: np.ndarray) -> None:
+        at = np.flatnonzero(self.may)
+        self.may[at] = _set(table, self.buckets(at))
+
+    def buckets(self, at: np.ndarray) -> np.ndarray:
+        return (self.hash[at] & self.mask).astype(np.int64)
+
+    def inside(self) -> np.ndarray:
+        """Buckets of the words in the windows."""
+        at = np.flatnonzero(self.may)
+        words = np.unique(np.concatenate([self.numbers[at + i] for i in range(self.length)]), return_index=True)[1]
+        hashes = np.concatenate([self.word_of[at + i] for i in range(self.length)])[words]
+        return np.unique((mix(hashes) & self.mask).astype(np.int64))
+
+
+def _bucket_counts(df: DataFrame, filters: list[np.ndarray], bits: int, least: int) -> DataFrame:
+    """Counts by bucket of the windows one longer than there are filters for, and words by language.
+
+    The rows with a ``lang`` have its words as ``total``. The others have, for a piece
+    of the buckets, those in use (low and high parts of their numbers) and how often.
+    With a filter of pairs, a second set of pieces has the words in pairs that may be
+    frequent, each as if counted often enough.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, known, numbers in _groups(batches):
-            may, hashes = _frequent(lang, known, numbers, shared.value, bits)
-            at = np.flatnonzero(may[:-1] & may[1:])
-            bucket, n = np.unique(_pair_buckets(hashes, numbers[at], numbers[at + 1], bits), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["b", "n"])
+        for lang, words, numbers in _groups(batches):
+            windows = _Windows(lang, words, numbers, shared.value, bits)
+            used = windows.inside() if windows.length > 1 else np.empty(0, np.int64)
+            if shared.value:
+                windows.longer()
+            bucket, n = np.unique(windows.buckets(np.flatnonzero(windows.may)), return_counts=True)
+            bucket = np.concatenate([bucket, used + (1 << bits)])
+            n = np.concatenate([n, np.full(len(used), least)])
+            piece, first = np.unique(bucket >> (bits - _PIECES), return_index=True)
+            bucket &= (1 << (bits - _PIECES)) - 1
+            parts = ((bucket & 0xFFFF).astype(np.uint16), (bucket >> 16).astype(np.uint8), n.astype(np.uint32))
+            pieces = len(piece)
+            blobs = [[x.tobytes() for x in np.split(part, first[1:])][:pieces] for part in parts]
+            columns = [
+                pa.array([lang] + [None] * pieces, pa.string()),
+                pa.array([int((numbers > 0).sum())] + [None] * pieces, pa.int64()),
+                pa.array([None, *piece.tolist()], pa.int64()),
+                *(pa.array([None, *blob], pa.binary()) for blob in blobs),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "total", "piece", "low", "high", "n"])
+
+    return map_batches(df, run, "lang string, total long, piece long, low binary, high binary, n binary")
+
+
+def _filter(counted: DataFrame, bits: int, least: int) -> np.ndarray:
+    """A table of bits for both sets of buckets, set where one counts ``least`` or more.
+
+    Pieces are added up one after the other in the order of a sort, so a worker holds
+    one at a time; packed, they come to the driver.
+    """
 
-    counted = map_batches(df, run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
-    return bit_table(counted.where(F.col("n") >= least).select("b"), bits)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        for batch in batches:
+            for piece, low, high, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if piece != now:
+                    if now is not None:
+                        yield packed(now, total)
+                    now, total = piece, np.zeros(8 * step, np.int64)
+                at = np.frombuffer(low, np.uint16).astype(np.int64) | np.frombuffer(high, np.uint8).astype(np.int64) << 16
+                total[at] += np.frombuffer(n, np.uint32)
+        if now is not None:
+            yield packed(now, total)
+
+    def packed(piece: int, total: np.ndarray) -> pa.RecordBatch:
+        bits_of = np.packbits(total >= least, bitorder="little").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([piece]), pa.array([bits_of], pa.binary())], names=["p", "bits"])
+
+    step, tables = 1 << (bits - 3 - _PIECES), 2
+    pieces = counted.where("piece IS NOT NULL").select("piece", "low", "high", "n")
+    dealt = pieces.repartition("piece").sortWithinPartitions("piece")
+    table = np.zeros(tables << (bits - 3), np.uint8)
+    for p, piece in map_batches(dealt, run, "p long, bits binary").toLocalIterator():
+        table[p * step : (p + 1) * step] = np.frombuffer(piece, np.uint8)
+    return table
 
 
-def _padded_windows(df: DataFrame, words: np.ndarray, pairs: np.ndarray, bits: int, longest: int) -> DataFrame:
+def _padded_windows(df: DataFrame, filters: list[np.ndarray], used: np.ndarray, bits: int, longest: int) -> DataFrame:
     """``lang, w1, w2, ..., n``: each window of lead columns, padded with empty words.
 
-    A window is also padded from the first pair on that can't be frequent: no phrase
-    across it is, so the counts of frequent phrases stay whole.
+    A window is also padded from the first word on that no frequent phrase from its start
+    goes on with, as the filters tell: counts of frequent phrases stay whole. Of windows
+    of one word, only those of ``used`` words, which frequent pairs may hold, are wanted.
     """
-    shared = df.sparkSession.sparkContext.broadcast((words, pairs))
+    shared = df.sparkSession.sparkContext.broadcast((filters, used))
     names = [f"w{i + 1}" for i in range(longest)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, known, numbers in _groups(batches):
-            may, hashes = _frequent(lang, known, numbers, shared.value[0], bits)
-            at = np.flatnonzero(may[:-1] & may[1:])
-            joined = np.zeros(len(numbers) + longest, bool)
-            joined[at] = _held(shared.value[1], _pair_buckets(hashes, numbers[at], numbers[at + 1], bits))
-            padded = np.concatenate([numbers, np.zeros(longest, np.int32)])
-            start = np.flatnonzero(may)
-            lead, alive = [padded[start].astype(np.int64)], np.ones(len(start), bool)
-            for i in range(1, longest):
-                alive = alive & joined[start + i - 1]
-                lead.append(np.where(alive, padded[start + i], 0))
+        for lang, words, numbers in _groups(batches):
+            filters, used = shared.value
+            windows = _Windows(lang, words, numbers, filters[:1], bits)
+            start, lead, single = np.flatnonzero(windows.may), [], None
+            for length in range(2, longest + 1):
+                windows.longer()
+                if length <= len(filters):
+                    windows.sift(filters[length - 1])
+                alive = windows.may[start]
+                if single is None:  # most windows end here, and are counted by their one word
+                    single = np.bincount(numbers[start[~alive]], minlength=len(words))
+                    start = start[alive]
+                    lead, alive = [numbers[start].astype(np.int64)], alive[alive]
+                lead.append(np.where(alive, numbers[np.minimum(start + length - 1, len(numbers) - 1)], 0))
             code = lead[0]
             for column in lead[1:]:  # windows get numbers, column by column, so that they fit 64 bits
-                _, code = np.unique(code * len(known) + column, return_inverse=True)
+                _, code = np.unique(code * len(words) + column, return_inverse=True)
             _, first, n = np.unique(code, return_index=True, return_counts=True)
-            texts = np.array(["", *(w.decode() for w in list(known)[1:])], object)
-            columns = [pa.array([lang] * len(n), pa.string())]
-            columns += [pa.array(texts[column[first]], pa.string()) for column in lead]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], names=["lang", *names, "n"])
+            bucket = (mix(_hashes(lang, words)) & windows.mask).astype(np.int64)
+            alone = np.flatnonzero((single > 0) & _set(used, bucket))
+            texts = np.array(["", *(w.decode() for w in list(words)[1:])], object)
+            blank = np.full(len(alone), "", object)
+            columns = [pa.array([lang] * (len(n) + len(alone)), pa.string())]
+            for i, column in enumerate(lead):
+                ends = blank if i else texts[alone]
+                columns.append(pa.array(np.concatenate([texts[column[first]], ends]), pa.string()))
+            columns.append(pa.array(np.concatenate([n, single[alone]])))
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
 
     schema = ", ".join(["lang string", *(f"{w} string" for w in names), "n long"])
     return map_batches(df, run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, lang: str, text: str, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, k, f`` of phrases up to ``longest`` words, and ``lang, n`` of all words."""
+    """``lang, phrase, k, f`` of phrases up to ``longest`` words, and ``lang, n`` of all words.
+
+    The filters of words, pairs and triples each take a pass over the texts. They have a
+    bit for some characters of the corpus up to a bound; a fuller filter lets more
+    windows pass and changes no count.
+    """
     known = F.coalesce(col(lang).cast("string"), F.lit("und"))
     df = docs.select(known.alias("lang"), F.coalesce(col(text).cast("string"), F.lit("")).alias("text"))
-    counted = pin(_word_counts(df))
-    totals = pin(counted.groupBy("lang").agg(F.sum("n").alias("n")))
-    rows = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    bits = filter_bits(rows)
-    bucket = F.xxhash64("lang", "word").bitwiseAND((1 << bits) - 1)
-    words = bit_table(counted.where(F.col("n") >= least).select(bucket), bits)
-    pairs = _frequent_pairs(df, words, bits, least)
-    windows = _padded_windows(df, words, pairs, bits, longest)
+    bits = filter_bits(df.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0])
+    filters: list[np.ndarray] = []
+    for length in range(min(FILTERS, longest)):
+        counted = _bucket_counts(df, filters, bits, least)
+        if not length:
+            counted = pin(counted)
+            totals = counted.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("n"))
+        table, used = np.split(_filter(counted, bits, least), 2)
+        filters.append(table)
+    windows = _padded_windows(df, filters, used if len(filters) > 2 else np.full_like(used, 255), bits, longest)
     names = [f"w{i + 1}" for i in range(longest)]
     rolled = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # The level of k words rolls up the others; a padded prefix is a shorter window, not a phrase.
@@ -223,8 +287,7 @@ def mine(
     by the phrase's bytes. A null language is ``und``, a null text has no words; repeated
     rows count again; other columns play no part; without candidates there are no rows.
     """
-    phrases, totals = frequent_phrases(docs, lang, text, longest, least)
-    phrases = pin(phrases)
+    phrases, totals = map(pin, frequent_phrases(docs, lang, text, longest, least))
     candidates = phrases.where("k >= 2").select("lang", "phrase", "k", F.col("f").alias("a"))
     words = F.split("phrase", " ", -1)
     inner = candidates.where("k >= 3").select(
