@@ -73,6 +73,31 @@ def binary_column(buffers: list[bytes]) -> pa.Array:
     return pa.array(buffers, pa.binary())
 
 
+def flat(table: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """A binary column's bytes as one array, without a copy, and where each row begins in it."""
+    column = table.column(name).cast(pa.binary()).combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    size = np.dtype(kind).itemsize
+    return values[ends[0] : ends[-1]].view(kind), (ends - ends[0]) // size
+
+
+class Ragged:
+    """Rows of unequal length over flat arrays; a row is the tuple of its slices."""
+
+    def __init__(self, starts: np.ndarray, *flats: np.ndarray):
+        self.starts, self.flats = starts, flats
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, ...]:
+        part = slice(self.starts[i], self.starts[i + 1])
+        return tuple(x[part] for x in self.flats)
+
+
 def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column of ``lengths`` over the flat ``values``."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from shopworth.llm.common import col, map_arrow, row_hash
+from shopworth.llm.common import Ragged, col, flat, map_arrow, row_hash
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -64,7 +64,7 @@ def _counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     for part in subwords(text):
         total += np.bincount(part, minlength=BUCKETS)
     found = np.flatnonzero(total)
-    return found.astype(np.int32), total[found].astype(np.int32)
+    return found.astype(np.uint16), total[found].astype(np.uint32)
 
 
 @dataclass
@@ -101,23 +101,27 @@ def fit(
     sample: int = 4000,
     epochs: int = 6,
     rejected: float = 0.001,
+    sample_bytes: int = 32 << 20,
+    most: int = 1000,
 ) -> LanguageModel:
     """Learn from at most ``sample`` of the labelled rows, counted on the executors.
 
     The rows with the least hash of id and text are taken, rows alike in both and in
     language once, in equal shares of the languages as far as they have rows; Spark
-    cuts the shares before they come to the driver. Their subword counts, not their texts, come
-    to the driver. A fifth of them calibrates: it sets the temperature, and the
+    cuts the shares, by rows and so that their subword counts take ``sample_bytes`` in
+    all, before they come to the driver. Counts, not texts, come there. The ``most`` frequent
+    languages are learned. A fifth of the sample calibrates: it sets the temperature, and the
     score below which predictions are rejected, such that ``rejected`` of the right
     ones would be lost, and never above one half. Rows with a null label or without
     letters teach nothing; without any rows, all predictions are ``und``.
     """
     rows = labelled.where(col(lang).isNotNull() & col(text).isNotNull())
     order = row_hash(id, text)
-    counts = {r[0]: r[1] for r in rows.groupBy(col(lang)).count().collect()}
+    frequent = rows.groupBy(col(lang).cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang")
+    counts = {r[0]: r[1] for r in frequent.limit(min(most, sample)).collect()}
     if not counts:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.5)
-    share = sample / len(counts)
+    share, byte_share = sample / len(counts), sample_bytes // len(counts)
     rate = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.2 * share / n))])
     taken = rows.where((F.shiftrightunsigned(order, 11) / float(1 << 53)) < rate[col(lang)])
 
@@ -130,21 +134,29 @@ def fit(
     schema = "h long, lang string, buckets binary, counts binary"
     taken = taken.select(order.alias("h"), col(lang).alias("lang"), col(text).alias("x")).dropDuplicates(["h", "lang"])
     counted = map_arrow(taken, count, schema).where(F.length("buckets") > 0)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("place")
-    table = counted.select(*names, place).where(F.col("place") <= max(1, int(share))).toArrow()
-    found = sorted(zip(*(table.column(c).to_pylist() for c in names), strict=True))
-    kept = [(label, np.frombuffer(b, np.int32), np.frombuffer(n, np.int32)) for _, label, b, n in found]
-    return _train(sorted(counts), kept, epochs, rejected)
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    size = F.sum(F.length("buckets") + F.length("counts")).over(by_hash)
+    counted = counted.select(*names, F.row_number().over(by_hash).alias("place"), size.alias("size"))
+    fits = (F.col("place") <= int(share)) & ((F.col("size") <= byte_share) | (F.col("place") == 1))
+    return _train(sorted(counts), counted.where(fits).select(*names).toArrow(), epochs, rejected)
 
 
-def _train(languages: list[str], rows: list, epochs: int, rejected: float) -> LanguageModel:
+def _train(languages: list[str], table: pa.Table, epochs: int, rejected: float) -> LanguageModel:
     draw = np.random.default_rng(7)
     number = {name: i for i, name in enumerate(languages)}
-    x = [(b, (c / c.sum()).astype(np.float64)[:, None]) for _, b, c in rows]
-    y = np.array([number[name] for name, _, _ in rows], np.int64)
-    order = draw.permutation(len(rows))
-    held = order[: len(rows) // 5]
-    taught = order[len(rows) // 5 :]
+    buckets_of, starts = flat(table, "buckets", np.uint16)
+    counted = Ragged(starts, buckets_of, flat(table, "counts", np.uint32)[0])
+    y = np.array([number[name] for name in table.column("lang").to_pylist()], np.int64)
+    by_hash = np.lexsort((y, table.column("h").to_numpy()))
+
+    def text(i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of a text of the sample, and their shares."""
+        buckets, counts = counted[i]
+        return buckets, (counts / counts.sum())[:, None]
+
+    order = by_hash[draw.permutation(len(y))]
+    held = order[: len(y) // 5]
+    taught = order[len(y) // 5 :]
     # One bucket's embedding moves by its share of a text, so steps are long.
     embeddings = draw.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     weights, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
@@ -153,7 +165,7 @@ def _train(languages: list[str], rows: list, epochs: int, rejected: float) -> La
         for i in draw.permutation(taught):
             rate = 0.5 * (1 - step / steps)
             step += 1
-            buckets, share = x[i]
+            buckets, share = text(i)
             mean = (embeddings[buckets] * share).sum(axis=0)
             error = _softmax(mean @ weights + bias)
             error[y[i]] -= 1
@@ -161,10 +173,10 @@ def _train(languages: list[str], rows: list, epochs: int, rejected: float) -> La
             weights -= rate * np.outer(mean, error)
             bias -= rate * 0.1 * error
             embeddings[buckets] -= 20 * rate * share * back
-    table = embeddings @ weights
-    model = LanguageModel(languages, table, bias, 1.0, 0.5)
+    learned = embeddings @ weights
+    model = LanguageModel(languages, learned, bias, 1.0, 0.5)
     if len(held):
-        logits = np.array([(table[x[i][0]] * x[i][1]).sum(axis=0) + bias for i in held])
+        logits = np.array([(learned[b] * share).sum(axis=0) + bias for b, share in map(text, held)])
         truth = y[held]
 
         def loss(t: float) -> float:
@@ -174,6 +186,8 @@ def _train(languages: list[str], rows: list, epochs: int, rejected: float) -> La
         scores = _softmax(logits / model.temperature)
         right = scores.max(axis=1)[scores.argmax(axis=1) == truth]
         model.threshold = float(min(0.5, np.quantile(right, rejected))) if len(right) else 0.0
+    del table, buckets_of, counted
+    pa.default_memory_pool().release_unused()
     return model
 
 

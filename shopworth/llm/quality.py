@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from shopworth.llm.common import col, map_arrow, row_hash
+from shopworth.llm.common import Ragged, col, flat, map_arrow, row_hash
 from shopworth.llm.near_dup import word_hashes
 
 BUCKETS = 1 << 14
@@ -178,15 +178,22 @@ def _voted(batch: pa.RecordBatch) -> list[list[int]]:
 
 
 def fit(
-    df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 6000, epochs: int = 8, threshold: float = 0.5
+    df: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    sample: int = 6000,
+    epochs: int = 8,
+    threshold: float = 0.5,
+    sample_bytes: int = 32 << 20,
 ) -> QualityModel:
     """Estimate the labellers on all documents and teach the scorer on a sample.
 
     The votes of every document are counted by pattern on the executors; there are
     at most three to the number of labellers patterns. The scorer, a logistic
     regression on hashed features, learns the posterior labels of at most
-    ``sample`` documents, those with the least hash of id and text; rows alike in both
-    count once there. Spark cuts the sample before it comes to the driver.
+    ``sample`` documents, those with the least hash of id and text, as far as their features
+    take ``sample_bytes``; rows alike in both count once there. Spark cuts the sample before it
+    comes to the driver.
     """
     vote_columns = [f"v{i}" for i in range(len(LABELLERS))]
 
@@ -210,23 +217,29 @@ def fit(
         found = [_features((t or "").encode()) for t in batch.column(1).to_pylist()]
         used = [np.flatnonzero(f) for f in found]
         columns = [
-            pa.array([u.astype(np.int32).tobytes() for u in used], pa.binary()),
-            pa.array([f[u].tobytes() for f, u in zip(found, used, strict=True)], pa.binary()),
+            pa.array([u.astype(np.uint16).tobytes() for u in used], pa.binary()),
+            pa.array([f[u].astype(np.float32).tobytes() for f, u in zip(found, used, strict=True)], pa.binary()),
             pa.array([np.array(v, np.int8).tobytes() for v in _voted(batch)], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["h", "at", "value", "votes"])
 
     taken = df.where(near).select(order.alias("h"), col(text).alias("x")).dropDuplicates(["h"])
     featured = map_arrow(taken, featurise, "h long, at binary, value binary, votes binary")
-    table = featured.orderBy("h").limit(sample).toArrow()
-    found = sorted(zip(*(c.to_pylist() for c in table.columns), strict=True))
-    x = [(np.frombuffer(a, np.int32), np.frombuffer(v)) for _, a, v, _ in found]
-    said_of = np.array([np.frombuffer(v, np.int8) for *_, v in found], np.int64).reshape(-1, len(LABELLERS))
-    weights, bias = _teach(x, labels.good(said_of), epochs)
+    by_hash = Window.orderBy("h")  # over few more rows than the sample
+    size = F.sum(F.length("at") + F.length("value")).over(by_hash)
+    first = featured.orderBy("h").limit(sample).withColumn("size", size).where(F.col("size") <= sample_bytes)
+    table = first.select("h", "at", "value", "votes").toArrow()
+    table = table.take(pa.array(np.argsort(table.column("h").to_numpy(), kind="stable")))
+    at, starts = flat(table, "at", np.uint16)
+    value, _ = flat(table, "value", np.float32)
+    said_of = flat(table, "votes", np.int8)[0].astype(np.int64).reshape(-1, len(LABELLERS))
+    weights, bias = _teach(Ragged(starts, at, value), labels.good(said_of), epochs)
+    del table, at, value
+    pa.default_memory_pool().release_unused()
     return QualityModel(labels, weights, bias, threshold)
 
 
-def _teach(x: list, y: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
+def _teach(x: Ragged, y: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
     """Stochastic gradient descent with steps fitted to each weight (AdaGrad)."""
     draw = np.random.default_rng(11)
     weights, seen, bias = np.zeros(2 * BUCKETS), np.full(2 * BUCKETS, 1e-6), 1.0
@@ -235,6 +248,7 @@ def _teach(x: list, y: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
     for _ in range(epochs):
         for i in draw.permutation(len(x)):
             at, value = x[i]
+            value = value.astype(np.float64)
             score = 1 / (1 + np.exp(-np.clip(value @ weights[at] + bias, -30, 30)))
             error = (score - y[i]) * (heavy if y[i] < 0.5 else 1.0)
             step = error * value + 1e-6 * weights[at]

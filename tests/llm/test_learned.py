@@ -224,3 +224,37 @@ def test_pipeline_stages_on_edges(spark, documents, rows):
         assert out.columns == docs.columns and out.dtypes == docs.dtypes
         docs = spark.createDataFrame(out.collect(), docs.schema)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= min(1, len(rows)) * docs.count()
+
+
+def test_samples_are_bounded_by_bytes(documents, spark):
+    """Long texts do not make a sample large: shares are cut by the size of their counts too."""
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}o" for j in range(600))) for i in range(60)]
+    docs = documents(rows)
+    seen = []
+    train, teach = langid._train, quality._teach
+    try:
+        langid._train = lambda languages, table, *rest: seen.append(table.nbytes) or train(languages, table, *rest)
+        quality._teach = lambda x, y, epochs: seen.append(sum(f.nbytes for f in x.flats)) or teach(x, y, epochs)
+        langid.fit(docs, sample_bytes=60_000, epochs=1)
+        quality.fit(docs, sample_bytes=30_000, epochs=1)
+        whole = langid.fit(docs, epochs=1)
+    finally:
+        langid._train, quality._teach = train, teach
+    assert 20_000 < seen[0] <= 70_000 and 5_000 < seen[1] <= 30_000 and seen[2] > 2 * seen[0]
+    assert whole.languages == ["en"]
+
+
+def test_flat_buffers_equal_lists():
+    import pyarrow as pa
+
+    from shopworth.llm.common import Ragged, flat
+
+    parts = [np.arange(n, dtype=np.uint16) for n in (3, 0, 5)]
+    column = pa.chunked_array([pa.array([p.tobytes() for p in parts[:2]], pa.binary()), pa.array([parts[2].tobytes()], pa.binary())])
+    values, starts = flat(pa.table({"x": column}), "x", np.uint16)
+    rows = Ragged(starts, values)
+    assert len(rows) == 3 and [r.tolist() for (r,) in (rows[i] for i in range(3))] == [p.tolist() for p in parts]
+    values, starts = flat(pa.table({"x": column}).slice(2), "x", np.uint16)
+    assert values.tolist() == [0, 1, 2, 3, 4] and starts.tolist() == [0, 5]
+    values, starts = flat(pa.table({"x": pa.array([], pa.binary())}), "x", np.uint16)
+    assert len(values) == 0 and len(Ragged(starts, values)) == 0
