@@ -194,6 +194,13 @@ def clv_text_ids(spark, d):
     return descriptive.customer_base(prepare(orders, mapping))
 
 
+def clv_segments_text(spark, d):
+    """Text ids, in whose order ties are cut; values are rounded so that there are many ties."""
+    name = F.concat(F.lit("customer no. "), F.col("customer_id").cast("string"))
+    named = pin(_valued(spark, d).select(name.alias("customer_id"), F.col("total_transaction").alias("clv")))
+    return segment(named, "clv")
+
+
 def clv_customer_base_repeated(spark, d):
     """Order lines as rows: order ids repeat and are counted once."""
     lines = load_lines(spark, d).withColumn("amount", F.col("price") * (1 - F.col("discount")))
@@ -459,6 +466,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clv_whole": clv_whole,
         "clv_whole_cutoff": clv_whole_cutoff,
         "clv_text_ids": clv_text_ids,
+        "clv_segments_text": clv_segments_text,
         "clv_customer_base_repeated": clv_customer_base_repeated,
         "rfm_metrics": rfm_metrics,
         "rfm_metrics_events": rfm_metrics_events,
@@ -786,6 +794,9 @@ def oracle_sql() -> dict[str, str]:
         "clv_segment_summary": f"{valued}, {_CLV_SEGMENTS} {_summary_sql('labelled', ['clv'])}",
         "clv_whole": f"{valued}, {_CLV_SEGMENTS} SELECT * FROM labelled",
         "clv_whole_cutoff": f"WITH {_CUT}, {_VALUED}, {_CLV_SEGMENTS} SELECT * FROM labelled",
+        "clv_segments_text": f"""{valued}, named AS (
+          SELECT 'customer no. ' || customer_id AS customer_id, total_transaction AS clv FROM valued)
+          SELECT *, {_LABEL.format('clv')} FROM named""",
         "clv_text_ids": f"""WITH {_ALL} SELECT 'u-' || customer_id AS customer_id,
           count(DISTINCT 'C' || order_id) AS total_transaction, round(sum(amount), 4) AS total_price
           FROM txn GROUP BY customer_id""",

@@ -2,11 +2,12 @@
 
 An n-tile over all customers only depends on the few rows that end each tile.
 Those rows are found by counting: a sketch of a sample suggests a bracket around
-each wanted rank, one pass over all rows counts those below and inside each
-bracket, and only the rows inside are grouped and ordered. Every other row is
-compared with the boundaries where it already lies, so assigning tiles shuffles
-nothing. The counts decide: a bracket that misses its rank is dropped, so the
-result is exact whatever the sketch says.
+each wanted rank, one pass over all rows counts those below, at, between and above
+its two ends, and only the rows of the part that holds the rank are looked at again,
+until few are left to group and order. Every other row is compared with the
+boundaries where it already lies, so assigning tiles shuffles nothing. The counts
+decide, so the result is exact whatever the sketch says, and a value that most rows
+share is a part of its own that never hides its neighbours.
 
 ``df`` is read several times; :func:`shopworth.sources.pin` a costly one first.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 from typing import NamedTuple
@@ -30,6 +32,8 @@ BRACKET_ROWS = 500_000
 SKETCH_ROWS = 2_000_000
 SKETCH_ACCURACY = 1_000
 SEED = 20
+# Bytes of a text that are compared at a time; with their count they fit a double.
+_LEVEL = 6
 
 
 class Tile(NamedTuple):
@@ -50,7 +54,11 @@ class Found(NamedTuple):
 
 @dataclass
 class _Bracket:
-    """Rows of one key column within ``[low, high]`` and the ranks wanted there."""
+    """Rows of one key column between ``low`` and ``high``, both left out, and the ranks wanted there.
+
+    Without an end the bracket is open on that side. ``single`` brackets hold the rows
+    whose key is ``low``. ``below`` counts the rows before the bracket.
+    """
 
     owner: int
     key: Column
@@ -59,59 +67,92 @@ class _Bracket:
     below: int = 0
     low: float | None = None
     high: float | None = None
+    single: bool = False
     missed: bool = False
-    settled: bool = False
+    stuck: bool = False
+
+    def suggestions(self, ends: list[float]) -> Column:
+        """Keys near these shares of the rows; the least and greatest key where sketches did not help.
+
+        Sketches work in doubles, so whole numbers and decimals count from the bracket's low end.
+        """
+        inside = self.inside()
+        if self.stuck:
+            return F.array(F.min(F.when(inside, self.key)), F.max(F.when(inside, self.key)))
+        key = F.try_subtract(self.key, F.lit(self.low)) if self.shifted() else self.key
+        return F.percentile_approx(F.when(inside, key), ends, SKETCH_ACCURACY)
+
+    def shifted(self) -> bool:
+        return isinstance(self.low, (int, Decimal)) and not self.stuck
 
     def inside(self) -> Column:
+        if self.single:
+            return self.key == F.lit(self.low)
         found = self.key.isNotNull()
         if self.low is not None:
-            found = found & self.key.between(F.lit(self.low), F.lit(self.high))
+            found = found & (self.key > F.lit(self.low))
+        if self.high is not None:
+            found = found & (self.key < F.lit(self.high))
         return found
 
 
 def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
     """One bracket per rank, cut down to the neighbourhood of that rank.
 
-    The first suggestions come from a sample. After a miss they come from all rows:
-    such a sketch cannot miss, so every bracket shrinks until it is small or a few
-    keys fill it, whose rows the counts by key then merge.
+    The first suggestions come from a sample. Where it misled they come from all rows:
+    such a sketch errs by less than its margin, so the part between its ends, which are
+    parts of their own, holds under a hundredth of the bracket.
     """
     margin = 2 / SKETCH_ACCURACY
     sketches = []
     for i, b in enumerate(brackets):
         shares = [(rank - b.below) / b.rows for rank in b.ranks]
         ends = [end for s in shares for end in (max(s - margin, 0.0), min(s + margin, 1.0))]
-        inside = F.when(b.inside(), b.key)
-        sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"s{i}"))
+        sketches.append(b.suggestions(ends).alias(f"s{i}"))
     fraction = SKETCH_ROWS / min(b.rows for b in brackets)
-    whole = fraction >= 1 or any(b.missed for b in brackets)
+    whole = fraction >= 1 or any(b.missed or b.stuck for b in brackets)
     sampled = df if whole else df.sample(fraction, seed=SEED)
     suggested = sampled.agg(*sketches).first()
-    single, low_high = [], []
+    parts = []
     for b, ends in zip(brackets, suggested):
+        if ends and b.shifted():
+            ends = [b.low + end for end in ends]
         for j, rank in enumerate(b.ranks):
-            single.append(replace(b, ranks=[rank]))
-            low_high.append(ends[2 * j : 2 * j + 2] if ends else (None, None))
+            at = (ends if b.stuck else ends[2 * j : 2 * j + 2]) if ends else (None, None)
+            parts.append((replace(b, ranks=[rank]), *at))
     counts = []
-    for i, (b, (low, high)) in enumerate(zip(single, low_high)):
-        counts.append(F.count_if(b.key < F.lit(low)).alias(f"below{i}"))
-        counts.append(F.count_if(b.key.between(F.lit(low), F.lit(high))).alias(f"rows{i}"))
+    for i, (b, low, high) in enumerate(parts):
+        inside, low, high = b.inside(), F.lit(low), F.lit(high)
+        counts.append(F.count_if(inside & (b.key < low)).alias(f"before{i}"))
+        counts.append(F.count_if(inside & (b.key == low)).alias(f"low{i}"))
+        counts.append(F.count_if(inside & (b.key > low) & (b.key < high)).alias(f"between{i}"))
+        counts.append(F.count_if(inside & (b.key == high) & (b.key > low)).alias(f"high{i}"))
     counted = df.agg(*counts).first()
-    for i, (b, (low, high)) in enumerate(zip(single, low_high)):
-        below, rows = counted[2 * i], counted[2 * i + 1]
-        if below < b.ranks[0] <= below + rows:
-            b.settled = whole and rows > 0.9 * b.rows
-            b.missed = not whole and rows > 0.5 * b.rows
-            b.low, b.high, b.below, b.rows = low, high, below, rows
-        else:
-            b.settled, b.missed = whole, True
-    return single
+    narrowed = []
+    for i, (b, low, high) in enumerate(parts):
+        if low is None:  # no row of the sample lies inside
+            narrowed.append(replace(b, missed=True))
+            continue
+        before, at_low, between, at_high = counted[4 * i : 4 * i + 4]
+        after = b.rows - before - at_low - between - at_high
+        below = b.below
+        for rows, bounds in (
+            (before, {"high": low}),
+            (at_low, {"low": low, "high": low, "single": True}),
+            (between, {"low": low, "high": high}),
+            (at_high, {"low": high, "high": high, "single": True}),
+            (after, {"low": high}),
+        ):
+            if b.ranks[0] <= below + rows:
+                missed, stuck = not whole and rows > 0.5 * b.rows, whole and rows > 0.9 * b.rows
+                narrowed.append(replace(b, below=below, rows=rows, missed=missed, stuck=stuck, **bounds))
+                break
+            below += rows
+    return narrowed
 
 
 def _wide(bracket: _Bracket, limit: int) -> bool:
-    if bracket.settled or bracket.rows <= limit:
-        return False
-    return bracket.low is None or bracket.low < bracket.high
+    return not bracket.single and bracket.rows > limit
 
 
 def order_statistics(
@@ -129,6 +170,10 @@ def order_statistics(
     while wide := [b for b in brackets if _wide(b, limit)]:
         brackets = [b for b in brackets if not _wide(b, limit)] + _narrowed(df, wide)
     found: list[dict[int, Found]] = [{} for _ in wanted]
+    for b in brackets:
+        if b.single:
+            found[b.owner][b.ranks[0]] = Found(b.low, b.ranks[0] - b.below, b.rows)
+    brackets = [b for b in brackets if not b.single]
     if not brackets:
         return found
 
@@ -172,55 +217,111 @@ def _tile_ends(n: int, k: int) -> list[int]:
     return [end for end in ends if 0 < end < n]
 
 
+def _text_key(id: Column, level: int) -> Column:
+    """A whole number in the order of the bytes of a text at ``level``, a shorter end first."""
+    part = F.substring(F.encode(id, "UTF-8"), _LEVEL * level + 1, _LEVEL)
+    number = F.conv(F.rpad(F.hex(part), 2 * _LEVEL, "0"), 16, 10).cast("bigint")
+    return number * 8 + F.octet_length(part)
+
+
+@dataclass
+class _Cut:
+    """The end of a tile among rows of one value: the id ``position`` decides, in the order of ids."""
+
+    tied: Column
+    position: int
+    ties: int
+    prefix: bytes = b""
+    ended: bool = False
+    key: float | None = None
+
+    def beyond(self, id: Column, text: bool) -> Column:
+        if not text:
+            return id > F.lit(self.key)
+        data = F.encode(id, "UTF-8")
+        data = data if self.ended else F.substring(data, 1, len(self.prefix))
+        return data > F.lit(bytearray(self.prefix))
+
+
+def _cut_ties(df: DataFrame, id: str, cuts: list[_Cut], text: bool, limit: int) -> None:
+    """Find the id at each cut. Texts are compared some bytes at a time, all cuts in the same passes."""
+    level, open_cuts = 0, cuts
+    while open_cuts:
+        wanted = []
+        for c in open_cuts:
+            tied, key = c.tied, F.col(id)
+            if text:
+                key = _text_key(key, level)
+                if level:
+                    begun = F.substring(F.encode(F.col(id), "UTF-8"), 1, _LEVEL * level)
+                    tied = tied & (begun == F.lit(bytearray(c.prefix)))
+            wanted.append((F.when(tied, key), c.ties, [c.position]))
+        for c, places in zip(open_cuts, order_statistics(df, wanted, limit)):
+            place = places[c.position]
+            if text:
+                number, size = divmod(place.key, 8)
+                c.prefix += number.to_bytes(_LEVEL, "big")[:size]
+                c.ended = size < _LEVEL
+            c.key, c.position, c.ties = place.key, place.position, place.ties
+        open_cuts = [c for c in open_cuts if text and not c.ended and c.ties > 1]
+        level += 1
+
+
 def ntiles(
-    df: DataFrame, id: str, tiles: Mapping[str, Tile], limit: int = BRACKET_ROWS
+    df: DataFrame,
+    id: str,
+    tiles: Mapping[str, Tile],
+    limit: int = BRACKET_ROWS,
+    by: str | None = None,
+    groups: Sequence | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``tiles``: ``ntile(k)`` over ``(value, id)``.
 
-    ``id`` is unique and breaks ties in ascending order, also under ``desc``; text
-    ids do so by their hash. Whole numbers and decimals keep their type. All
-    columns are found in the same passes.
+    ``id`` is unique and breaks ties in ascending order, also under ``desc``; text ids
+    by their bytes. Whole numbers and decimals keep their type. With ``by``, each of its
+    values has tiles of its own, in which ``id`` is unique; ``groups`` lists the values if they
+    are known, and there should be some hundreds at most, as each adds to the
+    expressions. All columns and groups are found in the same passes.
     """
-    names = list(tiles)
-    keys = []
-    for name in names:
+    if by is not None and groups is None:
+        groups = sorted(row[0] for row in df.select(by).where(F.col(by).isNotNull()).distinct().collect())
+    owners, keys = [], []
+    for name in tiles:
         kind = df.schema[tiles[name].value].dataType
         exact = isinstance(kind, (IntegralType, DecimalType))
         value = F.col(tiles[name].value)
         value = value if exact else value.cast("double")
-        keys.append(-value if tiles[name].desc else value)
-    text_id = isinstance(df.schema[id].dataType, StringType)
-    breaker = F.xxhash64(id) if text_id else F.col(id)
-    sizes = _counts(df, keys)
-    ends = [_tile_ends(n, tiles[name].k) for name, n in zip(names, sizes)]
+        value = -value if tiles[name].desc else value
+        for group in [None] if by is None else groups:
+            owners.append((name, group))
+            keys.append(value if by is None else F.when(F.col(by) == F.lit(group), value))
+    text = isinstance(df.schema[id].dataType, StringType)
+    sizes = _counts(df, keys) if keys else []
+    ends = [_tile_ends(n, tiles[name].k) for (name, _), n in zip(owners, sizes)]
     found = order_statistics(df, list(zip(keys, sizes, ends)), limit)
 
     # A tile may end among rows of one value; the id at that place settles it.
-    split = [
-        (i, end, place)
+    cuts = {
+        (i, end): _Cut(keys[i] == F.lit(place.key), place.position, place.ties)
         for i, places in enumerate(found)
         for end, place in places.items()
         if place.position < place.ties
-    ]
-    tied = [
-        (F.when(keys[i] == place.key, breaker), place.ties, [place.position]) for i, _, place in split
-    ]
-    last_ids = {
-        (i, end): ids[place.position].key
-        for (i, end, place), ids in zip(split, order_statistics(df, tied, limit))
     }
+    _cut_ties(df, id, list(cuts.values()), text, limit)
 
-    columns = {}
-    for i, name in enumerate(names):
+    columns: dict[str, list[Column]] = {name: [] for name in tiles}
+    for i, (name, _) in enumerate(owners):
         tile = F.lit(1)
         for end in ends[i]:
             place = found[i][end]
-            beyond = keys[i] > place.key
-            if (i, end) in last_ids:
-                beyond = beyond | ((keys[i] == place.key) & (breaker > last_ids[i, end]))
+            beyond = keys[i] > F.lit(place.key)
+            if (i, end) in cuts:
+                cut = cuts[i, end]
+                beyond = beyond | (cut.tied & cut.beyond(F.col(id), text))
             tile = tile + beyond.cast("int")
-        columns[name] = F.when(keys[i].isNotNull(), tile)
-    return df.withColumns(columns)
+        columns[name].append(F.when(keys[i].isNotNull(), tile))
+    none = F.lit(None).cast("int")
+    return df.withColumns({name: F.coalesce(*tiled, none) for name, tiled in columns.items()})
 
 
 def quantiles(
@@ -255,11 +356,14 @@ def segment(
     labels: Sequence[str] = ("D", "C", "B", "A"),
     id: str = "customer_id",
     limit: int = BRACKET_ROWS,
+    by: str | None = None,
+    groups: Sequence | None = None,
 ) -> DataFrame:
     """Label equal-sized groups of customers, lowest value first, as ``segment``.
 
-    Customers without a value stay without a label.
+    Customers without a value stay without a label. With ``by``, each of its values has
+    segments of its own, all found in the same passes.
     """
-    tiled = ntiles(df, id, {"segment": Tile(value, len(labels))}, limit)
+    tiled = ntiles(df, id, {"segment": Tile(value, len(labels))}, limit, by, groups)
     names = F.array(*[F.lit(label) for label in labels])
     return tiled.withColumn("segment", F.get(names, F.col("segment") - 1))

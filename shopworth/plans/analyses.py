@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
-from functools import reduce
+from numbers import Integral
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -139,21 +139,22 @@ def fitted_cltv(
     summary = bg_summary(occasions(txn), cutoff, unit, include_first)
     count = "m_count" if include_first else "x"
     fits = fit_cltv(summary, bg, gg, unit, count)
-    several = not isinstance(periods, int)
+    several = not isinstance(periods, Integral)
+    horizons = [int(h) for h in periods] if several else None
     names = ("expected_purchases", "expected_average_profit", "cltv")
-    results = []
-    for horizon in periods if several else [periods]:
-        if fits.reason and not (fits.bg or bg):
-            valued = summary.withColumns({name: F.lit(None).cast("double") for name in names})
-        else:
-            purchase = bg or BgParams(*fits.bg.theta)
-            value = gg or (GgParams(*fits.gg.theta) if fits.gg else GgParams(1.0, 1.0, 1.0))
-            valued = predicted.cltv(summary, purchase, value, horizon, discount, margin, count)
-        valued = valued.withColumn("reason", F.lit(fits.reason).cast("string"))
+    if fits.reason and not (fits.bg or bg):
+        valued = summary.withColumns({name: F.lit(None).cast("double") for name in names})
         if several:
-            valued = valued.withColumn("horizon", F.lit(horizon))
-        results.append(segment(pin(valued), "cltv", labels))
-    return reduce(DataFrame.union, results), fits
+            valued = valued.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
+    else:
+        purchase = bg or BgParams(*fits.bg.theta)
+        value = gg or (GgParams(*fits.gg.theta) if fits.gg else GgParams(1.0, 1.0, 1.0))
+        valued = predicted.cltv(summary, purchase, value, horizons or int(periods), discount, margin, count)
+    columns = [*summary.columns, *names, F.lit(fits.reason).cast("string").alias("reason")]
+    valued = pin(valued.select(*columns, *(["horizon"] if several else [])))
+    if several:
+        return segment(valued, "cltv", labels, by="horizon", groups=sorted(set(horizons))), fits
+    return segment(valued, "cltv", labels), fits
 
 
 def predict_cltv(txn: DataFrame, periods: int | Sequence[int], *args, **options) -> DataFrame:

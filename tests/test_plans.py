@@ -61,10 +61,11 @@ def test_profile_is_one_pass(spark):
     assert "Expand" not in text and text.count("ReadSchema") == 1 and text.count("Exchange") == 1
 
 
-def test_exact_profile_reads_each_column_once_without_expansion(spark):
+def test_exact_profile_reads_once_and_shuffles_values_once(spark):
     text = plan(profile(read_table(spark, f"{DATA}/orders.parquet"), exact=True))
-    assert "Expand" not in text
-    assert len(re.findall(r"ReadSchema: struct<\w+:\w+>?", text)) == 6
+    assert "Expand" not in text and text.count("ReadSchema") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(c#\d+, v0", text)) == 1
+    assert "partial_count" in text
 
 
 def test_tiles_are_assigned_where_rows_lie(spark):

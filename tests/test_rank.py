@@ -118,3 +118,53 @@ def test_segment_labels_from_lowest_to_highest(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(8)], "customer_id bigint, value double")
     labels = {row["customer_id"]: row["segment"] for row in segment(df, "value").collect()}
     assert "".join(labels[i] for i in range(8)) == "DDCCBBAA"
+
+
+@pytest.mark.parametrize("limit", [500_000, 20])
+@pytest.mark.parametrize("desc", [False, True])
+def test_text_ids_break_ties_in_their_order(spark, limit, desc):
+    rng = random.Random(4)
+    ids = {"", "a", "a\0", "a\0\0", "abcdefg", "abcdefgh", "abcdefg\0", "é", "zzzzzzz", "\U0001f600"}
+    ids |= {"customer number " + str(i) for i in range(700)}
+    ids |= {"".join(rng.choices("ab", k=rng.randrange(20))) for _ in range(200)}
+    rows = [(i, float(rng.randrange(3))) for i in ids]
+    df = spark.createDataFrame(rows, "id string, value double").repartition(3)
+    found = ntiles(df, "id", {"tile": Tile("value", 5, desc)}, limit)
+    expected = brute_ntile([(i.encode(), v) for i, v in rows], 5, desc)
+    assert {row["id"].encode(): row["tile"] for row in found.collect()} == expected
+
+
+@pytest.mark.parametrize("share", [0.95, 0.7495, 0.2505])
+def test_ends_beside_a_dominant_value_stay_small(spark, monkeypatch, share):
+    """All rows but the dominant ones are distinct; a tile ends just beside the dominant value."""
+    n, limit, seen = 20_000, 200, []
+    hot = int(n * share)
+    values = [5.0] * hot + [5.0 + (i + 1) / n * (-1 if i % 3 else 1) for i in range(n - hot)]
+    random.Random(2).shuffle(values)
+    rows = list(enumerate(values))
+    narrowed = rank._narrowed
+    monkeypatch.setattr(rank, "_narrowed", lambda df, b: seen.append(out := narrowed(df, b)) or out)
+    ends = [1, 500, hot, n - 500, n]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    ordered = sorted(values)
+    found = order_statistics(df, [(F.col("value"), n, ends)], limit)[0]
+    assert {e: found[e].key for e in ends} == {e: ordered[e - 1] for e in ends}
+    assert len(seen) <= 5
+    last = {b.ranks[0]: b for brackets in seen for b in brackets}
+    assert all(b.single or b.rows <= limit for b in last.values())
+    assert spark_ntile(spark, rows, 4, limit=limit) == brute_ntile(rows, 4)
+
+
+def test_groups_have_tiles_of_their_own_in_the_same_passes(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, g, float(rng.randrange(40)) if rng.random() < 0.9 else None) for g in ("a", "b", None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, g string, value double").repartition(3)
+    passes = []
+    statistics = rank.order_statistics
+    monkeypatch.setattr(rank, "order_statistics", lambda *a: passes.append(1) or statistics(*a))
+    found = ntiles(df, "id", {"tile": Tile("value", 7)}, 50, by="g").collect()
+    assert len(passes) == 2  # values, then ids
+    for g in ("a", "b"):
+        got = {r["id"]: r["tile"] for r in found if r["g"] == g}
+        assert got == brute_ntile([(i, v) for i, h, v in rows if h == g], 7)
+    assert {r["tile"] for r in found if r["g"] is None} == {None}
