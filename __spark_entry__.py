@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopworth.functions.models import BgParams, GgParams
 from shopworth.operators import bgnbd, descriptive, gammagamma, predicted, rfm, summary
+from shopworth.operators.maximum import best_penalty
 from shopworth.operators.prepare import cap, drop_returns, order_amounts, prepare, significant
 from shopworth.operators.rank import Tile, ntiles, segment
 from shopworth.plans import clv, predict_cltv
@@ -32,7 +33,9 @@ from shopworth.sources import (
 try:
     import corpus_pipeline
     from shopworth.llm import queries as llm
-except ImportError:  # both can be left out
+except ModuleNotFoundError as missing:  # both can be left out, what they need can't
+    if missing.name not in ("corpus_pipeline", "shopworth.llm"):
+        raise
     corpus_pipeline = llm = None
 
 # Published example parameters, and a date that leaves a period
@@ -335,6 +338,25 @@ def bg_fit(spark, d):
     return _fit_frame(spark, BgParams._fields, bgnbd.bg_fit(bgnbd.bg_stats(_summary(spark, d))))
 
 
+def _penalty_frame(spark, names, trials):
+    best = best_penalty(trials)
+    rows = [
+        (t.penalty, *t.fit.theta, t.fit.at_bound, t.fit.converged, t.fit.value, t.holdout, t.penalty == best)
+        for t in trials
+    ]
+    columns = ", ".join(f"{name} double" for name in names)
+    schema = f"penalty double, {columns}, at_bound boolean, converged boolean, loglik double, holdout double, chosen boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+def bg_penalties(spark, d):
+    return _penalty_frame(spark, BgParams._fields, bgnbd.bg_penalties(_summary(spark, d)))
+
+
+def gg_penalties(spark, d):
+    return _penalty_frame(spark, GgParams._fields, gammagamma.gg_penalties(_summary(spark, d)))
+
+
 def bg_expected(spark, d):
     expected = bgnbd.bg_expected(_summary(spark, d), BG, HORIZONS)
     return expected.select(
@@ -437,6 +459,10 @@ def cltv_fitted(spark, d):
     return predict_cltv(load_orders(spark, d), HORIZON)
 
 
+def cltv_fitted_penalised(spark, d):
+    return predict_cltv(load_orders(spark, d), HORIZON, penalty="holdout")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
     registered = {
@@ -489,6 +515,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bg_slopes": bg_slopes,
         "gg_slopes": gg_slopes,
         "bg_fit": bg_fit,
+        "bg_penalties": bg_penalties,
         "bg_expected": bg_expected,
         "bg_alive": bg_alive,
         "bg_total": bg_total,
@@ -496,6 +523,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gg_check": gg_check,
         "gg_loglik": gg_loglik,
         "gg_fit": gg_fit,
+        "gg_penalties": gg_penalties,
         "gg_expected": gg_expected,
         "gg_expected_first": gg_expected_first,
         "cltv": cltv,
@@ -506,6 +534,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cltv_whole_cutoff": cltv_whole_cutoff,
         "cltv_horizons": cltv_horizons,
         "cltv_fitted": cltv_fitted,
+        "cltv_fitted_penalised": cltv_fitted_penalised,
     }
     return registered | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 

@@ -20,11 +20,13 @@ from shopworth.functions.models import (
     horizon_share,
 )
 from shopworth.functions.special import sigmoid, softplus
-from shopworth.operators.maximum import Evaluation, Maximum, maximise
+from shopworth.operators.maximum import Evaluation, Maximum, Penalty, Trial, maximise
 from shopworth.operators.prepare import money_sum, significant
 from shopworth.sources.pinned import pin
 
 WEEK = 7
+# Weights of the penalty that are tried; 0 is the plain fit.
+PENALTIES = (30.0, 3.0, 0.3, 0.03, 0.003, 0.0)
 BG_BOUNDS = ((1e-4, 1e4), (1e-4, 1e6), (1e-4, 1e4), (1e-4, 1e4))
 
 
@@ -245,9 +247,17 @@ def bg_slopes(stats: DataFrame, params: BgParams, unit: int = WEEK) -> Evaluatio
 
 
 def bg_fit(
-    stats: DataFrame, bounds: Sequence[tuple[float, float]] = BG_BOUNDS, unit: int = WEEK
+    stats: DataFrame,
+    bounds: Sequence[tuple[float, float]] = BG_BOUNDS,
+    unit: int = WEEK,
+    penalty: float = 0.0,
+    start: Sequence[float] | None = None,
 ) -> Maximum:
-    """Fit ``r, alpha, a, b``; every step aggregates all histories once."""
+    """Fit ``r, alpha, a, b``; every step aggregates all histories once.
+
+    ``penalty`` is the weight of normal priors on the logarithms of the parameters,
+    about the usual start: rates of one purchase in a quarter of the mean age.
+    """
     histories = _in_units(stats, unit).persist()
     try:
         repeats = _repeat_counts(histories).persist()
@@ -257,13 +267,40 @@ def bg_fit(
             ).first()[0]
             if scale is None:
                 raise ValueError("no customers to fit")
-            return maximise(_Likelihood(histories, repeats), [1.0, scale / 4, 0.8, 2.0], bounds)
+            centre = [1.0, scale / 4, 0.8, 2.0]
+            likelihood = _Likelihood(histories, repeats)
+            return maximise(likelihood, start or centre, bounds, penalty=Penalty(penalty, centre))
         finally:
             repeats.unpersist()
     finally:
         histories.unpersist()
 
 
+def bg_penalties(
+    summary: DataFrame,
+    weights: Sequence[float] = PENALTIES,
+    id: str = "customer_id",
+    bounds: Sequence[tuple[float, float]] = BG_BOUNDS,
+    unit: int = WEEK,
+) -> list[Trial]:
+    """For each weight, a fit on half of the customers and the likelihood of the other half.
+
+    Customers are halved by a hash of their id and only counted by history, so a trial
+    costs what a fit does. Each fit starts where the one before ended. Weight 0 is
+    the plain fit.
+    """
+    half = F.abs(F.hash(F.lit("half"), F.col(id))) % 2
+    keys = ["x", "tx_days", "age_days"]
+    halves = pin(summary.groupBy(half.alias("half"), *keys).agg(F.count("*").alias("customers")))
+    taught, held = (halves.where(F.col("half") == i).drop("half") for i in (0, 1))
+    trials, start = [], None
+    for weight in sorted(weights, reverse=True):
+        fit = bg_fit(taught, bounds, unit, weight, start if weight else None)
+        start = fit.theta
+        trials.append(Trial(weight, fit, bg_loglik(held, BgParams(*fit.theta), unit).first()["loglik"]))
+    return trials
+
+
 def bg_alive(summary: DataFrame, params: BgParams) -> DataFrame:
     """Add the probability that the customer is still buying."""
     return summary.withColumn(

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from shopworth.functions.models import GgParams, mean_value, value_loglik
 from shopworth.functions.special import digamma, log_gamma, trigamma
-from shopworth.operators.maximum import Evaluation, Maximum, maximise
+from shopworth.operators.bgnbd import PENALTIES
+from shopworth.operators.maximum import Evaluation, Maximum, Penalty, Trial, maximise
 
 GG_BOUNDS = ((1e-3, 1e4), (1e-3, 1e4))
+# Centre of the priors for values divided by their mean: p v / (q - 1) = 1.
+GG_CENTRE = (2.0, 3.0, 1.0)
 
 
 def _repeat(summary: DataFrame, count: str) -> DataFrame:
@@ -128,12 +131,18 @@ def gg_slopes(summary: DataFrame, params: GgParams, count: str = "x") -> Evaluat
 
 
 def gg_fit(
-    summary: DataFrame, bounds: Sequence[tuple[float, float]] = GG_BOUNDS, count: str = "x"
+    summary: DataFrame,
+    bounds: Sequence[tuple[float, float]] = GG_BOUNDS,
+    count: str = "x",
+    penalty: float = 0.0,
+    start: Sequence[float] | None = None,
 ) -> Maximum:
     """Fit ``p, q, v``; every step aggregates all customers with repeat purchases.
 
     ``bounds`` are those of ``p`` and ``q``. Values are divided by their mean, so
-    that ``v`` fits in range whatever the currency, and ``v`` is scaled back.
+    that ``v`` fits in range whatever the currency, and ``v`` is scaled back. ``penalty``
+    is the weight of normal priors on the logarithms of the parameters, about values
+    whose mean is that of the data.
     """
     repeat = _repeat(summary, count).select(F.col(count).alias("x"), "m")
     scale = repeat.agg(F.avg("m")).first()[0]
@@ -145,7 +154,9 @@ def gg_fit(
         try:
             likelihood = _Likelihood(values, counts)
             top = bounds[0][1] * bounds[1][1]
-            found = maximise(likelihood, [1.0, 2.0, 1.0], [*bounds, (1 / top, top)])
+            begin = [1.0, 2.0, 1.0] if start is None else [start[0], start[1], start[2] / scale]
+            prior = Penalty(penalty, GG_CENTRE)
+            found = maximise(likelihood, begin, [*bounds, (1 / top, top)], penalty=prior)
         finally:
             counts.unpersist()
     finally:
@@ -156,6 +167,24 @@ def gg_fit(
     return found._replace(theta=[p, q, v * scale], value=value)
 
 
+def gg_penalties(
+    summary: DataFrame,
+    weights: Sequence[float] = PENALTIES,
+    id: str = "customer_id",
+    bounds: Sequence[tuple[float, float]] = GG_BOUNDS,
+    count: str = "x",
+) -> list[Trial]:
+    """For each weight, a fit on half of the customers and the likelihood of the other half."""
+    half = F.abs(F.hash(F.lit("half"), F.col(id))) % 2
+    taught, held = (summary.where(half == i) for i in (0, 1))
+    trials, start = [], None
+    for weight in sorted(weights, reverse=True):
+        fit = gg_fit(taught, bounds, count, weight, start if weight else None)
+        start = fit.theta
+        trials.append(Trial(weight, fit, gg_loglik(held, GgParams(*fit.theta), count).first()["loglik"]))
+    return trials
+
+
 def gg_expected(summary: DataFrame, params: GgParams, count: str = "x") -> DataFrame:
     """Add the expected mean value of a customer's purchases."""
     return summary.withColumn(

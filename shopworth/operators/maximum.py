@@ -24,12 +24,30 @@ class Evaluation(NamedTuple):
     hessian: np.ndarray
 
 
+class Penalty(NamedTuple):
+    """A normal prior on the logarithm of each parameter: its precision, and the priors' centres."""
+
+    weight: float
+    centre: Sequence[float]
+
+
 class Maximum(NamedTuple):
+    """Where the (penalised) likelihood is greatest; ``value`` is the likelihood without penalty."""
+
     theta: list[float]
     value: float
     n_iter: int
     converged: bool
     at_bound: bool
+    penalty: float = 0.0
+
+
+class Trial(NamedTuple):
+    """A fit on the customers of one half, and the other half's log-likelihood under it."""
+
+    penalty: float
+    fit: Maximum
+    holdout: float
 
 
 def _move(
@@ -66,20 +84,26 @@ def maximise(
     start: Sequence[float],
     bounds: Sequence[tuple[float, float]],
     max_iter: int = 60,
+    penalty: Penalty | None = None,
 ) -> Maximum:
     """Damped Newton steps on the logarithms of positive, bounded parameters.
 
     A parameter pressed against its bound is held there and reported as
-    ``at_bound``: on data without drop-out the likelihood has no inner maximum.
+    ``at_bound``: on data without drop-out the likelihood has no inner maximum. With a
+    ``penalty`` there always is one, as it grows with the square of the logarithms.
     """
     low, high = np.log(np.array(bounds, dtype=float)).T
+    weight = penalty.weight if penalty else 0.0
+    centre = np.log(np.array(penalty.centre if penalty else start, dtype=float))
 
     def at(log_theta: np.ndarray) -> Evaluation:
         theta = np.exp(log_theta)
         value, gradient, hessian = evaluate([float(t) for t in theta])
         slope = theta * gradient
         curve = theta[:, None] * hessian * theta + np.diag(slope)
-        return Evaluation(value, slope, curve)
+        away = log_theta - centre
+        curve = curve - weight * np.eye(len(theta))
+        return Evaluation(value - weight / 2 * float(away @ away), slope - weight * away, curve)
 
     point = np.clip(np.log(np.array(start, dtype=float)), low, high)
     current = at(point)
@@ -101,4 +125,12 @@ def maximise(
             if damping > 1e8:
                 break
     at_bound = bool(np.any((point - low < BOUND_SLACK) | (high - point < BOUND_SLACK)))
-    return Maximum([float(t) for t in np.exp(point)], current.value, n_iter, converged, at_bound)
+    away = point - centre
+    value = current.value + weight / 2 * float(away @ away)
+    return Maximum([float(t) for t in np.exp(point)], value, n_iter, converged, at_bound, weight)
+
+
+def best_penalty(trials: Sequence[Trial]) -> float:
+    """The weight of an inner maximum under which customers left out are likeliest, of equal ones the least."""
+    inner = [t for t in trials if t.penalty > 0 and not t.fit.at_bound] or trials
+    return max(inner, key=lambda t: (t.holdout, -t.penalty)).penalty

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shopworth.functions.models import BgParams, GgParams
 from shopworth.operators import predicted
-from shopworth.operators.bgnbd import WEEK, bg_fit, bg_stats, bg_summary, occasions
+from shopworth.operators.bgnbd import WEEK, bg_fit, bg_penalties, bg_stats, bg_summary, occasions
 from shopworth.operators.descriptive import (
     customer_base,
     population,
@@ -25,8 +25,8 @@ from shopworth.operators.descriptive import (
     with_margin,
     with_value,
 )
-from shopworth.operators.gammagamma import gg_fit
-from shopworth.operators.maximum import Maximum
+from shopworth.operators.gammagamma import gg_fit, gg_penalties
+from shopworth.operators.maximum import Maximum, best_penalty
 from shopworth.operators.rank import segment
 from shopworth.operators.rfm import DEFAULT_RULES, rfm_metrics, rfm_scores, rfm_segments
 from shopworth.sources.pinned import pin
@@ -94,8 +94,13 @@ def fit_cltv(
     gg: GgParams | None = None,
     unit: int = WEEK,
     count: str = "x",
+    penalty: float | str = 0.0,
 ) -> Fits:
-    """Fit the models whose parameters are not given; warn of fits not to be relied on."""
+    """Fit the models whose parameters are not given; warn of fits not to be relied on.
+
+    ``penalty`` is the weight of the priors, or ``"holdout"`` for the weight, one for each
+    model, under which half of the customers are likeliest when the others are fitted.
+    """
     repeats = summary.agg(
         F.count("*").alias("all"), F.count_if(F.col("x") > 0).alias("x"), F.count_if(F.col("m") > 0).alias("m")
     ).first()
@@ -103,11 +108,14 @@ def fit_cltv(
         return Fits(None, None, "no customers")
     if (bg is None and not repeats["x"]) or (gg is None and not repeats["m"]):
         return Fits(None, None, "no repeat purchases to fit")
-    fits = Fits(
-        None if bg is not None else bg_fit(bg_stats(summary), unit=unit),
-        None if gg is not None else gg_fit(summary, count=count),
-        None,
-    )
+    chosen = penalty == "holdout"
+    fits = Fits(None, None, None)
+    if bg is None:
+        weight = best_penalty(bg_penalties(summary, unit=unit)) if chosen else float(penalty)
+        fits = fits._replace(bg=bg_fit(bg_stats(summary), unit=unit, penalty=weight))
+    if gg is None:
+        weight = best_penalty(gg_penalties(summary, count=count)) if chosen else float(penalty)
+        fits = fits._replace(gg=gg_fit(summary, count=count, penalty=weight))
     for name, fit in (("purchase", fits.bg), ("value", fits.gg)):
         if fit is not None and not fit.converged:
             warnings.warn(f"the {name} model's fit did not converge", stacklevel=2)
@@ -128,17 +136,18 @@ def fitted_cltv(
     labels: Sequence[str] = LABELS,
     unit: int = WEEK,
     include_first: bool = False,
+    penalty: float | str = 0.0,
 ) -> tuple[DataFrame, Fits]:
     """Predicted lifetime value and segment of every customer, and the fits behind it.
 
     Models whose parameters are not given are fitted to the same purchases, once
     for all horizons. With several ``periods`` there is one row per customer and
     ``horizon``, with segments of their own. Where no prediction is possible the
-    values are NULL and ``reason`` says why.
+    values are NULL and ``reason`` says why. ``penalty`` as in :func:`fit_cltv`.
     """
     summary = bg_summary(occasions(txn), cutoff, unit, include_first)
     count = "m_count" if include_first else "x"
-    fits = fit_cltv(summary, bg, gg, unit, count)
+    fits = fit_cltv(summary, bg, gg, unit, count, penalty)
     several = not isinstance(periods, Integral)
     horizons = [int(h) for h in periods] if several else None
     names = ("expected_purchases", "expected_average_profit", "cltv")

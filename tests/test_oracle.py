@@ -41,7 +41,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_only_fits_lack_sql():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"bg_fit", "gg_fit", "cltv_fitted"}
+    assert set(QUERIES) - set(SQL) == {"bg_fit", "gg_fit", "cltv_fitted", "bg_penalties", "gg_penalties", "cltv_fitted_penalised"}
 
 
 def test_fits_report_the_bound(spark):
@@ -61,3 +61,15 @@ def test_entry(spark):
     df = registered.entry(spark)
     assert df.count() == 116
     assert df.filter("clv IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("name", ["bg_penalties", "gg_penalties"])
+def test_penalised_fits_have_an_inner_maximum(spark, name):
+    """Where the plain fit lies on a bound; and customers left out are no less likely."""
+    rows = {row["penalty"]: row for row in QUERIES[name](spark, DATA).collect()}
+    (chosen,) = [row for row in rows.values() if row["chosen"]]
+    assert rows[0.0]["at_bound"] and chosen["penalty"] > 0
+    assert all(row["converged"] for row in rows.values())
+    assert not any(row["at_bound"] for weight, row in rows.items() if weight >= 0.03 or weight == chosen["penalty"])
+    assert chosen["holdout"] >= rows[0.0]["holdout"] - 0.5
+    assert max(row["loglik"] for row in rows.values()) == rows[0.0]["loglik"]

@@ -15,7 +15,7 @@ from shopworth.operators.summary import profile
 from shopworth.sources import load_orders, pin, read_table
 
 DATA = "/root/testdata/sf0.001"
-FITS = {"bg_fit", "gg_fit", "cltv_fitted"}
+FITS = {"bg_fit", "gg_fit", "cltv_fitted", "bg_penalties", "gg_penalties", "cltv_fitted_penalised"}
 
 
 def plan(df):
