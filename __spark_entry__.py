@@ -33,8 +33,8 @@ from shopworth.sources import (
 try:
     import corpus_pipeline
     from shopworth.llm import queries as llm
-except ModuleNotFoundError as missing:  # both can be left out, what they need can't
-    if missing.name not in ("corpus_pipeline", "shopworth.llm"):
+except ImportError as missing:  # both can be left out, what they need can't
+    if missing.name not in ("corpus_pipeline", "shopworth.llm", "shopworth.llm.queries"):
         raise
     corpus_pipeline = llm = None
 
