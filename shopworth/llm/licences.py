@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from functools import cache
 from importlib.resources import files
 
@@ -13,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopworth.llm.common import col, map_arrow
+from shopworth.llm.common import col, map_arrow, map_batches
+from shopworth.sources import pin
 
 # The wording by which licences are named, or their opening words.
 TEMPLATES = {
@@ -53,11 +55,16 @@ TEMPLATES = {
 }
 #: Passages that hold none of these are no header and are not weighed.
 HINT = r"(?i)licen[cs]|copyright|spdx|permission is hereby|free software|redistribution and use|creative commons"
-#: Stands for a null path.
+#: Begins the keys of rows without a path; a digest of their text follows.
 _NOWHERE = "\0"
+#: Characters searched for words at a time.
+_SLICE = 1 << 20
+#: A directory with more than one in so many rows is joined by broadcast; there are fewer than that.
+_HOT = 1000
 _TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 _STRETCH = re.compile(r"\n+|(?<=[.!?])[ \t\n\x0b\f\r]+")
 _WORD, _HINT = re.compile(_TOKEN), re.compile(HINT)
+_JOINED = re.compile(r"[a-z0-9.-]{2}")
 
 
 def _tokens(text: str) -> list[str]:
@@ -77,14 +84,37 @@ def vocabulary() -> list[str]:
     return sorted({t for text in texts for t in _tokens(text)})
 
 
+def _distinct_words(text: str, known: set[str]) -> set[str]:
+    """Those of ``known`` that the whole text holds, searched in slices that end between words."""
+    text, start, found = text.lower(), 0, set()
+    while start < len(text):
+        stop = start + _SLICE
+        while stop < len(text) and _JOINED.match(text, stop - 1):
+            stop += 1
+        found.update(known.intersection(_WORD.findall(text, start, stop)))
+        start = stop
+    return found
+
+
 def document_frequency(df: DataFrame, text: str = "text") -> tuple[int, dict[str, int]]:
     """How many of all texts hold each word of the templates, and how many texts there are.
 
-    Both are counted over whole texts; the result has a row per template word.
+    Both are counted over whole texts, within each task first; the result has a row per
+    template word.
     """
-    known = F.array(*map(F.lit, vocabulary()))
-    words = F.array_intersect(F.split(F.lower(col(text)), r"[^a-z0-9.-]+|[.-]+(?![a-z0-9])"), known)
-    rows = df.select(F.explode(F.concat(words, F.array(F.lit("")))).alias("word")).groupBy("word").count().collect()
+    known = set(vocabulary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Counter()
+        for batch in batches:
+            held[""] += batch.num_rows
+            for value in batch.column(0):
+                held.update(_distinct_words(value.as_py() or "", known))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
+        )
+
+    rows = map_batches(df.select(col(text)), run, "word string, n long").groupBy("word").agg(F.sum("n")).collect()
     counts = {r[0]: r[1] for r in rows}
     return counts.pop("", 0), counts
 
@@ -219,28 +249,42 @@ def scan(
     name is LICENSE, LICENCE or COPYING, is a licence file of its directory; of several the
     one most alike counts, ties by name. Texts without a licence of their own inherit that
     of the nearest directory above; ``cosine`` is then null. Without one both are
-    null. Rows of one path are one file and share their results; a null path has
-    no directory; null and empty texts hold no header. Columns called like a result
-    are dropped.
+    null. Rows of one path are one file and share their results; a null path is no path, so
+    such a row has a licence only by its own text and no directory. Null and empty texts hold
+    no header. Columns called like a result are dropped; all others are kept.
+
+    Headers are looked for once and written. A directory with more than a thousandth of the rows
+    is joined by broadcast, so no task gets all rows of one.
     """
     results = ["licence", "cosine", "inherited_from"]
-    keep = [c for c in df.columns if c != text and c.lower() not in [*results, "_key", "_text", "_dir"]]
-    key = F.coalesce(col(path), F.lit(_NOWHERE))
+    keep = [c for c in df.columns if c != text and c.lower() not in results]
+    # a text without a path is its own file; the digest spreads such rows
+    key = F.coalesce(col(path), F.concat(F.lit(_NOWHERE), F.sha2(F.coalesce(col(text), F.lit("")), 256)))
     named = df.select(key.alias("_key"), col(text).alias("_text"))
     total, frequency = document_frequency(named, "_text")
-    own = headers(named, "_text", total, frequency, least, alike)
+    own = pin(headers(named, "_text", total, frequency, least, alike))
     name = F.regexp_extract("_key", r"([^/]*)$", 1)
     is_file = (F.col("_share") >= file_share) | name.rlike(r"(?i)^(licen[sc]e|copying)(\.[a-z]+)?$")
-    found = own.where(is_file & (F.col("_key") != _NOWHERE))
+    found = own.where(is_file & ~F.startswith("_key", F.lit(_NOWHERE)))
     first = F.min(F.struct((-F.col("cosine")).alias("c"), "licence"))
     licensed = found.groupBy(_parent(F.col("_key")).alias("_at")).agg(first["licence"].alias("_licence"))
-    rows = df.select(*map(col, keep), key.alias("_key"), _parent(col(path)).alias("_dir"))
-    directories = rows.where(F.col("_dir").isNotNull()).select("_dir").distinct()
-    above = inherited(directories, licensed)
-    own = own.select(F.col("_key").alias("_of"), "licence", "cosine").hint("merge")
-    out = rows.join(own, F.col("_key") == F.col("_of"), "left").join(above.hint("merge"), "_dir", "left")
+    kept = F.struct(F.lit(0).alias("_none"), *map(col, keep)).alias("_row")  # so that no name can clash
+    rows = df.select(kept, key.alias("_key"), _parent(col(path)).alias("_dir"))
+    directories = rows.where(F.col("_dir").isNotNull()).groupBy("_dir").agg(F.count("*").alias("_rows"))
+    directories = pin(directories)
+    above = inherited(directories.select("_dir"), licensed)
+    hot = directories.where(F.col("_rows") > total / _HOT).select("_dir")  # fewer than _HOT
+    own = own.select("_key", "licence", "cosine").hint("merge")
+    out = rows.join(own, "_key", "left")
+    marked = out.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "_dir", "left")
+    spread = F.col("_hot").isNotNull() | F.col("_dir").isNull()
+    of_hot = F.broadcast(above.join(F.broadcast(hot), "_dir", "left_semi"))
+    columns = ["_row", "licence", "cosine", "_licence", "_from"]
+    out = marked.where(spread).join(of_hot, "_dir", "left").select(*columns).unionByName(
+        marked.where(~spread).join(above.hint("merge"), "_dir", "left").select(*columns)
+    )
     return out.select(
-        *map(col, keep),
+        *(F.col("_row").getField(c).alias(c) for c in keep),
         F.coalesce("licence", "_licence").alias("licence"),
         "cosine",
         F.when(F.col("licence").isNull(), F.col("_from")).alias("inherited_from"),
