@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from shopworth.llm.common import col, map_arrow, map_batches
+from shopworth.llm.common import col, map_arrow, map_batches, row_hash
 from shopworth.llm.langid import SLICE, _tables
 
 BUCKETS = 1 << 18
@@ -98,11 +98,14 @@ def fit(
     sample: int = 20_000,
     z: float = 5.0,
     steps: int = 100_000,
+    sample_bytes: int = 32 << 20,
 ) -> SeverityModel:
-    """Learn from at most about ``sample`` labelled documents, half of them toxic if there are so many.
+    """Learn from at most ``sample`` labelled documents, half of them toxic if there are so many.
 
     The labels taken have the least hashes of their ids; being bounded, they are
-    broadcast, so no text moves to be labelled. Features are the buckets that more
+    broadcast, so no text moves to be labelled. An id may have many rows: all choose the
+    features, rows alike in id and text teach the weights once, and Spark cuts each class to its share of ``sample`` and
+    of ``sample_bytes`` of features, by the least hashes of id and text, before the driver gets them. Features are the buckets that more
     toxic documents hold, by ``z`` standard errors. The labels only tell toxic from
     not, so a toxic document's grade comes from how many such features it holds,
     by thirds of the toxic ones. Rows with a null id, label or text teach nothing;
@@ -120,12 +123,12 @@ def fit(
     chosen = named.where(F.shiftrightunsigned(F.xxhash64(F.col("_of").cast("string")), 11) / float(1 << 53) < rate)
     texts = docs.select(col(id).alias("_doc"), col(text).alias("x")).where("x IS NOT NULL")
     rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_of"))
-    rows = rows.select((F.col("_toxic") > 0).alias("t"), "x")
+    rows = rows.select((F.col("_toxic") > 0).alias("t"), "x", row_hash("_doc", "x").alias("h"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = np.zeros((2, BUCKETS + 1), np.int64), np.arange(BUCKETS + 1)
         for batch in batches:
-            for t, x in zip(*batch.columns, strict=True):
+            for t, x in zip(*batch.columns[:2], strict=True):
                 seen = np.unique(np.concatenate(list(buckets(x.as_py()))))
                 held[int(t.as_py()), seen] += 1
                 held[int(t.as_py()), BUCKETS] += 1  # documents
@@ -158,9 +161,14 @@ def fit(
             pa.array([a.astype(np.int32).tobytes() for a in at], pa.binary()),
             pa.array([f[a].tobytes() for f, a in zip(found, at, strict=True)], pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["t", "at", "n"])
-
-    found = map_arrow(rows, count, "t boolean, at binary, n binary").toArrow()
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["t", "h", "at", "n"])
+
+    counted = map_arrow(rows, count, "t boolean, h long, at binary, n binary").dropDuplicates(["h", "t"])
+    by_hash = Window.partitionBy("t").orderBy("h")
+    size = F.sum(F.length("at") + F.length("n")).over(by_hash)
+    counted = counted.select("t", "at", "n", F.row_number().over(by_hash).alias("place"), size.alias("size"))
+    fits = F.col("place") <= F.when(F.col("t"), want).otherwise(sample - want)
+    found = counted.where(fits & (F.col("size") <= sample_bytes // 2)).select("t", "at", "n").toArrow()
     x = sorted(zip(*(c.to_pylist() for c in found.columns), strict=True))
     return _train(model, x, steps)
 

@@ -1,0 +1,176 @@
+"""Rejection of unknown text, rows without a path, hot ids, and scores held against plain versions."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from shopworth.llm import langid, licences, toxicity
+
+DATA, SMALL = "/root/testdata/sf0.1", "/root/testdata/sf0.01"
+
+# Sentences of languages that no test table holds.
+FOREIGN = {
+    "nl": "De kinderen gingen vroeg naar school omdat er een bijzondere les over het weer werd gegeven door hun leraar.",
+    "pl": "Wczesnym rankiem dzieci poszły do szkoły, ponieważ nauczyciel przygotował dla nich ciekawą lekcję o pogodzie.",
+    "ru": "Рано утром дети пошли в школу, потому что учитель подготовил для них интересный урок о погоде и климате.",
+    "tr": "Çocuklar sabah erkenden okula gittiler çünkü öğretmen onlara hava hakkında özel bir ders hazırlamıştı.",
+    "fi": "Lapset lähtivät aikaisin kouluun, koska opettaja oli valmistanut heille mielenkiintoisen oppitunnin säästä.",
+    "zh": "孩子们一早就去上学了，因为老师为他们准备了一堂关于天气和气候的有趣课程，大家都非常高兴。",
+}
+
+
+def _shuffled(text, draw):
+    letters = [c for c in text if c.isalpha()]
+    draw.shuffle(letters)
+    letters = iter(letters)
+    return "".join(next(letters) if c.isalpha() else c for c in text)
+
+
+def test_unknown_languages_and_noise_are_rejected(spark, documents):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    held = docs.where(langid.held_out())
+    langs = sorted(r[0] for r in docs.select("lang").distinct().where("lang IS NOT NULL").collect())
+    model = langid.fit(docs.where(~langid.held_out()))
+    known = langid.predict(held, model, keep=["lang"]).where("lang_pred = lang")
+    assert known.where("rejected").count() <= 0.005 * known.count()
+    draw = random.Random(3)
+    texts = [r[0] for r in held.where("length(text) > 200").select("text").limit(300).collect()]
+    noise = documents([(i, _shuffled(t, draw)) for i, t in enumerate(texts)])
+    assert langid.predict(noise, model).where("rejected").count() >= 0.9 * len(texts)
+    foreign = documents(list(enumerate(FOREIGN.values())))
+    assert langid.predict(foreign, model).where("NOT rejected").count() == 0
+    for left in langs:  # each language in turn is the one not learned
+        others = langid.fit(docs.where(~langid.held_out()).where(docs.lang != left), sample=2000)
+        rows = langid.predict(held.where(docs.lang == left).where("length(text) > 200"), others, keep=[])
+        assert rows.where("rejected").count() >= 0.9 * rows.count(), left
+
+
+def test_language_scores_are_those_of_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out()), sample=400)
+    texts = dict(docs.select("doc_id", "text").where("text IS NOT NULL").collect())
+    for r in langid.predict(docs, model, keep=["doc_id"]).limit(150).collect():
+        total = np.zeros(len(model.languages))
+        parts = [b for part in langid.subwords(texts.get(r.doc_id) or "") for b in part.tolist()]
+        if not parts:
+            assert r.lang_pred == "und" and r.rejected
+            continue
+        for b in parts:
+            total += model.table[b]
+        logits = (total / len(parts) + model.bias) / model.temperature
+        chances = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        k = int(chances.argmax())
+        mean = sum(float(model.usual[k, b]) for b in parts) / len(parts)
+        usual = (mean - model.level[k]) * math.sqrt(min(len(parts), 400)) / model.spread[k]
+        assert r.lang_pred == model.languages[k] and math.isclose(r.score, chances[k], rel_tol=1e-9)
+        assert r.rejected == (chances[k] < model.threshold or usual < model.least)
+
+
+def test_toxicity_of_documents_not_learned_from(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic for r in labels.where("toxic IS NOT NULL").collect()}
+    model = toxicity.fit(docs, labels.where(~langid.held_out()))
+    held = {r.doc_id: r for r in toxicity.predict(docs.where(langid.held_out()), model, keep=["doc_id"]).collect()}
+    toxic = [r.toxic for i, r in held.items() if truth.get(i) == 1]
+    clean = [r.toxic for i, r in held.items() if truth.get(i) == 0]
+    assert len(toxic) >= 10 and np.mean(toxic) > 0.8 and np.mean(clean) < 0.005
+
+
+def test_severity_is_that_of_a_plain_version(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in toxicity.predict(docs, model, keep=["doc_id"]).collect()[:300]:
+        held = Counter(model.place[b] for part in toxicity.buckets(texts[r.doc_id] or "") for b in part.tolist())
+        held.pop(-1, None)
+        at = sum(math.log1p(n) * model.weights[i] for i, n in held.items())
+        over = [1 / (1 + math.exp(t - at)) if held else 0.0 for t in model.thresholds]
+        chances = [a - b for a, b in zip([1.0, *over], [*over, 0.0], strict=True)]
+        assert math.isclose(r.expected_severity, sum(over), abs_tol=1e-9)
+        assert math.isclose(chances[r.severity], max(chances), abs_tol=1e-9) and r.toxic == (r.severity > 0)
+
+
+def test_toxic_rows_of_one_id_are_bounded(spark, documents, monkeypatch):
+    rows = [(7, f"nasty vile words here {i}") for i in range(600)] + [(i, f"plain words here {i}") for i in range(100, 400)]
+    labels = spark.createDataFrame([(7, 1), *((i, 0) for i in range(100, 400))], "doc_id long, toxic int")
+    taken, arrow = [], type(documents([])).toArrow
+    monkeypatch.setattr(type(documents([])), "toArrow", lambda df: taken.append(arrow(df)) or taken[-1])
+    model = toxicity.fit(documents(rows), labels, sample=40)
+    assert taken[-1].num_rows <= 40 and len(model.weights)
+    toxicity.fit(documents(rows), labels, sample=40, sample_bytes=400)
+    assert taken[-1].nbytes <= 800
+
+
+def test_rows_without_a_path_are_files_of_their_own(spark):
+    mit, nc = "Released under the MIT License.", "Licensed under CC BY-NC 4.0."
+    rows = [
+        (None, mit, 1, 0), (None, "no word of it", 2, 0), (None, nc, 3, 0), (None, nc, 4, 0), (None, None, 5, 0),
+        ("a/LICENSE", mit, 6, 0), ("a/b/c.py", "code", 7, 0), ("x.py", "code", 8, 0), ("a/b/long.py", "word " * 300_000, 9, 0),
+    ]
+    df = spark.createDataFrame(rows, "path string, text string, n int, _key int").withColumnRenamed("n", "_dir")
+    found = licences.scan(df)
+    assert found.columns[:3] == ["path", "_dir", "_key"]
+    own = {r["_dir"]: (r.licence, r.inherited_from) for r in found.collect()}
+    assert own == {
+        1: ("MIT", None), 2: (None, None), 3: ("CC-BY-NC-4.0", None), 4: ("CC-BY-NC-4.0", None), 5: (None, None),
+        6: ("MIT", None), 7: ("MIT", "a"), 8: (None, None), 9: ("MIT", "a"),
+    }
+
+
+def test_hot_and_cold_directories_give_the_same(spark, monkeypatch):
+    rows = [(f"d{i % 7}/s{i % 3}/f{i}.txt", "plain words") for i in range(300)]
+    rows += [(f"d{i}/LICENSE", "Released under the MIT License.") for i in (1, 4)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    found = []
+    for hot in (1, 20, 10_000):  # no directory, some, all
+        monkeypatch.setattr(licences, "_HOT", hot)
+        found.append(sorted(map(tuple, licences.scan(df).collect()), key=str))
+    assert found[0] == found[1] == found[2]
+    inherited = {r[0] for r in found[0] if r[3] is not None}
+    assert inherited == {p for p, _ in rows if p.startswith(("d1/s", "d4/s"))}
+
+
+def test_words_are_counted_over_whole_texts_in_slices(documents, monkeypatch):
+    texts = ["the mit-license of mpl v2.0, LICENSED " * 40, None, "", "x" * 200 + " license", "copy.license"]
+    known = set(licences.vocabulary())
+    expected = Counter(w for t in texts for w in known & set(licences._tokens(t or "")))
+    for size in (3, 17, 1 << 20):
+        monkeypatch.setattr(licences, "_SLICE", size)
+        found = Counter()
+        for t in texts:
+            found.update(licences._distinct_words(t or "", known))
+        assert found == expected
+    assert licences.document_frequency(documents(list(enumerate(texts)))) == (len(texts), dict(expected))
+
+
+@pytest.mark.parametrize("total", [0, 1000])
+def test_cosine_of_a_line_is_that_of_a_plain_version(total):
+    frequency = {"license": total // 2, "the": total, "version": total // 10}
+    matcher = licences.Matcher(total, frequency, 0.6, 0.95)
+    weight = {w: math.log((1 + total) / (1 + frequency.get(w, 0))) + 1 for w in licences.vocabulary()}
+    other = math.log1p(total) + 1
+
+    def vector(text):
+        return {w: n * weight.get(w, other) for w, n in Counter(licences._tokens(text)).items()}
+
+    def cosine(a, b):
+        size = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / size
+
+    headers = [t for texts in licences.TEMPLATES.values() for t in texts]
+    for text in ("Licensed under the Apache License, Version 2.0.", "All files are licensed under the MIT License here",
+                 "Redistribution and use in source or binary form, with no modification, are permitted if conditions are met"):
+        words = licences._tokens(text)
+        runs = [" ".join(words[i : i + n]) for n in {len(licences._tokens(t)) for t in headers} for i in range(len(words) - n + 1)]
+        runs = [text, *(r for r in runs if licences._HINT.search(r))]
+        best = max(cosine(vector(run), vector(t)) for run in runs for t in headers)
+        assert best >= 0.6 and math.isclose(matcher.find(text)[1], best, abs_tol=1e-6)
+
+
+def test_held_out_ids_follow_the_rule(documents):
+    rows = documents([(i, "x") for i in range(50)]).select("doc_id", langid.held_out().alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
