@@ -21,7 +21,7 @@ from shopworth.functions.models import (
 )
 from shopworth.functions.special import sigmoid, softplus
 from shopworth.operators.maximum import Evaluation, Maximum, Penalty, Trial, maximise
-from shopworth.operators.prepare import money_sum, significant
+from shopworth.operators.prepare import exact_sum, money_sum, significant
 from shopworth.sources.pinned import pin
 
 WEEK = 7
@@ -57,7 +57,7 @@ def bg_summary(
         F.count("*").alias("purchases"),
         F.min("order_date").alias("first_day"),
         F.max("order_date").alias("last_day"),
-        F.sum("amount").alias("total"),
+        exact_sum(F.col("amount")).alias("total"),
         F.min_by("amount", "order_date").alias("first_amount"),
     )
     history = pin(history)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from shopworth.operators.prepare import money_sum, significant
+from shopworth.operators.prepare import exact_sum, money_sum, significant
 
 
 
@@ -94,13 +94,13 @@ def top_k(df: DataFrame, key: str, k: int, amount: Column | str = "amount") -> D
 def summarise(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     """Per group: customers, share of all, and sum, mean, least and greatest of ``columns``.
 
-    Values are added as they are; sums are then rounded to significant digits, so
+    Values are added exactly and sums then rounded to significant digits, so
     that sums and means do not depend on the order of partial sums. NaN makes a sum
     NaN. The share divides by the sum of the few group counts.
     """
     measures = [F.count("*").alias("customers")]
     for name in columns:
-        measures.append(F.sum(F.col(name).cast("double")).alias(f"_{name}_sum"))
+        measures.append(exact_sum(F.col(name)).alias(f"_{name}_sum"))
         measures.append(F.count(name).alias(f"_{name}_n"))
         measures.append(F.min(name).alias(f"{name}_min"))
         measures.append(F.max(name).alias(f"{name}_max"))
