@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
@@ -20,10 +21,13 @@ from shopworth.sources import pin
 #: Symbols in a chunk of the signature, and bits in a symbol.
 WIDTH = 6
 BITS = 16
+#: Further symbols of a signature, of eight bits, which make no keys: a pair that shares a key is compared over all.
+CHECKED = 96
 #: Chance to miss a pair whose similarity is just the threshold; more similar pairs are missed far less.
 MISSED = 1e-4
-#: Shingles that are compared in one task at a time, about.
+#: Shingles and rows that are compared in one task at a time, about.
 BLOCK = 4_000_000
+ROWS = 16_384
 
 #: Polynomial over the bytes of a word; odd, so that it has an inverse.
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -40,6 +44,20 @@ def chunks_for(similarity: float) -> int:
     return math.ceil(math.log(MISSED) / math.log1p(-chunk)) if chunk < 1 else 1
 
 
+def distance_for(similarity: float, symbols: int) -> int:
+    """Symbols in which a pair at the threshold differs at most, but for a tenth of ``MISSED``."""
+    if similarity >= 1:
+        return 0
+    up, down = math.log(1 - similarity), math.log(similarity)
+    choose = [math.lgamma(symbols + 1) - math.lgamma(k + 1) - math.lgamma(symbols - k + 1) for k in range(symbols + 1)]
+    beyond = 0.0
+    for k in range(symbols, 0, -1):
+        beyond += math.exp(choose[k] + k * up + (symbols - k) * down)
+        if beyond > MISSED / 10:
+            return k
+    return 0
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.ones(n, np.uint64), np.ones(n, np.uint64)
     if n > 1:
@@ -97,7 +115,7 @@ class Sketcher:
 
     def __init__(self, words: int, chunks: int):
         draw = np.random.default_rng(20240229)
-        k = chunks * WIDTH
+        k = chunks * WIDTH + CHECKED
         self.words, self.chunks = words, chunks
         self.flip = draw.integers(0, 1 << 63, (k, 1), np.uint64)
         self.times = draw.integers(0, 1 << 63, (k, 1), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,7 +123,7 @@ class Sketcher:
         self.salts = draw.integers(0, 1 << 63, (chunks, WIDTH), np.uint64)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
-        """``BITS`` bits of the least shingle under each of the permutations."""
+        """``BITS`` bits of the least shingle under each of the permutations, first those that make keys."""
         least = None
         for i in range(0, len(shingles), 4096):
             part = (((shingles[None, i : i + 4096] ^ self.flip) * self.times)).min(axis=1)
@@ -119,9 +137,14 @@ class Sketcher:
         pigeonhole principle, signatures that differ in fewer than twice as many
         symbols as there are chunks share a key.
         """
-        terms = signature.reshape(self.chunks, WIDTH) * self.weights
+        terms = signature[: self.chunks * WIDTH].reshape(self.chunks, WIDTH) * self.weights
         return mix(terms.sum(axis=1, keepdims=True) - terms + self.salts).ravel()
 
+    @staticmethod
+    def brief(signature: np.ndarray) -> bytes:
+        """Eight bits of every symbol, to compare signatures by."""
+        return signature.astype(np.uint8).tobytes()
+
 
 def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int) -> DataFrame:
     schema = StructType(
@@ -132,13 +155,14 @@ def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int
             StructField("_sequence", BinaryType(), True),
             StructField("_n", LongType(), False),
             StructField("_keys", ArrayType(LongType(), False), False),
+            StructField("_brief", BinaryType(), True),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher, packer = Sketcher(words, chunks), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            packed, sequences, sizes, keys = [], [], [], []
+            packed, sequences, sizes, keys, briefs = [], [], [], [], []
             for value in batch.column(len(keep) + 1):
                 value = value.as_py()
                 packed.append(None if value is None else packer.compress(value.encode()))
@@ -146,14 +170,16 @@ def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int
                 shingles = shingle_set(data, words)
                 sizes.append(len(shingles))
                 sequences.append(blake2b(data, digest_size=16).digest() if data else None)
-                if data:
-                    keys.append(sketcher.keys(sketcher.signature(shingles)))
+                signature = sketcher.signature(shingles) if data else None
+                briefs.append(None if signature is None else sketcher.brief(signature))
+                if signature is not None:
+                    keys.append(sketcher.keys(signature))
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
             each = np.array([chunks * WIDTH if s else 0 for s in sizes])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep) + 1)]
                 + [pa.array(packed, pa.binary()), pa.array(sequences, pa.binary())]
-                + [pa.array(sizes, pa.int64()), lists(flat, each, pa.int64())],
+                + [pa.array(sizes, pa.int64()), lists(flat, each, pa.int64()), pa.array(briefs, pa.binary())],
                 names=schema.names,
             )
 
@@ -161,9 +187,139 @@ def _sketched(df: DataFrame, keep: list[str], text: str, words: int, chunks: int
     return map_batches(numbered, run, schema)
 
 
-def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+class _Rows(NamedTuple):
+    """Key rows in the order of their buckets: bucket, part of it, id, set size, signature."""
+
+    bucket: np.ndarray
+    own: np.ndarray
+    uid: np.ndarray
+    n: np.ndarray
+    brief: np.ndarray
+
+    def part(self, start: int, stop: int | None) -> _Rows:
+        return _Rows(*(x[start:stop] for x in self))
+
+
+def _close(rows: _Rows, at: np.ndarray | int, others: np.ndarray, percent: int, distance: int) -> np.ndarray:
+    """Whether rows may be similar, by their sizes and signatures; rows of one part only in a bucket of one."""
+    n, m = rows.n[at], rows.n[others]
+    good = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    good &= (rows.own[at] != rows.own[others]) | (rows.bucket[others, 1] == rows.bucket[others, 2])
+    return good & (np.count_nonzero(rows.brief[at] != rows.brief[others], axis=1) <= distance)
+
+
+def _bucket_edges(rows: _Rows, percent: int, distance: int) -> Iterator[np.ndarray]:
+    """For whole buckets, edges from each row to the first that close signatures lead to."""
+    starts = np.flatnonzero(np.concatenate([[True], (rows.bucket[1:] != rows.bucket[:-1]).any(axis=1)]))
+    sizes = np.diff(np.append(starts, len(rows.uid)))
+    two = starts[sizes == 2]
+    for i in range(0, len(two), ROWS):
+        first = two[i : i + ROWS]
+        first = first[_close(rows, first, first + 1, percent, distance)]
+        yield np.stack([rows.uid[first + 1], rows.uid[first]], axis=1)
+    for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        yield _walked(rows.part(start, start + size), percent, distance)
+
+
+def _walked(rows: _Rows, percent: int, distance: int) -> np.ndarray:
+    """Edges of one bucket: a breadth-first walk, each row compared with those not reached yet.
+
+    Symbols lie in rows and texts in columns, so that comparing is done in long runs. Columns
+    that have been reached go when they are half of all.
+    """
+    apart = bool(rows.bucket[0, 1] != rows.bucket[0, 2])
+    at, columns = np.arange(len(rows.uid)), np.ascontiguousarray(rows.brief.T)
+    count = np.uint8 if len(columns) < 256 else np.uint16
+    unseen, label = np.ones(len(at), bool), np.arange(len(at))
+    for first in range(len(label)):
+        place = int(np.searchsorted(at, first))
+        if place == len(at) or at[place] != first or not unseen[place]:
+            continue
+        unseen[place] = False
+        queue = [first]
+        while queue:
+            if 2 * int(unseen.sum()) <= len(at):
+                at, columns, unseen = at[unseen], np.ascontiguousarray(columns[:, unseen]), unseen[unseen]
+            if not len(at):
+                break
+            one = queue.pop()
+            low = int(np.searchsorted(at, first, "right"))  # all before have been reached
+            for i in range(low, len(at), 4096):
+                part = slice(i, min(i + 4096, len(at)))
+                other = columns[:, part] != rows.brief[one][:, None]
+                near = unseen[part] & (np.add.reduce(other.view(np.uint8), axis=0, dtype=count) <= distance)
+                if not near.any():
+                    continue
+                found = np.flatnonzero(near) + i
+                n, m = rows.n[one], rows.n[at[found]]
+                good = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+                if apart:
+                    good &= rows.own[at[found]] != rows.own[one]
+                found = found[good]
+                unseen[found], label[at[found]] = False, first
+                queue.extend(at[found].tolist())
+    reached = np.flatnonzero(label != np.arange(len(label)))
+    return np.stack([rows.uid[reached], rows.uid[label[reached]]], axis=1)
+
+
+def _compared(keyed: DataFrame, percent: int, distance: int) -> DataFrame:
+    """Edges between classes of one key whose signatures are close.
+
+    ``keyed`` has ``_key, _i, _j, _own, _uid, _n, _brief`` and is dealt and sorted by
+    the first three. A bucket of similar rows costs about one pass and gives an edge per
+    row; one of unlike rows gives none.
+    """
+
+    def read(batch: pa.RecordBatch) -> _Rows:
+        key, i, j, own, uid, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(6))
+        bucket = np.stack([key, i.astype(np.int64), j.astype(np.int64)], axis=1)
+        brief = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        return _Rows(bucket, own, uid, n, brief)
+
+    def found(rows: _Rows) -> pa.RecordBatch:
+        edges = [e for e in _bucket_edges(rows, percent, distance) if len(e)]
+        pairs = np.unique(np.concatenate(edges), axis=0) if edges else np.empty((0, 2), np.int64)
+        return _edges(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = read(batch)
+            if held is not None:
+                rows = _Rows(*(np.concatenate(x) for x in zip(held, rows)))
+            last = np.flatnonzero((rows.bucket != rows.bucket[-1]).any(axis=1))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut:
+                yield found(rows.part(0, cut))
+            held = rows.part(cut, None)
+        if held is not None:
+            yield found(held)
+
+    return map_batches(keyed, run, "a long, b long")
+
+
+def _dealt(df: DataFrame, by: str, blocks: Column, columns: list[str]) -> DataFrame:
+    """Rows in pairs of blocks ``_i <= _j`` of the groups ``by``, and the block ``_own`` of each row.
+
+    Each row is in as many pairs as its group has blocks, so two rows of a group meet
+    in the pair of their blocks and nowhere else.
+    """
+    own = F.pmod(F.xxhash64(F.lit("block"), "_uid"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
+    placed = df.select(by, own.alias("_own"), other.alias("_other"), *columns)
+    placed = placed.select(
+        by, F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", *columns
+    )
+    return placed.repartition(by, "_i", "_j").sortWithinPartitions(by, "_i", "_j", "_uid")
+
+
+def linked(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> np.ndarray:
     """For each set, the index of the first set that similar ones lead to.
 
+    With ``side``, only sets of different sides are compared.
+
     A breadth-first walk: each set is compared with those not reached yet, by
     counting through the lists of the sets that hold each of its shingles. The
     lists are made anew when half of the sets in them have been reached.
@@ -197,6 +353,8 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
             index = np.arange(ends[-1]) + np.repeat(low - (ends - counts), counts)
             shared = np.bincount(owner[index], minlength=n)
             near = (label < 0) & (100 * shared >= percent * (sizes + sizes[at] - shared)) & (shared > 0)
+            if side is not None:
+                near &= side != side[at]
             reached = np.flatnonzero(near)
             label[reached] = first
             queue.extend(reached.tolist())
@@ -206,33 +364,36 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 def _verified(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     """Edges from each text to the first one of its block that confirmed links lead to.
 
-    ``blocks`` has ``_group, _i, _j, _uid, _packed`` and is dealt and sorted by the
-    first three, so that a block's rows follow one another.
+    ``blocks`` has ``_group, _i, _j, _own, _uid, _packed`` and is dealt and sorted by the
+    first three, so that a block's rows follow one another. In a pair of two blocks only
+    rows of different ones are compared.
     """
 
-    def edges(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int]]:
+    def edges(block: list, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int]]:
         unpack = zstandard.ZstdDecompressor()
-        label = linked([shingle_set(_words_of(unpack.decompress(data)), words) for _, data in rows], percent)
+        sets = [shingle_set(_words_of(unpack.decompress(data)), words) for *_, data in rows]
+        side = np.array([own for own, *_ in rows]) if block and block[1] != block[2] else None
+        label = linked(sets, percent, side)
         for i in np.flatnonzero(label != np.arange(len(rows))):
-            yield rows[i][0], rows[label[i]][0]
+            yield rows[i][1], rows[label[i]][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, rows = None, []
         for batch in batches:
             found = []
-            for *key, uid, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for *key, own, uid, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != block:
-                    found += edges(rows)
+                    found += edges(block, rows)
                     block, rows = key, []
-                rows.append((uid, data))
+                rows.append((own, uid, data))
             yield _edges(found)
-        yield _edges(list(edges(rows)))
+        yield _edges(list(edges(block, rows)))
 
     return map_batches(blocks, run, "a long, b long")
 
 
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    pairs = np.array(found, np.int64).reshape(-1, 2)
+def _edges(found: list[tuple[int, int]] | np.ndarray) -> pa.RecordBatch:
+    pairs = np.ascontiguousarray(np.array(found, np.int64).reshape(-1, 2))
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
@@ -250,28 +411,32 @@ def near_duplicates(
     words than ``words`` are one shingle; a null or wordless text links with nothing.
 
     1. Texts of equal words are one class, found by a digest, and stay one node.
-    2. A class's MinHash signature is cut into chunks, and a key is made of each
-       chunk with each of its symbols left out. Classes that share a key may be
-       similar; every pair of signatures that differ in fewer than twice as many
-       symbols as there are chunks shares one. Keys are joined with their least
-       class, which gives one row per class and key, not one per pair.
-    3. The classes so connected form groups. Links are confirmed on full shingle
-       sets within them; large groups are cut into blocks and all pairs of blocks
-       compared, so no task holds a whole group.
+    2. The first symbols of a class's MinHash signature are cut into chunks, and a key
+       is made of each chunk with each of its symbols left out. Every two signatures that
+       differ there in fewer than twice as many symbols as there are chunks share a key.
+    3. Classes that share a key are compared by size and whole signature, and only those
+       within ``distance_for`` are joined, with one edge per class and not one per
+       pair. A key that very many classes share is cut into blocks of about ``ROWS``.
+    4. Only the texts of the groups so connected move. Links are confirmed on full
+       shingle sets; large groups are cut into blocks of about ``BLOCK`` shingles and
+       ``ROWS`` rows, and all pairs of blocks compared, so no task holds a whole group.
 
     Returns the columns ``keep`` (all but the text by default) with ``n_shingles``,
     ``component_id`` (the least id reachable; null if none has one), ``kept`` (the
     id is that) and ``first_copy``, true for just one row per component also where
-    ids repeat. The text may be kept; it moves compressed. Null ids come last. Columns called like a result are dropped.
+    ids repeat. The text may be kept; it moves compressed. Null ids come last. Columns called like a result are dropped,
+    all others stay whatever their names.
     """
     results = ["n_shingles", "component_id", "kept", "first_copy"]
-    names = ["_uid", "_packed", "_sequence", "_n", "_keys", "_id"]
     keep = [c for c in df.columns if c != text] if keep is None else keep
-    order = [c for c in keep if c.lower() not in results + names]
-    keep = [c for c in order if c != text]
+    order = [c for c in keep if c.lower() not in results]
+    # columns travel under plain names, so that no name can clash with one used here
+    named = {f"_keep{i}": c for i, c in enumerate(order) if c != text}
     chunks = chunks_for(percent / 100)
-    rows = df.select(*map(col, [*keep, text]), col(id).alias("_id"))
-    table = pin(_sketched(rows, [*keep, "_id"], text, words, chunks))
+    distance = distance_for(percent / 100, chunks * WIDTH + CHECKED)
+    carried = [col(c).alias(k) for k, c in named.items()]
+    rows = df.select(*carried, col(text).alias("_words"), col(id).alias("_id"))
+    table = pin(_sketched(rows, [*named, "_id"], "_words", words, chunks))
 
     # Tables of documents, classes, keys and links have no bound: the hints keep them
     # from being broadcast while they happen to be small.
@@ -284,23 +449,19 @@ def near_duplicates(
     keyed = table.where("_n > 0").select("_uid", "_keys").join(heads.hint("merge"), "_uid", "left_semi")
     keyed = keyed.select("_uid", F.explode("_keys").alias("_key"))
 
-    # classes that may be similar
-    shared = keyed.groupBy("_key").agg(F.min("_uid").alias("_least"), F.max("_uid").alias("_most"))
-    shared = shared.where("_least < _most").select("_key", "_least")
-    maybe = keyed.join(shared.hint("merge"), "_key").where("_uid <> _least")
-    groups = components(maybe.select(F.col("_uid").alias("a"), F.col("_least").alias("b")))
+    # classes that may be similar: of one key, and with signatures that are close
+    shared = keyed.groupBy("_key").agg(F.count("*").alias("_rows")).where("_rows > 1")
+    maybe = keyed.join(shared.hint("merge"), "_key")
+    maybe = maybe.join(table.select("_uid", "_n", "_brief").hint("merge"), "_uid")
+    maybe = _dealt(maybe, "_key", F.ceil(F.col("_rows") / ROWS), ["_uid", "_n", "_brief"])
+    groups = components(_compared(maybe, percent, distance))
 
     # confirmed links
     of_group = groups.toDF("_uid", "_group").hint("merge").join(table.select("_uid", "_packed", "_n"), "_uid")
     sizes = pin(of_group.select("_group", "_uid", "_packed", "_n"))
-    blocks = sizes.groupBy("_group").agg(F.ceil(F.sum("_n") / BLOCK).cast("int").alias("_blocks"))
-    own = F.pmod(F.xxhash64("_uid"), F.col("_blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    placed = sizes.join(blocks, "_group").select("_group", own.alias("_own"), other.alias("_other"), "_uid", "_packed")
-    placed = placed.select(
-        "_group", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_uid", "_packed"
-    )
-    dealt = placed.repartition("_group", "_i", "_j").sortWithinPartitions("_group", "_i", "_j", "_uid")
+    needed = F.ceil(F.greatest(F.sum("_n") / BLOCK, F.count("*") / ROWS))
+    blocks = sizes.groupBy("_group").agg(needed.alias("_blocks"))
+    dealt = _dealt(sizes.join(blocks, "_group"), "_group", F.col("_blocks"), ["_uid", "_packed"])
     roots = components(_verified(dealt, words, percent)).toDF("_class", "_root")
 
     # back to all rows
@@ -311,14 +472,17 @@ def near_duplicates(
     leads = rooted.groupBy("_root").agg(F.min(first).alias("_lead"))
     found = rooted.join(leads.hint("merge"), "_root").select("_uid", "_lead")
     packed = ["_packed"] if text in order else []
-    out = table.select(*map(col, keep), *packed, "_uid", "_id", "_n").join(found.hint("merge"), "_uid").select(
-        *map(col, keep + packed),
+    out = table.select(*named, *packed, "_uid", "_id", "_n").join(found.hint("merge"), "_uid").select(
+        *named,
+        *packed,
         F.col("_n").alias("n_shingles"),
         F.col("_lead.id").alias("component_id"),
         F.coalesce(F.col("_id") == F.col("_lead.id"), F.lit(False)).alias("kept"),
         (F.col("_uid") == F.col("_lead.uid")).alias("first_copy"),
     )
-    return _unpacked(out, text).select(*map(col, order), *results) if packed else out
+    out = _unpacked(out, "_words") if packed else out
+    inner = {c: k for k, c in named.items()} | {text: "_words"}
+    return out.select(*(F.col(inner[c]).alias(c) for c in order), *results)
 
 
 def _unpacked(df: DataFrame, text: str) -> DataFrame:
