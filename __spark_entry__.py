@@ -45,6 +45,8 @@ GG = GgParams(p=6.25, q=3.74, v=154_400.0)
 CUTOFF = "1996-01-01"
 HOLDOUT_FROM = "2000-01-01"
 HORIZON = 26
+# Penalties of the fits that are certified: none, and one with an inner maximum.
+CERTIFIED = (0.0, 0.03)
 HORIZONS = (4, 13, 26, 52)
 DISCOUNT = 0.002
 
@@ -338,6 +340,32 @@ def bg_fit(spark, d):
     return _fit_frame(spark, BgParams._fields, bgnbd.bg_fit(bgnbd.bg_stats(_summary(spark, d))))
 
 
+def _certificate_frame(spark, fitted):
+    """One row per fit and parameter: what speaks for the fit being a maximum."""
+    rows = [
+        (fit.penalty, *check, found.loglik, found.gain, found.steepest, found.certified)
+        for fit, found in fitted
+        for check in found.checks
+    ]
+    schema = (
+        "penalty double, parameter string, value double, bound string, slope double, curvature double, "
+        "below double, above double, pushed boolean, loglik double, gain double, steepest double, certified boolean"
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+def bg_certificate(spark, d):
+    stats = pin(bgnbd.bg_stats(_summary(spark, d)))
+    fits = [bgnbd.bg_fit(stats, penalty=weight) for weight in CERTIFIED]
+    return _certificate_frame(spark, [(fit, bgnbd.bg_certificate(stats, fit)) for fit in fits])
+
+
+def gg_certificate(spark, d):
+    rows = pin(_summary(spark, d))
+    fits = [gammagamma.gg_fit(rows, penalty=weight) for weight in CERTIFIED]
+    return _certificate_frame(spark, [(fit, gammagamma.gg_certificate(rows, fit)) for fit in fits])
+
+
 def _penalty_frame(spark, names, trials):
     best = best_penalty(trials)
     rows = [
@@ -515,6 +543,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bg_slopes": bg_slopes,
         "gg_slopes": gg_slopes,
         "bg_fit": bg_fit,
+        "bg_certificate": bg_certificate,
         "bg_penalties": bg_penalties,
         "bg_expected": bg_expected,
         "bg_alive": bg_alive,
@@ -523,6 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gg_check": gg_check,
         "gg_loglik": gg_loglik,
         "gg_fit": gg_fit,
+        "gg_certificate": gg_certificate,
         "gg_penalties": gg_penalties,
         "gg_expected": gg_expected,
         "gg_expected_first": gg_expected_first,

@@ -6,7 +6,8 @@ by ``unit`` (days per model time unit) where the model needs it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,7 @@ from shopworth.functions.models import (
     horizon_share,
 )
 from shopworth.functions.special import sigmoid, softplus
-from shopworth.operators.maximum import Evaluation, Maximum, Penalty, Trial, maximise
+from shopworth.operators.maximum import Certificate, Evaluation, Maximum, Penalty, Trial, certify, maximise
 from shopworth.operators.prepare import exact_sum, money_sum, significant
 from shopworth.sources.pinned import pin
 
@@ -258,6 +259,24 @@ def bg_fit(
     ``penalty`` is the weight of normal priors on the logarithms of the parameters,
     about the usual start: rates of one purchase in a quarter of the mean age.
     """
+    with _fitting(stats, unit) as (likelihood, centre):
+        return maximise(likelihood, start or centre, bounds, penalty=Penalty(penalty, centre))
+
+
+def bg_certificate(
+    stats: DataFrame,
+    fit: Maximum,
+    bounds: Sequence[tuple[float, float]] = BG_BOUNDS,
+    unit: int = WEEK,
+) -> Certificate:
+    """Whether ``fit``, with its penalty, is a maximum on ``stats``; nine aggregates over all histories."""
+    with _fitting(stats, unit) as (likelihood, centre):
+        return certify(likelihood, BgParams._fields, fit.theta, bounds, Penalty(fit.penalty, centre))
+
+
+@contextmanager
+def _fitting(stats: DataFrame, unit: int) -> Iterator[tuple[_Likelihood, list[float]]]:
+    """The likelihood over histories that stay on the executors, and the usual start."""
     histories = _in_units(stats, unit).persist()
     try:
         repeats = _repeat_counts(histories).persist()
@@ -267,9 +286,7 @@ def bg_fit(
             ).first()[0]
             if scale is None:
                 raise ValueError("no customers to fit")
-            centre = [1.0, scale / 4, 0.8, 2.0]
-            likelihood = _Likelihood(histories, repeats)
-            return maximise(likelihood, start or centre, bounds, penalty=Penalty(penalty, centre))
+            yield _Likelihood(histories, repeats), [1.0, scale / 4, 0.8, 2.0]
         finally:
             repeats.unpersist()
     finally:

@@ -6,7 +6,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from shopworth.functions.models import GgParams, mean_value, value_loglik
 from shopworth.functions.special import digamma, log_gamma, trigamma
 from shopworth.operators.bgnbd import PENALTIES
-from shopworth.operators.maximum import Evaluation, Maximum, Penalty, Trial, maximise
+from shopworth.operators.maximum import Certificate, Evaluation, Maximum, Penalty, Trial, certify, maximise
 
 GG_BOUNDS = ((1e-3, 1e4), (1e-3, 1e4))
 # Centre of the priors for values divided by their mean: p v / (q - 1) = 1.
@@ -144,6 +145,42 @@ def gg_fit(
     is the weight of normal priors on the logarithms of the parameters, about values
     whose mean is that of the data.
     """
+    with _fitting(summary, count) as (likelihood, scale):
+        begin = [1.0, 2.0, 1.0] if start is None else [start[0], start[1], start[2] / scale]
+        found = maximise(likelihood, begin, _with_v(bounds), penalty=Penalty(penalty, GG_CENTRE))
+    p, q, v = found.theta
+    # The density of a mean changes by the factor 1/scale with the unit of money.
+    value = found.value - likelihood.fixed["n"] * float(np.log(scale))
+    return found._replace(theta=[p, q, v * scale], value=value)
+
+
+def gg_certificate(
+    summary: DataFrame,
+    fit: Maximum,
+    bounds: Sequence[tuple[float, float]] = GG_BOUNDS,
+    count: str = "x",
+) -> Certificate:
+    """Whether ``fit``, with its penalty, is a maximum on ``summary``; seven aggregates over all customers.
+
+    As in the fit, values are divided by their mean, and ``v`` is scaled back.
+    """
+    with _fitting(summary, count) as (likelihood, scale):
+        p, q, v = fit.theta
+        prior = Penalty(fit.penalty, GG_CENTRE)
+        found = certify(likelihood, GgParams._fields, [p, q, v / scale], _with_v(bounds), prior)
+    loglik = found.loglik - likelihood.fixed["n"] * float(np.log(scale))
+    return found._replace(checks=[*found.checks[:2], found.checks[2]._replace(value=v)], loglik=loglik)
+
+
+def _with_v(bounds: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The bounds of ``p`` and ``q``, and those of ``v`` for values divided by their mean."""
+    top = bounds[0][1] * bounds[1][1]
+    return [*bounds, (1 / top, top)]
+
+
+@contextmanager
+def _fitting(summary: DataFrame, count: str) -> Iterator[tuple[_Likelihood, float]]:
+    """The likelihood over values divided by their mean, which stay on the executors, and that mean."""
     repeat = _repeat(summary, count).select(F.col(count).alias("x"), "m")
     scale = repeat.agg(F.avg("m")).first()[0]
     if scale is None:
@@ -152,19 +189,11 @@ def gg_fit(
     try:
         counts = values.groupBy("x").agg(F.count("*").alias("customers")).persist()
         try:
-            likelihood = _Likelihood(values, counts)
-            top = bounds[0][1] * bounds[1][1]
-            begin = [1.0, 2.0, 1.0] if start is None else [start[0], start[1], start[2] / scale]
-            prior = Penalty(penalty, GG_CENTRE)
-            found = maximise(likelihood, begin, [*bounds, (1 / top, top)], penalty=prior)
+            yield _Likelihood(values, counts), scale
         finally:
             counts.unpersist()
     finally:
         values.unpersist()
-    p, q, v = found.theta
-    # The density of a mean changes by the factor 1/scale with the unit of money.
-    value = found.value - likelihood.fixed["n"] * float(np.log(scale))
-    return found._replace(theta=[p, q, v * scale], value=value)
 
 
 def gg_penalties(

@@ -41,7 +41,8 @@ def test_query_equals_sql(spark, con, name):
 
 def test_only_fits_lack_sql():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"bg_fit", "gg_fit", "cltv_fitted", "bg_penalties", "gg_penalties", "cltv_fitted_penalised"}
+    assert set(QUERIES) - set(SQL) == {"bg_fit", "gg_fit", "cltv_fitted", "bg_penalties", "gg_penalties", "cltv_fitted_penalised",
+        "bg_certificate", "gg_certificate"}
 
 
 def test_fits_report_the_bound(spark):
