@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import codecs
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -18,9 +20,24 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from shopworth.llm.common import binary_column, col, lists, map_arrow
+from shopworth.llm.common import binary_column, col, lists, map_arrow, map_batches
 from shopworth.llm.tokens import byte_bpe_json, byte_encoder, read_ranks
 
+#: Bytes of text that are encoded at a time, about: their ids and offsets take several times that.
+AT_ONCE = 4 << 20
+
+
+def _parts(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes in the last column, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + size, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
 
 def encode(
     df: DataFrame,
@@ -62,16 +79,22 @@ def encode(
                 after = np.cumsum(sizes[np.frombuffer(x, "<u4")])
                 # character of each byte: how many characters have begun by then
                 begun = np.cumsum((data & 0xC0) != 0x80)
-                starts.append(begun[after - sizes[np.frombuffer(x, "<u4")]] - 1 if len(x) else after)
-                ends.append(begun[after - 1] if len(x) else after)
+                begun = begun.astype(np.int32)
+                starts.append(begun[after - sizes[np.frombuffer(x, "<u4")]] - 1 if len(x) else begun)
+                ends.append(begun[after - 1] if len(x) else begun)
                 lengths.append(len(after))
             columns += [
-                lists(np.concatenate(side).astype(np.int32), np.array(lengths), pa.int32())
+                lists(np.concatenate(side), np.array(lengths), pa.int32())
                 for side in (starts, ends)
             ]
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return map_arrow(df.select(*map(col, keep), col(text).alias("_text")), run, schema)
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch, AT_ONCE):
+                yield run(part)
+
+    return map_batches(df.select(*map(col, keep), col(text).alias("_text")), over, schema)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
@@ -100,11 +123,17 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     return map_arrow(df, run, schema)
 
 
+def with_spans_hash(df: DataFrame) -> DataFrame:
+    """``starts`` and ``ends`` as one number, ``spans_hash``."""
+    return df.withColumn("spans_hash", F.xxhash64("starts", "ends")).drop("starts", "ends")
+
+
 def digest(df: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded and decoded rows."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded and decoded rows, and their ``spans_hash``."""
     return df.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast(LongType()).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
+        "spans_hash",
     )

@@ -190,7 +190,7 @@ def op6_licences(spark, d):
 def op7_byte_bpe(spark, d):
     docs = load(spark, d, "documents")
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(docs, ranks, keep=["doc_id"], offsets=False)
+    encoded = byte_bpe.with_spans_hash(byte_bpe.encode(docs, ranks, keep=["doc_id"]))
     return byte_bpe.digest(byte_bpe.decode(encoded, ranks))
 
 

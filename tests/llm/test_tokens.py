@@ -6,11 +6,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from public_tokenizers import PATTERN
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from shopworth.llm import byte_bpe, packing
 from shopworth.llm.queries import END_ID, op1_packing, op7_byte_bpe, tokenizer_file
 from shopworth.llm.tokens import byte_bpe_json, byte_encoder, read_ranks, word_encoder
@@ -60,6 +63,44 @@ def test_op7_whole_table(spark, reference):
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
 
 
+def spans_of(text, ids, reference):
+    """First and last character (end exclusive) that a token has a byte of, by hand."""
+    of_byte = [i for i, c in enumerate(text) for _ in c.encode()]
+    starts, ends, at = [], [], 0
+    for token in ids:
+        size = len(reference.decode_single_token_bytes(token))
+        starts.append(of_byte[at])
+        ends.append(of_byte[at + size - 1] + 1)
+        at += size
+    return starts, ends
+
+
+def test_op7_offsets_of_the_whole_table(spark, reference):
+    texts = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
+    spans = [(r.doc_id, *spans_of(r.text or "", reference.encode_ordinary(r.text or ""), reference)) for r in texts]
+    expected = spark.createDataFrame(spans, "doc_id long, starts array<int>, ends array<int>")
+    expected = expected.select("doc_id", F.xxhash64("starts", "ends").alias("spans_hash"))
+    found = op7_byte_bpe(spark, DATA).select("doc_id", "spans_hash")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_encoding_by_parts(spark, documents, reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "AT_ONCE", 20)
+    texts = ["a b", None, "one text that is longer than a part", "", "é" * 15, "c", "d e f", None]
+    found = byte_bpe.encode(documents(list(enumerate(texts))).coalesce(1), RANKS).collect()
+    assert {r.doc_id: bytes(r.ids) for r in found} == {
+        i: packed_ids(reference.encode_ordinary(t or "")) for i, t in enumerate(texts)
+    }
+    assert {r.doc_id: (r.starts, r.ends) for r in found} == {
+        i: spans_of(t or "", reference.encode_ordinary(t or ""), reference) for i, t in enumerate(texts)
+    }
+    batch = pa.record_batch([pa.array([None if t is None else t for t in texts])], names=["text"])
+    parts = list(byte_bpe._parts(batch, 20))
+    assert [p.num_rows for p in parts] == [2, 1, 1, 1, 3] and pa.Table.from_batches(parts).num_rows == len(texts)
+    empty = byte_bpe.encode(documents([]), RANKS)
+    assert empty.count() == 0 and byte_bpe.decode(empty, RANKS).count() == 0
+
+
 def test_offsets_and_decoding(documents, reference):
     texts = ["a 😀 naïve café", "", None, "😀😀", "plain words here", "plain words here"]
     df = byte_bpe.encode(documents(list(enumerate(texts))), RANKS)
