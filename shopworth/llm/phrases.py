@@ -28,12 +28,14 @@ LOAD = 96
 FILTERS = 3
 #: Characters of text that are counted together in a worker.
 TOGETHER = 1 << 24
+#: Distinct windows that a worker sums up, about, before it hands them on.
+HELD = 1 << 19
 
 _BREAK = b"."
 _FOLD = bytes(
     ord(".") if chr(b) in ".,;:!?\n\x0b\x0c\r" else ord(chr(b).lower()) if b < 128 else b for b in range(256)
 )
-#: A filter is put together in so many pieces (a power of two), each in one task.
+#: Filters and windows are put together in so many pieces (a power of two), each in one task.
 _PIECES = 10
 
 
@@ -202,17 +204,19 @@ def _filter(counted: DataFrame, bits: int, least: int) -> np.ndarray:
     return table
 
 
-def _padded_windows(df: DataFrame, filters: list[np.ndarray], used: np.ndarray, bits: int, longest: int) -> DataFrame:
-    """``lang, w1, w2, ..., n``: each window of lead columns, padded with empty words.
+def _window_blocks(df: DataFrame, filters: list[np.ndarray], used: np.ndarray, bits: int, longest: int) -> DataFrame:
+    """``lang, piece, windows, n``: distinct windows by pieces of their hashes, and how often each.
 
-    A window is also padded from the first word on that no frequent phrase from its start
-    goes on with, as the filters tell: counts of frequent phrases stay whole. Of windows
-    of one word, only those of ``used`` words, which frequent pairs may hold, are wanted.
+    A window is padded from the first word on that no frequent phrase from its start goes on
+    with, as the filters tell: counts of frequent phrases stay whole. Of windows of one word,
+    only those of ``used`` words, which frequent pairs may hold, are wanted. A worker sums up
+    its texts before it hands them on, up to ``HELD`` windows; a row has those of one piece,
+    so rows are at most as many as workers' sums times languages times pieces.
     """
     shared = df.sparkSession.sparkContext.broadcast((filters, used))
-    names = [f"w{i + 1}" for i in range(longest)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[bytes, int]] = {}
         for lang, words, numbers in _groups(batches):
             filters, used = shared.value
             windows = _Windows(lang, words, numbers, filters[:1], bits)
@@ -233,17 +237,66 @@ def _padded_windows(df: DataFrame, filters: list[np.ndarray], used: np.ndarray,
             _, first, n = np.unique(code, return_index=True, return_counts=True)
             bucket = (mix(_hashes(lang, words)) & windows.mask).astype(np.int64)
             alone = np.flatnonzero((single > 0) & _set(used, bucket))
-            texts = np.array(["", *(w.decode() for w in list(words)[1:])], object)
-            blank = np.full(len(alone), "", object)
-            columns = [pa.array([lang] * (len(n) + len(alone)), pa.string())]
-            for i, column in enumerate(lead):
-                ends = blank if i else texts[alone]
-                columns.append(pa.array(np.concatenate([texts[column[first]], ends]), pa.string()))
-            columns.append(pa.array(np.concatenate([n, single[alone]])))
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
+            texts = np.array([b"", *list(words)[1:]], object)
+            after = np.array([b"", *(b" " + w for w in list(words)[1:])], object)
+            found = texts[lead[0][first]]
+            for column in lead[1:]:
+                found = found + after[column[first]]
+            sums = held.setdefault(lang, {})
+            for some, counts in ((found, n), (texts[alone], single[alone])):
+                for window, count in zip(some.tolist(), counts.tolist(), strict=True):
+                    sums[window] = sums.get(window, 0) + count
+            if sum(map(len, held.values())) > HELD:
+                yield from map(blocks, held, held.values())
+                held = {}
+        yield from map(blocks, held, held.values())
+
+    def blocks(lang: str, sums: dict[bytes, int]) -> pa.RecordBatch:
+        pieces: dict[int, list[bytes]] = {}
+        for window in sorted(sums):
+            pieces.setdefault(xxhash.xxh64_intdigest(window) & ((1 << _PIECES) - 1), []).append(window)
+        columns = [
+            pa.array([lang] * len(pieces), pa.string()),
+            pa.array(pieces, pa.int64()),
+            pa.array([b"\n".join(windows) for windows in pieces.values()], pa.binary()),  # words have no blanks
+            pa.array([np.array([sums[w] for w in x], np.int64).tobytes() for x in pieces.values()], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "piece", "windows", "n"])
+
+    return map_batches(df, run, "lang string, piece long, windows binary, n binary")
+
+
+def _padded_windows(blocks: DataFrame, longest: int) -> DataFrame:
+    """``lang, w1, w2, ..., n``: each window of lead columns once, padded with empty words.
+
+    Pieces are added up one after the other in the order of a sort, so a worker holds one at a time.
+    """
+    names = [f"w{i + 1}" for i in range(longest)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, {}
+        for batch in batches:
+            for lang, piece, windows, n in zip(*batch.columns, strict=True):
+                if (key := (lang.as_py(), piece.as_py())) != now:
+                    if sums:
+                        yield rows(now[0], sums)
+                    now, sums = key, {}
+                counts = np.frombuffer(n.as_py(), np.int64).tolist()
+                for window, count in zip(windows.as_py().split(b"\n"), counts, strict=True):
+                    sums[window] = sums.get(window, 0) + count
+        if sums:
+            yield rows(now[0], sums)
+
+    def rows(lang: str, sums: dict[bytes, int]) -> pa.RecordBatch:
+        words = [window.decode().split(" ") for window in sums]
+        lead = zip(*(w + [""] * (longest - len(w)) for w in words), strict=True)
+        columns = [pa.array([lang] * len(sums), pa.string()), *(pa.array(w, pa.string()) for w in lead)]
+        columns.append(pa.array(list(sums.values()), pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
 
     schema = ", ".join(["lang string", *(f"{w} string" for w in names), "n long"])
-    return map_batches(df, run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    dealt = blocks.repartition("lang", "piece").sortWithinPartitions("lang", "piece")
+    return map_batches(dealt, run, schema)
 
 
 def frequent_phrases(docs: DataFrame, lang: str, text: str, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
@@ -264,7 +317,8 @@ def frequent_phrases(docs: DataFrame, lang: str, text: str, longest: int, least:
             totals = counted.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("n"))
         table, used = np.split(_filter(counted, bits, least), 2)
         filters.append(table)
-    windows = _padded_windows(df, filters, used if len(filters) > 2 else np.full_like(used, 255), bits, longest)
+    used = used if len(filters) > 2 else np.full_like(used, 255)
+    windows = _padded_windows(_window_blocks(df, filters, used, bits, longest), longest)
     names = [f"w{i + 1}" for i in range(longest)]
     rolled = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # The level of k words rolls up the others; a padded prefix is a shorter window, not a phrase.

@@ -211,6 +211,32 @@ def test_phrases_equal_brute_force(spark, monkeypatch, least, top):
         assert sorted(map(tuple, found.collect())) == expected
 
 
+def test_rows_of_windows_do_not_grow_with_frequent_phrases(spark, monkeypatch):
+    """A worker sums up windows and hands them on in pieces; each then comes out once."""
+    pairs, least = [f"x{i} y{i}" for i in range(3000)], 12
+    rows = [(lang, ". ".join(pairs)) for lang in ("en", "fr") for _ in range(least)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2).cache()
+    made, through = [], phrases.map_batches
+
+    def noted(*args):
+        made.append(through(*args))
+        return made[-1]
+
+    monkeypatch.setattr(phrases, "map_batches", noted)
+    monkeypatch.setattr(phrases, "pin", lambda df: df)
+    for held in (None, 1000):  # with the second, a worker's languages do not meet
+        if held:
+            monkeypatch.setattr(phrases, "HELD", held)
+        made.clear()
+        found, totals = phrases.frequent_phrases(docs, "lang", "text", longest=5, least=least)
+        counts = {(r.lang, r.phrase, r.k): r.f for r in found.collect()}
+        assert counts == {(g, x, len(x.split())): least for g in ("en", "fr") for p in pairs for x in (p, *p.split())}
+        assert sorted(totals.collect()) == [(g, least * 2 * len(pairs)) for g in ("en", "fr")]
+        emitted = next(df for df in made if {"windows", "w1"} & set(df.columns))
+        assert emitted.count() <= 2 * 2 << phrases._PIECES  # workers' sums, languages, pieces
+        assert made[-1].count() == made[-1].select("lang", "w1", "w2").distinct().count() == 2 * 2 * len(pairs)
+
+
 def test_phrases_of_nothing(documents):
     assert phrases.mine(documents([])).count() == 0
     assert phrases.mine(documents([(1, None), (2, "one two")])).count() == 0
